@@ -8,14 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roundhouse.llm import exact_dedup, near_dedup, quality_rules
-from roundhouse.llm.common import stored, table
+from roundhouse.llm import exact_dedup, near_dedup, packing, quality_model, quality_rules
+from roundhouse.llm.common import labelled, stored, table
+from roundhouse.llm.queries import tokenizer_path
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_model.keep_good(docs, labelled(spark, sf_dir, "quality"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs, largest=True)
 
@@ -24,10 +29,16 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.keep_one(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality_rules", quality_rules_stage),
+    ("quality_classifier", quality_classifier_stage),
     ("exact_dedup", exact_dedup_stage),
     ("minhash_near_dedup", near_dedup_stage),
+    ("packing", packing_stage),
 ]
 
 #: The rules' expectation maximisation, the classifier's fit and near duplicates are beyond SQL.

@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Code points that one vectorised step of a task looks at; a longer text is a step of its own.
 CHUNK_CHARS = 1 << 19
@@ -50,3 +53,28 @@ def spans(texts: Iterable[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int,
         size += len(text) + 1
     if end >= start:
         yield start, end + 1
+
+
+def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """(doc_id, label) of the rows to learn from: crc32(doc_id as text) mod 5 is not 0. Of repeated rows the larger label counts."""
+    rows = table(spark, sf_dir, "labels").where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    return rows.where(fold("doc_id") != 0).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+
+
+def fold(doc_id: str) -> Column:
+    """crc32 of the doc_id as text, mod 5."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
+
+
+def sum_blocks(blocks: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of float64 vectors (block int, vector binary) by block, added up as they stream through the tasks that own a block."""
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[block] = sums.get(block, 0) + np.frombuffer(vector)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "vector"])
+
+    kind = "block int, vector binary"
+    return {r["block"]: np.frombuffer(r["vector"]) for r in blocks.repartition("block").mapInArrow(add, kind).collect()}

@@ -29,6 +29,7 @@ STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
 #: Name -> the share it looks at, the most that is good, the least that is bad (None: it never votes so).
 RULES: dict[str, tuple[str, float | None, float | None]] = {
     "symbols": ("n_symbols / greatest(word_chars, 1)", None, 0.04),
+    "marked_words": ("n_symbols / greatest(n_words, 1)", None, 0.50),
     "pipes": ("n_pipes / greatest(n_words, 1)", None, 0.10),
     "repeats": ("n_repeat_words / greatest(n_words, 1)", 0.05, 0.30),
     "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", None, 0.30),
@@ -139,7 +140,7 @@ def fit(patterns: list[tuple[list[int], int]], rounds: int = 60) -> tuple[float,
     seen = np.array([v for v, _ in patterns])
     count = np.array([float(n) for _, n in patterns])
     onehot = np.stack([seen == v for v in (-1, 0, 1)], 2).astype(float)
-    start = 1 / (1 + np.exp(-(2.0 + 0.5 * (seen == 1).sum(1) - 4.0 * (seen == -1).sum(1))))
+    start = 1 / (1 + np.exp(-(2.0 + 0.25 * (seen == 1).sum(1) - 4.0 * (seen == -1).sum(1))))
     good = start
     for _ in range(rounds):
         prior = min(max((good * count).sum() / count.sum(), 0.5), 0.98)

@@ -7,8 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundhouse.llm import exact_dedup, near_dedup, quality_rules
-from roundhouse.llm.common import table
+from roundhouse.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, quality_model, quality_rules, toxicity, url_filter
+from roundhouse.llm.common import labelled, table
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, labelled(spark, sf_dir, "toxic")))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, line_no, n_words, keep_doc, keep_line, kept of each line with words."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +34,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(docs).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.scored(*quality_model.fit_documents(docs, labelled(spark, sf_dir, "quality")))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the base statistics, quality_p, base_failed and kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,16 +52,93 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), largest=True)
 
 
+def page_captures(pages: DataFrame) -> DataFrame:
+    """page_id, url and a fetch day within 2024 that follows from the page_id."""
+    return pages.selectExpr("page_id", "url", "date_add(date'2024-01-01', cast((page_id * 37) % 365 as int)) as fetch_day")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries of three lists, drawn from the hosts of all pages by a hash of the host."""
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).where("host <> ''").distinct().withColumn("k", F.conv(F.substring(F.md5("host"), 1, 6), 16, 10).cast("int"))
+    parts = [
+        ("ads", "host", "k % 180", "add", "k % 4 = 0"),
+        ("ads", "host", "k % 180 + 30 + k % 90", "remove", "k % 4 = 0 and k % 3 > 0"),
+        ("ads", "host", "k % 180 + 150", "add", "k % 12 = 4"),
+        ("malware", "concat(host, '/en')", "k % 300", "add", "k % 5 = 1"),
+        ("policy", "substr(host, instr(host, '.') + 1)", "k % 330", "add", "k % 7 = 2"),
+        ("policy", "substr(host, instr(host, '.') + 1)", "k % 330 + 20", "remove", "k % 14 = 2"),
+    ]
+    frames = [hosts.where(when).selectExpr(f"'{name}' as list", f"{pattern} as pattern", f"date_add(date'2024-01-01', {day}) as day", f"'{action}' as action") for name, pattern, day, action, when in parts]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, fetch_day, host, blocked, list, pattern of each page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filtered(page_captures(pages), list_entries(pages))
+
+
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenizer_path()
+    out = bpe.decode(bpe.encode(docs, path, keep=["doc_id"]), path)
+    return out.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of each piece."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read back from the formatted conversations."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = rows.sparkSession.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(rows.unionByName(extra), tokenizer_path()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_minhash_near_dedup": op3_minhash_near_dedup,
-    "op5_quality_rules": op5_quality_rules,
-    "op6_exact_dedup": op6_exact_dedup,
+    f.__name__: f
+    for f in (op1_toxicity_grammar, op2_line_dedup, op3_minhash_near_dedup, op4_quality_classifier, op5_quality_rules, op6_exact_dedup, op7_url_filters, op8_bpe_codec, op9_packing, op10_chat_format)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": r"""
+        WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents),
+        l AS (SELECT doc_id, line_no::INTEGER AS line_no, list_filter(regexp_split_to_array(line, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words FROM raw),
+        lines AS (SELECT doc_id, line_no, words, len(words)::INTEGER AS n_words, array_to_string(words, ' ') AS line FROM l WHERE len(words) > 0),
+        firsts AS (SELECT line, any_value(words) AS words, any_value(n_words) AS n, min({'d': doc_id, 'l': line_no}) AS ord FROM lines GROUP BY line),
+        v AS (SELECT line, ord, i AS pos, md5(array_to_string(list_concat(words[1:i], words[i + 2:]), ' ')) AS key FROM firsts, unnest(range(n)) t(i) WHERE n >= 5
+              UNION ALL SELECT line, ord, -1, md5(line) FROM firsts WHERE n >= 5),
+        near AS (SELECT a.line, min(b.ord) AS ord FROM v a JOIN v b ON a.key = b.key AND (a.pos = b.pos OR a.pos = -1 OR b.pos = -1) AND b.ord < a.ord GROUP BY a.line),
+        best AS (SELECT f.line, least(f.ord, coalesce(n.ord, f.ord)) AS k FROM firsts f LEFT JOIN near n ON f.line = n.line)
+        SELECT doc_id, line_no, n_words, k.d AS keep_doc, k.l AS keep_line, doc_id = k.d AND line_no = k.l AS kept FROM lines JOIN best USING (line)""",
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY body) AS kept, sha256(body) AS text_sha256
         FROM d""",
+    "op7_url_filters": r"""
+        WITH p AS (SELECT page_id, DATE '2024-01-01' + ((page_id * 37) % 365)::INTEGER AS fetch_day,
+                          lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+                          regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path FROM pages),
+        h AS (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 6))::INTEGER AS k FROM p WHERE host <> ''),
+        e AS (SELECT 'ads' AS list, host AS pattern, k % 180 AS day, 'add' AS action FROM h WHERE k % 4 = 0
+              UNION ALL SELECT 'ads', host, k % 180 + 30 + k % 90, 'remove' FROM h WHERE k % 4 = 0 AND k % 3 > 0
+              UNION ALL SELECT 'ads', host, k % 180 + 150, 'add' FROM h WHERE k % 12 = 4
+              UNION ALL SELECT 'malware', host || '/en', k % 300, 'add' FROM h WHERE k % 5 = 1
+              UNION ALL SELECT 'policy', substr(host, instr(host, '.') + 1), k % 330, 'add' FROM h WHERE k % 7 = 2
+              UNION ALL SELECT 'policy', substr(host, instr(host, '.') + 1), k % 330 + 20, 'remove' FROM h WHERE k % 14 = 2),
+        daily AS (SELECT list, pattern, DATE '2024-01-01' + day AS day, max(action) AS action FROM e GROUP BY ALL),
+        iv AS (SELECT *, lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS until FROM daily),
+        act AS (SELECT list, pattern, day, until, string_split(pattern, '/')[1] AS dom, substr(pattern, len(string_split(pattern, '/')[1]) + 1) AS sub FROM iv WHERE action = 'add'),
+        m AS (SELECT page_id, list, pattern, row_number() OVER (PARTITION BY page_id ORDER BY len(pattern) DESC, list, pattern) AS rn
+              FROM p JOIN act ON (host = dom OR ends_with(host, '.' || dom)) AND (sub = '' OR path = sub OR starts_with(path, sub || '/'))
+                             AND day <= fetch_day AND (until IS NULL OR fetch_day < until))
+        SELECT p.page_id, fetch_day, host, m.pattern IS NOT NULL AS blocked, m.list, m.pattern FROM p LEFT JOIN m ON p.page_id = m.page_id AND rn = 1""",
 }
