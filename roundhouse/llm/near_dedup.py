@@ -7,9 +7,12 @@ share isn't worth less than four fifths of what tells them apart.
 
 Every document draws HASHES weighted samples; BANDS bands of ROWS samples make its buckets. Documents whose
 words are all equal are one node. In a bucket every node is verified against a leader by weighted Jaccard
-similarity; nodes of a bucket that then are in different components are compared with further leaders and
-at last with each other, so that no link between candidates is lost and no group of copies is expanded into
-all its pairs.
+similarity, then against eight more where components still differ. What is left open, mostly nodes near to
+none, is compared inside blocks of a bucket, in tasks of at most 2 * BLOCK_NODES nodes; pairs that are connected
+already are skipped, and only links leave a task. So no group of copies is expanded into rows of pairs.
+
+Candidates whose samples agree in fewer than AGREE of HASHES places are not verified: a pair of similarity 0.8
+does so with a chance of one in thirty thousand.
 
 A document without words (null, empty) is near to none. Rows with a null doc_id take part in counts only.
 Repeated rows are one node; of repeated doc_ids one row stays. Extra columns are passed over.
@@ -28,8 +31,10 @@ from roundhouse.llm.common import spans, stored, texts_of
 from roundhouse.llm.textgrid import WordGrid, mix, shingles
 
 WIDTH, SIMILARITY = 5, 0.8
-BANDS, ROWS = 12, 4
+BANDS, ROWS = 16, 5
 HASHES = BANDS * ROWS
+AGREE = 50
+BLOCK_NODES = 256
 DF_BITS, BLOCK = 20, 1 << 10
 IDF_FLOOR = 0.8
 _LOW = np.uint64((1 << 52) - 1)
@@ -152,7 +157,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, node (a hash of all its words) and bands of each document with words."""
+    """doc_id, node (a hash of all its words), bands and prints (a byte of each sample) of each document with words."""
 
     def sign(batches):
         for batch in batches:
@@ -168,11 +173,12 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                         ids.take(pa.array(own + a)),
                         pa.array([x.tobytes() for x in np.ascontiguousarray(whole[:, own].T)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1))),
+                        pa.array([x.tobytes() for x in samples.astype(np.uint8)], pa.binary()),
                     ],
-                    names=["doc_id", "node", "bands"],
+                    names=["doc_id", "node", "bands", "prints"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node binary, bands array<long>, prints binary")
 
 
 def pack(shingle: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -268,31 +274,107 @@ def least_leaders(members: DataFrame, parts: int) -> DataFrame:
     return members.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part")).agg(least).select("key", F.col("least.id").alias("a"), F.col("least.comp").alias("comp_a"))
 
 
-def links_of(buckets: DataFrame, packed: DataFrame, idf) -> DataFrame:
-    """Verified links (a, b) that connect what all candidate pairs of the buckets (key, id) connect.
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose samples agree in AGREE places at least."""
 
-    Leaders first, then more leaders, then every pair of a bucket whose components still differ.
-    """
-    links = tested = None
-    comps = None
-    for parts in (1, 8, 0):
-        members = buckets.withColumn("comp", F.col("id"))
-        if comps is not None:
-            members = buckets.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-            open_keys = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-            members = members.join(open_keys, "key", "left_semi")
-        first = least_leaders(members, parts) if parts else members.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a"))
-        pairs = first.join(members, "key").where((F.col("comp") != F.col("comp_a")) & (F.lit(parts > 0) | (F.col("a") < F.col("id"))))
-        pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        found = stored(verified(pairs, packed, idf), "near-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if comps is None or not found.isEmpty():
-            comps = stored(components(links), "near-components")
-    return comps
+    def check(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, HASHES) for k in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= AGREE))
+
+    left = nodes.select(F.col("id").alias("a"), F.col("prints").alias("x"))
+    right = nodes.select(F.col("id").alias("b"), F.col("prints").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+
+
+def with_components(buckets: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, id, comp) of the buckets that hold different components."""
+    members = buckets.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    open_keys = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    return members.join(open_keys, "key", "left_semi")
+
+
+def blocks_of(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of open buckets with prints and bands, once for each pair (i, j) of blocks that holds them."""
+    size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("n_blocks"))
+    rows = members.join(size, "key").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "comp", "block")
+    return rows.join(nodes.select("id", "prints", "bands"), "id")
+
+
+def open_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of plausible pairs in a block group whose components differ and whose first shared band is the group's key."""
+    comp, block = table["comp"].to_numpy(), table["block"].to_numpy()
+    prints = np.frombuffer(b"".join(table["prints"].to_pylist()), np.uint8).reshape(-1, HASHES)
+    bands = np.array(table["bands"].to_pylist(), np.int64).reshape(-1, BANDS)
+    key, one = table["key"][0].as_py(), table["i"][0].as_py() == table["j"][0].as_py()
+    band = int(np.argmax(bands[0] == key))
+    left, right = [], []
+    for a in range(len(comp) - 1):
+        b = np.arange(a + 1, len(comp))
+        keep = comp[b] != comp[a]
+        if not one:
+            keep &= block[b] != block[a]
+        b = b[keep]
+        b = b[~(bands[b, :band] == bands[a, :band]).any(1)] if band else b
+        b = b[(prints[b] == prints[a]).sum(1) >= AGREE]
+        left.append(np.full(len(b), a))
+        right.append(b)
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def open_members(table: pa.Table) -> pa.Table:
+    """The rows of a block group that stand in one of its open pairs."""
+    a, b = open_pairs(table)
+    return table.take(pa.array(np.unique(np.concatenate([a, b]))))
+
+
+def block_links(table: pa.Table, idf: np.ndarray) -> pa.Table:
+    """Verified links of a block group, no more than connect its components."""
+    ids, comp = table["id"].to_pylist(), table["comp"].to_pylist()
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = x = root.get(root[x], root[x])
+        return x
+
+    packed, known, links = table["packed"].to_pylist(), {}, []
+    for a, b in zip(*(x.tolist() for x in open_pairs(table)), strict=True):
+        p, q = find(comp[a]), find(comp[b])
+        if p == q:
+            continue
+        for k in (a, b):
+            if k not in known:
+                known[k] = unpack(packed[k], idf)
+        if weighted_jaccard(*known[a], *known[b]) >= SIMILARITY:
+            root[p] = q
+            links.append((ids[a], ids[b]))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+
+def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf) -> DataFrame:
+    """(id, comp) of the nodes that have links: comp is the least id that verified links between candidates connect."""
+
+    def packed(ids: DataFrame, name: str) -> DataFrame:
+        return stored(sets(docs.join(ids.distinct(), "doc_id", "left_semi")), name)
+
+    comps = buckets.sparkSession.createDataFrame([], "id long, comp long")
+    links = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
+    for parts in (1, 8):
+        members = with_components(buckets, comps)
+        pairs = least_leaders(members, parts).join(members, "key").where("comp <> comp_a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        pairs = stored(plausible(pairs, nodes), "near-pairs")
+        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+        found = stored(verified(pairs, packed(ids, "near-sets"), idf), "near-links")
+        links = links.unionByName(found)
+        comps = stored(components(links), "near-components")
+    kind = "id long, key long, i int, j int, comp long, block int, prints binary, bands array<long>"
+    rest = stored(blocks_of(with_components(buckets, comps), nodes).select("id", "key", "i", "j", "comp", "block", "prints", "bands").groupBy("key", "i", "j").applyInArrow(open_members, kind), "near-open")
+    rows = rest.join(packed(rest.select(F.col("id").alias("doc_id")), "near-sets").withColumnRenamed("doc_id", "id"), "id")
+    found = stored(rows.groupBy("key", "i", "j").applyInArrow(lambda t: block_links(t, idf.value), "a long, b long"), "near-links")
+    return comps if found.isEmpty() else stored(components(links.unionByName(found)), "near-components")
 
 
 def classes(df: DataFrame) -> DataFrame:
@@ -303,14 +385,14 @@ def classes(df: DataFrame) -> DataFrame:
     idf = spark.sparkContext.broadcast(idf_table(counts, n))  # 4 MB
     docs = docs.where("doc_id is not null")
     signed = stored(signatures(docs, idf), "near-signatures")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("id"))
-    keys = signed.join(nodes, (signed["node"] == nodes["node"]) & (signed["doc_id"] == nodes["id"]), "left_semi").select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
+    named = stored(signed.groupBy("node").agg(F.min("doc_id").alias("id")), "near-nodes")
+    nodes = signed.join(named, (signed["node"] == named["node"]) & (signed["doc_id"] == named["id"]), "left_semi").select(F.col("doc_id").alias("id"), "bands", "prints").dropDuplicates(["id"])
+    nodes = stored(nodes, "near-nodes")
+    keys = nodes.select(F.explode("bands").alias("key"), "id")
     shared = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    buckets = stored(keys.join(shared, "key", "left_semi").distinct(), "near-buckets")
-    ids = buckets.select(F.col("id").alias("doc_id")).distinct()
-    packed = stored(sets(docs.join(ids, "doc_id", "left_semi")), "near-sets")
-    comps = links_of(buckets, packed, idf)
-    member = signed.join(nodes, "node").select("doc_id", "id").distinct().join(comps, "id", "left").select("doc_id", F.coalesce("comp", "id").alias("class_id"))
+    buckets = stored(keys.join(shared, "key", "left_semi"), "near-buckets")
+    comps = components_of(buckets, nodes, docs, idf)
+    member = signed.select("doc_id", "node").join(named, "node").select("doc_id", "id").distinct().join(comps, "id", "left").select("doc_id", F.coalesce("comp", "id").alias("class_id"))
     # rows that share a doc_id are one document: its least class; texts without words have no signature
     member = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").distinct().join(member, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
