@@ -111,8 +111,8 @@ def duckdb_text(sql: str) -> str:
         visit(name)
     body = sql.strip()
     ctes = [f"fx_{name} AS ({TABLES[name]})" for name in order]
-    if body.upper().startswith("WITH "):
-        body = "WITH " + ", ".join([*ctes, body[5:]]) if ctes else body
+    if (start := next((x for x in ("WITH RECURSIVE ", "WITH ") if body.startswith(x)), None)) and ctes:
+        body = start + ", ".join([*ctes, body[len(start) :]])
     elif ctes:
         body = "WITH " + ", ".join(ctes) + " " + body
     body = re.sub(r"\{(\w+)\}", lambda m: f"fx_{m[1]}" if m[1] in TABLES else m[1], body)
