@@ -64,7 +64,7 @@ def frame_label_stats(frames: DataFrame) -> DataFrame:
 def majority(df: DataFrame, keys: list[str], values: list[str], seq: list[str]) -> DataFrame:
     """The most frequent values per group; ties go to the values seen first."""
     counts = df.groupBy(*keys, *values).agg(F.count("*").alias("votes"), F.min(F.struct(*seq)).alias("__first"))
-    best = F.min(F.struct((-F.col("votes")).alias("v"), "__first", *values, "votes")).alias("b")
+    best = F.min(F.struct((-F.col("votes")).alias("__neg"), "__first", *values, "votes")).alias("b")
     return counts.groupBy(*keys).agg(best).select(*keys, *[F.col(f"b.{v}").alias(v) for v in values], F.col("b.votes").alias("votes"))
 
 

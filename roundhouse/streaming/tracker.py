@@ -47,10 +47,10 @@ class Tracks:
         return closed
 
 
-def track_stream(dets: DataFrame, reach: float = 35.0, recency: int = 75, least_obs: int = 30, least_span: int = 50, flush_ms: int = 1) -> DataFrame:
+def track_stream(dets: DataFrame, reach: float = 35.0, recency: int = 75, least_obs: int = 30, least_span: int = 50) -> DataFrame:
     """Closed tracks of a stream of detections (round_id, frame_id, det_id, cx, cy, conf).
 
-    A round that gets no rows for `flush_ms` of processing time is ended: its live tracks are closed too.
+    A row without det_id says that its round has ended: the live tracks are closed too and the state is dropped.
     """
 
     def good(t: list) -> bool:
@@ -59,18 +59,20 @@ def track_stream(dets: DataFrame, reach: float = 35.0, recency: int = 75, least_
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracks = Tracks(state.get if state.exists else None)
         closed: list[list] = []
-        if state.hasTimedOut:
-            closed = tracks.live
-            state.remove()
+        rows = pd.concat(list(frames)).sort_values(["frame_id", "conf", "det_id"], ascending=[True, False, True])
+        ended = bool(rows["det_id"].isna().any())
+        rows = rows[rows["det_id"].notna()]
+        fresh = rows[rows["frame_id"] > tracks.frame]
+        tracks.late += len(rows) - len(fresh)
+        for frame, own in fresh.groupby("frame_id", sort=True):
+            closed += tracks.add_frame(int(frame), list(zip(own["cx"], own["cy"], strict=True)), reach, recency)
+        if ended:
+            closed += tracks.live
+            if state.exists:
+                state.remove()
         else:
-            rows = pd.concat(list(frames)).sort_values(["frame_id", "conf", "det_id"], ascending=[True, False, True])
-            fresh = rows[rows["frame_id"] > tracks.frame]
-            tracks.late += len(rows) - len(fresh)
-            for frame, own in fresh.groupby("frame_id", sort=True):
-                closed += tracks.add_frame(int(frame), list(zip(own["cx"], own["cy"], strict=True)), reach, recency)
             state.update(tracks.state())
-            state.setTimeoutDuration(flush_ms)
         out = [(key[0], t[0], t[3], t[4], t[5], tracks.late) for t in closed if good(t)]
         yield pd.DataFrame(out, columns=[x.split()[0] for x in OUT.split(", ")])
 
-    return dets.groupBy("round_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return dets.groupBy("round_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
