@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roundhouse.storage import stored
+
+__all__ = ["few", "fold", "labelled", "spans", "stored", "sum_blocks", "table", "texts_of"]
+
 #: Code points that one vectorised step of a task looks at; a longer text is a step of its own.
 CHUNK_CHARS = 1 << 19
 
@@ -19,22 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, else (local runs only) a temporary one."""
-    if folder := spark.conf.get("spark.checkpoint.dir", None):
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="roundhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: a cut lineage that survives lost executors."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def few(df: DataFrame, small: int) -> DataFrame:
+    """df, broadcast if it has `small` rows at most; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= small else df
 
 
 def texts_of(column) -> list[str]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import stored
+from roundhouse.llm.common import few, stored
 
 #: Entries of a memtable, about 25 MB.
 MEMTABLE_ROWS = 100_000
@@ -107,11 +107,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def few(df: DataFrame, small: int) -> DataFrame:
-    """df, broadcast if it has `small` rows at most; a larger one is joined by a shuffle."""
-    return F.broadcast(df) if df.count() <= small else df
-
-
 def collisions(docs: DataFrame, index: DataFrame, small: int = 200_000) -> DataFrame:
     """Byte verification: the digests among the hits that stand for different texts.
 

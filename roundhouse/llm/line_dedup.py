@@ -20,23 +20,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import stored
+from roundhouse.llm.common import few, stored
 
 MIN_WORDS, ENDS = 5, 4
+#: Words of a line from which a window makes its keys.
+LONG = 512
 #: Rows of a lookup that may be broadcast; a larger one is joined by a shuffle.
 SMALL = 1_000_000
 
 
-def few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= SMALL else df
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line_no (from 0) and words of every line that has words."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    spaces = "[ \\t\\n\\x0B\\f\\r]+"
-    trimmed = F.regexp_replace("line", f"^{spaces}|{spaces}$", "")
-    return lines.withColumn("line", trimmed).where("line <> ''").select("doc_id", "line_no", F.split("line", spaces).alias("words"))
+    text = F.col("text")
+    odd = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\x0c"))
+    plain = F.when(odd, F.translate(text, "\t\r\x0b\x0c", "    ")).otherwise(text)
+    lines = docs.select("doc_id", F.posexplode(F.split(plain, "\n")).alias("line_no", "line")).withColumn("line", F.trim("line")).where("line <> ''")
+    words = F.split("line", " ")
+    return lines.select("doc_id", "line_no", F.when(F.contains(F.col("line"), F.lit("  ")), F.filter(words, lambda x: x != "")).otherwise(words).alias("words"))
 
 
 def keyed(lines: DataFrame) -> DataFrame:
@@ -62,20 +62,34 @@ def shared(rows: DataFrame, key: str) -> DataFrame:
 def variants(candidates: DataFrame) -> DataFrame:
     """(key, pos, h1, h2): pos is the deleted word's place, -1 for the line itself.
 
-    key is an xor of hashes of (word, place in the variant): words before the deleted one keep their place, later ones move up.
+    key is an xor of hashes of (word, place in the variant): words before the deleted one keep their place, later ones move up. Running
+    xors give all keys of a line; those of a very long line are made by a window over its words instead of an array.
     """
+    return short_variants(candidates.where(F.size("words") <= LONG)).unionByName(long_variants(candidates.where(F.size("words") > LONG)))
+
+
+def short_variants(candidates: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    running = lambda shift: F.aggregate(
+        F.transform("words", lambda w, i: F.xxhash64(w, i + shift)), F.array(zero), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(x)))
+    )
+    rows = candidates.select("h1", "h2", F.size("words").alias("n"), running(0).alias("a"), running(-1).alias("b"))
+    own = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("a", i).bitwiseXOR(F.element_at("b", -1)).bitwiseXOR(F.get("b", i + 1)))
+    keys = rows.select("h1", "h2", F.posexplode(F.concat(F.array(F.element_at("a", -1)), own)).alias("pos", "key"))
+    return keys.select("key", (F.col("pos") - 1).alias("pos"), "h1", "h2")
+
+
+def long_variants(candidates: DataFrame) -> DataFrame:
     line = Window.partitionBy("h1", "h2")
     so_far = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     after = line.orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
-    rows = candidates.select("h1", "h2", F.posexplode("words").alias("pos", "word"))
-    here, moved = F.xxhash64("word", "pos"), F.xxhash64("word", F.col("pos") - 1)
+    rows = candidates.select("h1", "h2", F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
     zero = F.lit(0).cast("long")
-    rows = rows.withColumns({"here": here, "moved": moved})
+    rows = rows.withColumns({"here": F.xxhash64("word", "pos"), "moved": F.xxhash64("word", F.col("pos") - 1)})
     rows = rows.withColumn("before", F.coalesce(F.bit_xor("here").over(so_far), zero)).withColumn("later", F.coalesce(F.bit_xor("moved").over(after), zero))
-    last = F.row_number().over(line.orderBy(F.desc("pos"))) == 1
     own = F.struct(F.col("before").bitwiseXOR(F.col("later")).alias("key"), F.col("pos").alias("pos"))
     whole = F.struct(F.col("before").bitwiseXOR(F.col("here")).alias("key"), F.lit(-1).alias("pos"))
-    out = rows.withColumn("is_last", last).select("h1", "h2", F.explode(F.when(F.col("is_last"), F.array(own, whole)).otherwise(F.array(own))).alias("v"))
+    out = rows.select("h1", "h2", F.explode(F.when(F.col("pos") == F.col("n") - 1, F.array(own, whole)).otherwise(F.array(own))).alias("v"))
     return out.select("v.key", "v.pos", "h1", "h2")
 
 
@@ -100,13 +114,13 @@ def dedup_lines(df: DataFrame) -> DataFrame:
     firsts = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("ord")), "line-firsts")
 
     long_lines = lines.where(F.col("n_words") >= MIN_WORDS)
-    heads = few(stored(shared(long_lines, "head"), "line-heads").withColumn("by_head", F.lit(True)))
-    feet = few(stored(shared(long_lines, "foot"), "line-feet").withColumn("by_foot", F.lit(True)))
+    heads = few(stored(shared(long_lines, "head"), "line-heads").withColumn("by_head", F.lit(True)), SMALL)
+    feet = few(stored(shared(long_lines, "foot"), "line-feet").withColumn("by_foot", F.lit(True)), SMALL)
     flagged = keyed(lines_of(docs)).where(F.col("n_words") >= MIN_WORDS).join(heads, "head", "left").join(feet, "foot", "left")
     flagged = flagged.where((F.col("n_words") < 2 * ENDS) | F.col("by_head") | F.col("by_foot"))
     candidates = stored(flagged.select("h1", "h2", "words").distinct(), "line-candidates")
 
-    keys = few(stored(shared(variants(candidates), "key"), "line-keys"))
+    keys = few(stored(shared(variants(candidates), "key"), "line-keys"), SMALL)
     members = variants(candidates).join(keys, "key", "left_semi").join(firsts, ["h1", "h2"])
     members = stored(members.select("key", "pos", "h1", "h2", "ord"), "line-members")
     least = F.min(F.struct("ord", "h1", "h2"))
