@@ -102,17 +102,17 @@ def statistics(text: str) -> tuple[int, ...]:
 
 
 def with_statistics(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """df's columns `keep` (all by default) and a struct column `stats`."""
+    """df's columns `keep` (all by default) and a struct column `__stats`."""
     keep = df.columns if keep is None else keep
     kind = F.expr(f"cast(null as struct<{', '.join(x.strip().replace(' ', ':') for x in STATS.split(','))}>)")
-    out = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], kind.alias("stats")).schema
+    out = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], kind.alias("__stats")).schema
     names = [x.strip().split()[0] for x in STATS.split(",")]
 
     def add(batches):
         for batch in batches:
             rows = [statistics(x) for x in texts_of(batch.column("__text"))]
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.StructArray.from_arrays(columns, names=names)], names=[*keep, "stats"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.StructArray.from_arrays(columns, names=names)], names=[*keep, "__stats"])
 
     return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).mapInArrow(add, out)
 
@@ -121,7 +121,7 @@ def vote(name: str) -> Column:
     share, good, bad = RULES[name]
     share = f"({share})"
     for column in ("n_symbols", "word_chars", "n_pipes", "n_words", "n_repeat_words", "n_dup_lines", "n_lines", "n_upper", "n_digits", "n_shouts", "n_closed_lines"):
-        share = share.replace(f"{column} ", f"stats.{column} ").replace(f"({column},", f"(stats.{column},")
+        share = share.replace(f"{column} ", f"__stats.{column} ").replace(f"({column},", f"(__stats.{column},")
     cases = (f" when {share} >= {bad} then -1" if bad is not None else "") + (f" when {share} <= {good} then 1" if good is not None else "")
     return F.expr(f"case{cases} else 0 end")
 
@@ -159,7 +159,7 @@ def fit(patterns: list[tuple[list[int], int]], rounds: int = 60) -> tuple[float,
 
 
 def posterior(model: tuple[float, list[dict[int, float]]]) -> Column:
-    """The probability of the good class, from the column `stats`."""
+    """The probability of the good class, from the column `__stats`."""
     odds = F.lit(float(model[0]))
     for name, logs in zip(RULES, model[1], strict=True):
         v = vote(name)
@@ -168,7 +168,7 @@ def posterior(model: tuple[float, list[dict[int, float]]]) -> Column:
 
 
 def base_failed() -> Column:
-    return F.expr("stats.n_words < 50 or 100 * stats.n_repeat_words > 50 * stats.n_words")
+    return F.expr("__stats.n_words < 50 or 100 * __stats.n_repeat_words > 50 * __stats.n_words")
 
 
 def fit_rules(df: DataFrame, text: str = "text") -> tuple[float, list[dict[int, float]]]:
@@ -178,16 +178,16 @@ def fit_rules(df: DataFrame, text: str = "text") -> tuple[float, list[dict[int,
 
 
 def judge(df: DataFrame, text: str = "text", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
-    """Adds stats, quality_p (posterior), base_failed and kept. Reads the input twice, once to fit."""
+    """Adds __stats, __quality_p (posterior), __base_failed and __kept. Reads the input twice, once to fit."""
     model = fit_rules(df, text)
     return (
         with_statistics(df, text, keep)
-        .withColumn("quality_p", posterior(model))
-        .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & (F.col("quality_p") >= threshold))
+        .withColumn("__quality_p", posterior(model))
+        .withColumn("__base_failed", base_failed())
+        .withColumn("__kept", ~F.col("__base_failed") & (F.col("__quality_p") >= threshold))
     )
 
 
 def keep_good(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows whose text is kept, with df's columns."""
-    return judge(df, text, threshold).where("kept").select(*[F.col(f"`{c}`") for c in df.columns])
+    return judge(df, text, threshold).where("__kept").select(*[F.col(f"`{c}`") for c in df.columns])
