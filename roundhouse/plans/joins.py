@@ -115,7 +115,7 @@ def _(t):
 
 
 PAIRS = f"""SELECT a.round_id, a.frame_id, a.det_id AS a_det_id, b.det_id AS b_det_id, a.rank_norm, {hyp('a.cx', 'a.cy', 'b.cx', 'b.cy')} AS distance,
-    greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS overlap, a.cx AS a_cx, b.cx AS b_cx
+    greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS overlap, a.cx AS a_cx, b.cx AS b_cx, a.cy AS a_cy, b.cy AS b_cy, a.suit AS a_suit, b.suit AS b_suit
     FROM (SELECT *, {NORM_RANK} AS rank_norm FROM {{dets720}}) a JOIN (SELECT *, {NORM_RANK} AS rank_norm FROM {{dets720}}) b ON a.round_id = b.round_id AND a.frame_id = b.frame_id AND a.rank_norm = b.rank_norm AND a.det_id < b.det_id
     WHERE {hyp('a.cx', 'a.cy', 'b.cx', 'b.cy')} <= 60 AND greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) >= 200"""
 
@@ -126,8 +126,7 @@ def _(t):
 
 
 WIDE = "SELECT round_id, frame_id, max(CASE WHEN hand = 0 THEN hx END) AS h0x, max(CASE WHEN hand = 0 THEN hy END) AS h0y, max(CASE WHEN hand = 1 THEN hx END) AS h1x, max(CASE WHEN hand = 1 THEN hy END) AS h1y FROM (" + HAND_POS + ") GROUP BY round_id, frame_id"
-HAND_PAIRS = f"""SELECT p.round_id, p.frame_id, p.a_det_id, p.b_det_id, a.cx AS ax, a.cy AS ay, b.cx AS bx, b.cy AS by_, h.h0x, h.h0y, h.h1x, h.h1y FROM ({PAIRS}) p JOIN {{dets720}} a ON a.round_id = p.round_id AND a.det_id = p.a_det_id
-    JOIN {{dets720}} b ON b.round_id = p.round_id AND b.det_id = p.b_det_id JOIN ({WIDE}) h ON h.round_id = p.round_id AND h.frame_id = p.frame_id WHERE h0x IS NOT NULL AND h1x IS NOT NULL"""
+HAND_PAIRS = f"""SELECT p.round_id, p.frame_id, p.a_det_id, p.b_det_id, a_cx AS ax, a_cy AS ay, b_cx AS bx, b_cy AS by_, h.h0x, h.h0y, h.h1x, h.h1y FROM ({PAIRS}) p JOIN ({WIDE}) h ON h.round_id = p.round_id AND h.frame_id = p.frame_id WHERE h0x IS NOT NULL AND h1x IS NOT NULL"""
 
 
 @query("greedy_hand_card_assignment", f"""SELECT round_id, frame_id, a_det_id, b_det_id, CASE WHEN {hyp('h0x', 'h0y', 'ax', 'ay')} + {hyp('h1x', 'h1y', 'bx', 'by_')} <= {hyp('h0x', 'h0y', 'bx', 'by_')} + {hyp('h1x', 'h1y', 'ax', 'ay')} THEN 'direct' ELSE 'swapped' END AS assignment FROM ({HAND_PAIRS})""")
@@ -138,7 +137,7 @@ def _(t):
     return rows.select("round_id", "frame_id", "a_det_id", "b_det_id", j.assign_2x2(d(0, "a"), d(0, "b"), d(1, "a"), d(1, "b")).alias("assignment"))
 
 
-IDENTITY = f"""WITH h AS ({WIDE}), q AS (SELECT p.*, a.cx AS ax, a.cy AS ay, a.suit AS asuit, b.cx AS bx, b.cy AS by_, b.suit AS bsuit FROM ({PAIRS}) p JOIN {{dets720}} a ON a.round_id = p.round_id AND a.det_id = p.a_det_id JOIN {{dets720}} b ON b.round_id = p.round_id AND b.det_id = p.b_det_id),
+IDENTITY = f"""WITH h AS ({WIDE}), q AS (SELECT *, a_cx AS ax, a_cy AS ay, a_suit AS asuit, b_cx AS bx, b_cy AS by_, b_suit AS bsuit FROM ({PAIRS})),
     x AS (SELECT s.round_id, s.rank_norm, s.frame_id, s.a_det_id, e.a_det_id AS e_det_id, s.ax AS s0x, s.ay AS s0y, s.bx AS s1x, s.by_ AS s1y, s.asuit AS s0_suit, s.bsuit AS s1_suit, e.ax AS eax, e.ay AS eay, e.bx AS ebx, e.by_ AS eby, e.asuit AS ea_suit,
                  hs.h0x AS sh0x, hs.h0y AS sh0y, hs.h1x AS sh1x, hs.h1y AS sh1y, he.h0x AS eh0x, he.h0y AS eh0y, he.h1x AS eh1x, he.h1y AS eh1y
           FROM q s JOIN q e ON s.round_id = e.round_id AND s.rank_norm = e.rank_norm AND e.frame_id = s.frame_id + 10 LEFT JOIN h hs ON hs.round_id = s.round_id AND hs.frame_id = s.frame_id LEFT JOIN h he ON he.round_id = e.round_id AND he.frame_id = e.frame_id),
