@@ -63,14 +63,11 @@ def mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) ->
     return (at >= 0) & (ends <= last[np.maximum(at, 0)]) & (ends > starts)
 
 
-def under_loss(formatted: str, starts: list[int], ends: list[int], loss: list[bool]) -> str:
-    """The unescaped text under the mask. Tokens that share a code point cover it once."""
-    out, done = [], 0
-    for a, b, on in zip(starts, ends, loss, strict=True):
-        if on and b > done:
-            out.append(formatted[max(a, done) : b])
-            done = b
-    return unescape("".join(out))
+def under_loss(formatted: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray) -> str:
+    """The unescaped text under the mask, a slice per run of masked tokens: tokens that share a code point cover it once."""
+    edge = np.diff(np.concatenate([[0], loss.astype(np.int8), [0]]))
+    runs = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
+    return unescape("".join(formatted[starts[a] : ends[b - 1]] for a, b in runs))
 
 
 @lru_cache(2)
@@ -100,8 +97,9 @@ def format_conversations(df: DataFrame, path: str, trained: tuple[str, ...] = ("
                 starts, ends = np.array(encoded.offsets, np.int64).reshape(-1, 2).T
                 loss = mask(starts, ends, [s for s, x in zip(spans, turns, strict=True) if x["role"] in trained])
                 rows.append((conv_id, formatted, encoded.ids, starts, ends, loss))
-            kinds = [pa.int64(), pa.string(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.bool_())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in FORMATTED.split(", ")])
+            places = pa.array(np.cumsum([0, *[len(r[2]) for r in rows]]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(places, pa.array(np.concatenate([np.zeros(0, kind), *[r[k] for r in rows]]).astype(kind))) for k, kind in ((2, np.int32), (3, np.int32), (4, np.int32), (5, bool))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), *lists], names=[x.split()[0] for x in FORMATTED.split(", ")])
 
     return grouped.mapInArrow(run, FORMATTED)
 
@@ -113,8 +111,10 @@ def digests(formatted: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = []
-            for conv_id, text, starts, ends, loss in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                turns, under = read_back(text), under_loss(text, starts, ends, loss)
+            values = [batch.column(k).values.to_numpy(zero_copy_only=False) for k in (2, 3, 4)]
+            places = batch.column(2).offsets.to_pylist()
+            for conv_id, text, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), places, places[1:], strict=False):
+                turns, under = read_back(text), under_loss(text, *[v[a:b] for v in values])
                 said = "".join(f"{role}\n{body}\n" for role, body in turns)
                 rows.append((conv_id, len(turns), hashlib.sha256(said.encode()).hexdigest(), len(under), hashlib.sha256(under.encode()).hexdigest(), len(text)))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]

@@ -120,8 +120,9 @@ def dedup_lines(df: DataFrame) -> DataFrame:
     flagged = flagged.where((F.col("n_words") < 2 * ENDS) | F.col("by_head") | F.col("by_foot"))
     candidates = stored(flagged.select("h1", "h2", "words").distinct(), "line-candidates")
 
-    keys = few(stored(shared(variants(candidates), "key"), "line-keys"), SMALL)
-    members = variants(candidates).join(keys, "key", "left_semi").join(firsts, ["h1", "h2"])
+    made = stored(variants(candidates).select("key", "pos", "h1"), "line-variants")
+    keys = made.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key")
+    members = made.join(few(stored(keys, "line-keys"), SMALL), "key", "left_semi").join(firsts, "h1")
     members = stored(members.select("key", "pos", "h1", "h2", "ord"), "line-members")
     least = F.min(F.struct("ord", "h1", "h2"))
     by_place = members.groupBy("key", "pos").agg(least.alias("least"))

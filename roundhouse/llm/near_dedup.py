@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import spans, stored, texts_of
+from roundhouse.llm.common import few, spans, stored, texts_of
 from roundhouse.llm.textgrid import WordGrid, mix, shingles
 
 WIDTH, SIMILARITY = 5, 0.8
@@ -35,6 +35,8 @@ BANDS, ROWS = 16, 5
 HASHES = BANDS * ROWS
 AGREE = 50
 BLOCK_NODES = 256
+#: doc_ids of a lookup that may be broadcast, 16 MB; a larger one is joined by a shuffle.
+SMALL = 2_000_000
 DF_BITS, BLOCK = 20, 1 << 10
 IDF_FLOOR = 0.8
 _LOW = np.uint64((1 << 52) - 1)
@@ -358,7 +360,8 @@ def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf) ->
     """(id, comp) of the nodes that have links: comp is the least id that verified links between candidates connect."""
 
     def packed(ids: DataFrame, name: str) -> DataFrame:
-        return stored(sets(docs.join(ids.distinct(), "doc_id", "left_semi")), name)
+        ids = stored(ids.distinct(), f"{name}-ids")
+        return stored(sets(docs.join(few(ids, SMALL), "doc_id", "left_semi")), name)
 
     comps = buckets.sparkSession.createDataFrame([], "id long, comp long")
     links = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
@@ -401,5 +404,5 @@ def classes(df: DataFrame) -> DataFrame:
 def keep_one(df: DataFrame) -> DataFrame:
     """The rows of one document per class, the one with the least doc_id, and rows without a doc_id; df's columns."""
     gone = stored(classes(df).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")), "near-gone")
-    rows = df.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    rows = df.join(few(gone, SMALL), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
     return rows.select(*[F.col(f"`{c}`") for c in df.columns])
