@@ -135,7 +135,7 @@ def summary(df: DataFrame, columns: list[str]) -> DataFrame:
 def track_export(obs: DataFrame) -> DataFrame:
     """Per track first and last centre, observations, mean confidence and majority identity."""
     order = F.struct("frame_id", "det_id", "cx", "cy")
-    out = obs.groupBy("round_id", "track_id").agg(F.min(order).alias("a"), F.max(order).alias("z"), F.count("*").alias("n_obs"), g.r4(F.avg("conf")).alias("mean_conf"))
+    out = obs.groupBy("round_id", "track_id").agg(F.min(order).alias("a"), F.max(order).alias("z"), F.count("*").alias("n_obs"), g.r4(F.floor(F.sum("conf") * 1e6 + 0.5) / 1e6 / F.count("conf")).alias("mean_conf"))  # summed to six decimals: the same in any order
     names = majority(obs, ["round_id", "track_id"], ["rank", "suit"], ["frame_id", "det_id"]).drop("votes")
     out = out.join(names, ["round_id", "track_id"])
     return out.select("round_id", "track_id", "rank", "suit", F.col("a.frame_id").alias("first_frame"), F.col("z.frame_id").alias("last_frame"), g.r4(F.col("a.cx")).alias("first_x"), g.r4(F.col("a.cy")).alias("first_y"), g.r4(F.col("z.cx")).alias("last_x"), g.r4(F.col("z.cy")).alias("last_y"), "n_obs", "mean_conf")

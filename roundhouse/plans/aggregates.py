@@ -127,7 +127,7 @@ def _(t):
 
 @query("per_track_export", f"""WITH o AS (SELECT *, row_number() OVER w AS a, row_number() OVER (PARTITION BY round_id, track_id ORDER BY frame_id DESC, det_id DESC) AS z FROM {{tracks}} WINDOW w AS (PARTITION BY round_id, track_id ORDER BY frame_id, det_id))
     SELECT o.round_id, o.track_id, m.rank, m.suit, min(frame_id) AS first_frame, max(frame_id) AS last_frame, max(CASE WHEN a = 1 THEN {r4('cx')} END) AS first_x, max(CASE WHEN a = 1 THEN {r4('cy')} END) AS first_y, max(CASE WHEN z = 1 THEN {r4('cx')} END) AS last_x, max(CASE WHEN z = 1 THEN {r4('cy')} END) AS last_y,
-      count(*) AS n_obs, {r4('avg(conf)')} AS mean_conf FROM o JOIN ({MAJORITY}) m ON o.round_id = m.round_id AND o.track_id = m.track_id GROUP BY o.round_id, o.track_id, m.rank, m.suit""")
+      count(*) AS n_obs, {r4('FLOOR(sum(conf) * 1000000 + 0.5) / 1000000 / count(conf)')} AS mean_conf FROM o JOIN ({MAJORITY}) m ON o.round_id = m.round_id AND o.track_id = m.track_id GROUP BY o.round_id, o.track_id, m.rank, m.suit""")
 def _(t):
     return a.track_export(t.tracks)
 
