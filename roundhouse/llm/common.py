@@ -27,7 +27,8 @@ def few(df: DataFrame, small: int) -> DataFrame:
 
 
 def texts_of(column) -> list[str]:
-    """The strings of an Arrow column, nulls as empty texts."""
+    """The strings of an Arrow column, nulls as empty texts. What Arrow still holds of earlier batches goes back to the system."""
+    pa.default_memory_pool().release_unused()
     return [x or "" for x in column.to_pylist()]
 
 

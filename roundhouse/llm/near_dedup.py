@@ -74,13 +74,19 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents per hashed bucket and documents with words, over all rows. Tasks send blocks of counts, summed by block."""
 
     def count(batches):
-        counts, n = np.zeros(1 << DF_BITS, np.int64), 0
+        counts, n, waiting, size = np.zeros(1 << DF_BITS, np.int64), 0, [], 0
         for batch in batches:
             texts = texts_of(batch.column(0))
-            found = [weighted_sets(texts[a:b]) for a, b in _spans(texts)]
-            if found:
-                counts += np.bincount(bucket_of(np.concatenate([x[1] for x in found])), minlength=1 << DF_BITS)
-                n += sum(len(np.unique(x[0])) for x in found)
+            for a, b in _spans(texts):
+                doc, shingle, _, _ = weighted_sets(texts[a:b])
+                n += len(np.unique(doc))
+                waiting.append(bucket_of(shingle).astype(np.int32))
+                size += len(shingle)
+                if size >= 1 << 20:
+                    counts += np.bincount(np.concatenate(waiting), minlength=1 << DF_BITS)
+                    waiting, size = [], 0
+        if waiting:
+            counts += np.bincount(np.concatenate(waiting), minlength=1 << DF_BITS)
         blocks = counts.astype(np.int32).reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[k].tobytes() for k in used], pa.binary()), pa.array([n] + [0] * (len(used) - 1) if len(used) else [], pa.int64())], names=["block", "counts", "n"])
