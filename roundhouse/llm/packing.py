@@ -34,7 +34,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 @lru_cache(2)
 def encoder(spec: str):
-    """Text -> list of ids. A byte-level vocabulary whose ids follow its merges can run on tiktoken's loop."""
+    """Text -> list of ids. A byte-level vocabulary whose ids follow its merges can run on tiktoken's loop; texts that it refuses are encoded as in op8."""
     own = RankBpe(spec)
     merged = [i for _, i in sorted(own.pairs.values())]
     if merged != sorted(merged):
@@ -43,7 +43,14 @@ def encoder(spec: str):
 
     ranks = {b: i for i, b in own.bytes_of.items() if i not in own.special.values()}
     fast = tiktoken.Encoding("own", pat_str=own.words.pattern.replace(r"\p{White_Space}", r"\s").replace(r"\P{White_Space}", r"\S"), mergeable_ranks=ranks, special_tokens=own.special)
-    return lambda text: fast.encode(text, allowed_special="all")
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast.encode(text, allowed_special="all")
+        except ValueError:  # its regex engine gives up on a run of about a million white-space characters
+            return np.frombuffer(own.encode(text), np.uint32).tolist()
+
+    return encode
 
 
 def combinations(lengths: np.ndarray, window: int = WINDOW, most: int = 6000) -> np.ndarray:

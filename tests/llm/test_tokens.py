@@ -79,6 +79,12 @@ def test_packing(spark, library):
     assert packing.pack(df.limit(0), PATH).count() == 0
 
 
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_packing_takes_very_long_white_space(library, blank):
+    text = "x" + blank * 2_000_000 + "x"
+    assert packing.encoder(bpe.read_spec(PATH))(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_combinations_fill_windows():
     rows = packing.combinations(np.array([1, 2, 500, 1000, 1048, 2046, 2047]))
     assert len(rows) and (rows.sum(1) == packing.WINDOW).all()
