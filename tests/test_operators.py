@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 
 import numpy as np
@@ -11,8 +12,12 @@ from pyspark.sql import functions as F
 
 from roundhouse.functions import geometry as g
 from roundhouse.operators import aggregates, datasets, joins, picks, pipelines, scalar, sequences
+from roundhouse.plans import catalog
+from roundhouse.plans.fixtures import Inputs
 from roundhouse.sources import annotations, names
 
+SF = "/root/testdata/sf0.001"
+
 
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is not None, x) for x in r])
@@ -254,3 +259,12 @@ def test_empty_inputs(spark):
 def test_fan(spark, two_sided):
     cards = spark.createDataFrame([(1, 1, 1, 0.0, 0.0), (1, 1, 2, 10.0, 0.0), (1, 1, 3, 20.0, 8.0)], "round_id long, seat_id int, ordinal int, cx double, cy double")
     assert sequences.fan_double(cards, two_sided).count() == int(two_sided)  # the turn is to the other side
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_piles_of_every_frame(spark):
+    dets = Inputs(spark, SF).dets720
+    found = catalog.QUERIES["two_means_piles"](spark, SF)
+    assert found.count() == dets.count()
+    seats = dets.select(F.col("round_id") * 1000 + F.col("frame_id"), (F.col("det_id") % 3).cast("int")).distinct()
+    assert rows(found.select("round_id", "seat_id").distinct()) == rows(seats)
