@@ -17,9 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Leading path parts that a pattern may have.
-PATH_PARTS = 2
-
 
 def host_of(url: Column) -> Column:
     """The host in lower case, without port and user; empty if there is none."""
@@ -38,12 +35,17 @@ def intervals(entries: DataFrame) -> DataFrame:
     return daily.withColumn("valid_to", F.lead("day").over(order)).where("action = 'add'").select("list", "pattern", F.col("day").alias("valid_from"), "valid_to")
 
 
-def patterns_of(host: Column, path: Column) -> Column:
-    """All patterns that can match: every suffix of the host at a dot, alone and with leading path parts."""
+def path_parts(pattern: Column) -> Column:
+    """Parts of a pattern's path."""
+    return F.size(F.filter(F.split(pattern, "/"), lambda x: x != "")) - 1
+
+
+def patterns_of(host: Column, path: Column, deepest: int) -> Column:
+    """All patterns that can match: every suffix of the host at a dot, alone and with up to `deepest` leading path parts."""
     labels = F.split(host, r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    count = F.least(F.size(parts), F.lit(PATH_PARTS))
+    count = F.least(F.size(parts), F.lit(deepest))
     heads = F.transform(F.sequence(F.lit(0), count), lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, F.greatest(k, F.lit(1))), "/"))))
     return F.when(host != "", F.flatten(F.transform(suffixes, lambda s: F.transform(heads, lambda h: F.concat(s, h)))))
 
@@ -51,16 +53,17 @@ def patterns_of(host: Column, path: Column) -> Column:
 def filtered(captures: DataFrame, entries: DataFrame, small: int = 200_000) -> DataFrame:
     """page_id, fetch_day, host, blocked, list, pattern of every capture (page_id, url, fetch_day).
 
-    Few active intervals (`small`) are broadcast; more are joined by a shuffle on the pattern, where skewed hosts are split by adaptive execution. Captures that share host, path
-    and day are judged once.
+    Few active intervals (`small`) are broadcast; more are joined by a shuffle on the pattern, where skewed hosts are split by adaptive execution. A capture offers as many path parts as the
+    deepest active pattern has. Captures that share host, path and day are judged once.
     """
     active = intervals(entries)
-    if active.count() <= small:
+    size = active.agg(F.count("*").alias("n"), F.greatest(F.max(path_parts(F.col("pattern"))), F.lit(0)).alias("deepest")).first()
+    if size["n"] <= small:
         active = F.broadcast(active)
     place = ["__host", "__path", "fetch_day"]
     pages = captures.withColumns({"__host": host_of(F.col("url")), "__path": path_of(F.col("url"))}).select("page_id", *place)
     keys = pages.where("__host <> '' and fetch_day is not null").select(*place).distinct()
-    keys = keys.withColumn("pattern", F.explode(patterns_of(F.col("__host"), F.col("__path"))))
+    keys = keys.withColumn("pattern", F.explode(patterns_of(F.col("__host"), F.col("__path"), size["deepest"])))
     hits = keys.join(active, "pattern").where("valid_from <= fetch_day and (valid_to is null or fetch_day < valid_to)")
     best = hits.groupBy(*place).agg(F.min(F.struct((-F.length("pattern")).alias("size"), "list", "pattern")).alias("best"))
     out = pages.join(best, place, "left").withColumn("host", F.coalesce("__host", F.lit("")))
