@@ -13,6 +13,10 @@ from roundhouse.operators.aggregates import META_LABELS, latest_annotation
 from roundhouse.operators.joins import point_in_interval_join, top1_similarity
 from roundhouse.operators.picks import hash_rank
 from roundhouse.operators.scalar import with_rotated
+from roundhouse.storage import stored
+
+#: Focus items that one window orders.
+RUN_ROWS = 100_000
 
 
 def split_sorted(df: DataFrame, key: str, ratio: float = 0.8) -> DataFrame:
@@ -109,8 +113,14 @@ def mine_hard_negatives(items: DataFrame, focus: int, margin: float = 0.2) -> Da
     other = items.where(F.col("label_id") != focus).select(F.col("id").alias("g_id"), F.col("vec").alias("g_vec"))
     neg = top1_similarity(q, other).withColumnsRenamed({"best": "neg", "g_id": "neg_id"})
     # the next focus item in order of id stands for the positive
-    w = Window.partitionBy("label_id").orderBy("id")
-    pos = focused.select("id", "label_id", "vec", F.lead("vec").over(w).alias("next"))
+    count = -(-focused.count() // RUN_ROWS)
+    runs = focused.select("id", "vec", F.lit(0).alias("run"))
+    if count > 1:
+        runs = stored(runs.repartitionByRange(count, "id").withColumn("run", F.spark_partition_id()), "focus-runs")
+    first = runs.groupBy("run").agg(F.min_by("vec", "id").alias("vec"))
+    after = first.select("run", F.lead("vec").over(Window.partitionBy(F.lit(0)).orderBy("run")).alias("after"))  # one row per run
+    own = F.lead("vec").over(Window.partitionBy("run").orderBy("id"))
+    pos = runs.withColumn("own", own).join(after, "run").select("id", "vec", F.coalesce("own", "after").alias("next"))
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     dot = F.aggregate(F.zip_with("vec", "next", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     pos = pos.where("next is not null").select(F.col("id").alias("q_id"), (F.floor(dot / (norm(F.col("vec")) * norm(F.col("next"))) * 10000 + 0.5) / 10000.0).alias("pos"))

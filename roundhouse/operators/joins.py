@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from roundhouse.functions import geometry as g
 
 CHUNK_FRAMES = 300
+#: Numbers of a block of vectors, 32 MB, and the rows and columns of a tile of scores, 32 MB.
+BLOCK_FLOATS, TILE = 4_000_000, 2048
 
 
 def interval_overlap_join(left: DataFrame, right: DataFrame, keys: list[str], l_range: tuple[str, str], r_range: tuple[str, str], bucket: int | None = None) -> DataFrame:
@@ -189,24 +191,36 @@ def lookup_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def top1_similarity(queries: DataFrame, gallery: DataFrame, rows: int = 200_000, floats: int = 50_000_000) -> DataFrame:
     """(q_id, best, g_id): the largest dot product of unit vectors and its gallery row; ties (to four decimals) go to the smaller id.
 
-    A gallery of up to `rows` rows and `floats` numbers is broadcast as a matrix and multiplied per Arrow batch. A larger one is dealt into blocks; each query meets each block, and the block winners are merged.
+    A gallery within `rows` rows, `floats` and BLOCK_FLOATS numbers is broadcast as a matrix. A larger one is dealt into blocks of that size and the queries into parts of it, both by
+    their counts; each part meets each block, and the block winners are merged. Scores are made a tile at a time.
     """
     size = gallery.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("g_vec")), F.lit(0)).alias("f")).first()
-    blocks = max(1, -(-size["n"] // rows), -(-size["f"] // floats))
+    most = min(floats, BLOCK_FLOATS)
+    blocks = max(1, -(-size["n"] // rows), -(-size["f"] // most))
     kind = "q_id long, best double, g_id long"
 
     def best_of(q: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        scores = np.floor(q @ matrix.T * 10000 + 0.5) / 10000
-        at = scores.argmax(1)
-        return scores[np.arange(len(q)), at], ids[at]
+        score, best = np.full(len(q), -np.inf), np.zeros(len(q), np.int64)
+        for a in range(0, len(q), TILE):
+            for b in range(0, len(ids), TILE):  # ids ascend: an equal score of a later tile doesn't win
+                tile = np.floor(q[a : a + TILE] @ matrix[b : b + TILE].T * 10000 + 0.5) / 10000
+                at = tile.argmax(1)
+                found = tile[np.arange(len(tile)), at]
+                won = np.flatnonzero((found > score[a : a + TILE]) | (np.isnan(found) & ~np.isnan(score[a : a + TILE])))
+                score[a + won], best[a + won] = found[won], ids[b + at[won]]
+        return score, best
 
     def matrix_of(column) -> np.ndarray:
-        v = np.array(column.to_pylist(), np.float64)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+        if len(column) and (column.null_count or (lengths != lengths[0]).any()):
+            raise ValueError("vectors differ in length")
+        v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1 if len(column) else 1)
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-8)
 
     if blocks == 1:
         found = gallery.orderBy("g_id").toArrow()
-        ids, matrix = found["g_id"].to_numpy(), (matrix_of(found["g_vec"]) if found.num_rows else np.zeros((0, 1)))
+        ids, matrix = found["g_id"].to_numpy(), matrix_of(found["g_vec"])
         kept = queries.sparkSession.sparkContext.broadcast((ids, matrix))
 
         def run(batches):
@@ -217,7 +231,8 @@ def top1_similarity(queries: DataFrame, gallery: DataFrame, rows: int = 200_000,
 
         return queries.select(F.col("q_id").cast("long"), "q_vec").mapInArrow(run, kind)
 
-    parts = 16
+    asked = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("q_vec")), F.lit(0)).alias("f")).first()
+    parts = max(1, -(-asked["n"] // rows), -(-asked["f"] // most))
     q = queries.select(F.col("q_id").cast("long").alias("id"), F.col("q_vec").alias("vec"), F.lit(True).alias("query"), F.pmod(F.xxhash64("q_id"), F.lit(parts)).alias("part")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     r = gallery.select(F.col("g_id").cast("long").alias("id"), F.col("g_vec").alias("vec"), F.lit(False).alias("query"), F.pmod(F.xxhash64("g_id"), F.lit(blocks)).cast("int").alias("block")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 

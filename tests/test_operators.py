@@ -112,6 +112,45 @@ def test_majority_ties_go_to_first_seen(spark):
     assert rows(aggregates.majority(df, ["k"], ["v"], ["seq"])) == [(1, "b", 2)]
 
 
+def test_top1_of_many_rows_in_tiles(spark, monkeypatch):
+    rnd = np.random.default_rng(4)
+    a, b = np.round(rnd.normal(size=(300, 3)), 1), np.round(rnd.normal(size=(50, 3)), 1)
+    a[7], b[9] = b[3], b[3]  # a tie
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "q_id long, q_vec array<double>")
+    gal = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(b)], "g_id long, g_vec array<double>")
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-8)
+    scores = np.floor(unit(a) @ unit(b).T * 10000 + 0.5) / 10000
+    want = [(i, float(scores[i].max()), int(scores[i].argmax())) for i in range(300)]
+    monkeypatch.setattr(joins, "TILE", 7, raising=False)
+    assert rows(joins.top1_similarity(q, gal)) == want
+    sizes = []
+    apply = type(q.groupBy())
+    real = apply.applyInArrow
+
+    def seen(self, f, kind):
+        sizes.append(self._df.where("query").groupBy("part", "block").count().agg(F.max("count")).first()[0])
+        return real(self, f, kind)
+
+    monkeypatch.setattr(apply, "applyInArrow", seen)
+    assert rows(joins.top1_similarity(q, gal, floats=18)) == want  # 50 parts; 16 would hold 19 queries or more
+    assert len(sizes) == 1 and sizes[0] <= 18
+
+
+def test_hard_negatives_in_runs(spark, monkeypatch):
+    rnd = np.random.default_rng(5)
+    v = {i * i: rnd.normal(size=3) for i in range(40)}
+    df = spark.createDataFrame([(i, 1 if i % 2 else 2, x.tolist()) for i, x in v.items()], "id long, label_id int, vec array<double>").repartition(3)
+    kept = []
+    real = datasets.stored if hasattr(datasets, "stored") else None
+    monkeypatch.setattr(datasets, "stored", lambda d, name: kept.append(real(d, name)) or kept[-1], raising=False)
+    monkeypatch.setattr(datasets, "RUN_ROWS", 4, raising=False)
+    ids = sorted(i for i in v if i % 2)
+    cos = lambda x, y: float(np.floor(x @ y / np.sqrt((x @ x) * (y @ y)) * 10000 + 0.5) / 10000)
+    found = {r["q_id"]: r["pos"] for r in datasets.mine_hard_negatives(df, 1).collect()}
+    assert found == {i: cos(v[i], v[n]) if n is not None else None for i, n in zip(ids, [*ids[1:], None], strict=True)}
+    assert len(kept) == 1 and kept[0].select("run").distinct().count() > 1
+
+
 def test_top1_blocks_equal_broadcast(spark):
     rnd = np.random.default_rng(3)
     q = spark.createDataFrame([(i, rnd.normal(size=4).tolist()) for i in range(20)], "q_id long, q_vec array<double>")
