@@ -12,7 +12,7 @@ none, is compared inside blocks of a bucket, in tasks of at most 2 * BLOCK_NODES
 already are skipped, and only links leave a task. So no group of copies is expanded into rows of pairs.
 
 Candidates whose samples agree in fewer than AGREE of HASHES places are not verified: a pair of similarity 0.8
-does so with a chance of one in thirty thousand.
+does so with a chance of 8.7e-5, one in 11,450.
 
 A document without words (null, empty) is near to none. Rows with a null doc_id take part in counts only.
 Repeated rows are one node; of repeated doc_ids one row stays. Extra columns are passed over.
