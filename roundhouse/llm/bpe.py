@@ -5,13 +5,12 @@ by a scan, its boundary is deleted and the two neighbouring ranks are looked up
 the scans would grow with the square of their length, use a heap over linked parts; the merges are the same.
 
 Nulls count as empty texts, which have no tokens. Special tokens inside a text become their own ids, as the
-tokenizers library does. Repeated rows and ties need no rule, since a row's result is its own; extra columns
-are passed over, and an empty table gives an empty result.
+tokenizers library does. Repeated rows and ties need no rule, since a row's result is its own, and an empty table
+gives an empty result. Extra columns are passed on; a column with the name of a result gives way to it.
 """
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 from array import array
@@ -22,12 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import texts_of
+from roundhouse.llm.common import slices, texts_of, with_input
 
 #: Words of more parts than this use the heap.
 SHORT = 64
-#: Words whose ids a task remembers, about 50 MB.
-CACHE_WORDS = 200_000
+#: Words whose ids a task remembers, about 12 MB.
+CACHE_WORDS = 50_000
 _NONE = 1 << 60
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
@@ -121,7 +120,7 @@ class RankBpe:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
-@lru_cache(2)
+@lru_cache(1)
 def tokenizer(spec: str) -> RankBpe:
     """One per Python worker; spec: the text of a tokenizer's JSON file."""
     return RankBpe(spec)
@@ -133,35 +132,33 @@ def read_spec(path: str) -> str:
         return file.read()
 
 
-def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """df's columns `keep` (all by default) and `token_ids` (little-endian unsigned 32-bit integers, packed)."""
-    keep = df.columns if keep is None else keep
+def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, to: str = "token_ids") -> DataFrame:
+    """df's columns `keep` (all by default) and the column `to` (little-endian unsigned 32-bit integers, packed)."""
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() != to.lower()]
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
-    schema = df.select(*[F.col(f"`{c}`") for c in keep], F.lit(b"").alias("token_ids")).schema
+    rows, at = with_input(df, keep, text)
+    schema = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], F.lit(b"").alias(to)).schema
 
     def run(batches):
         own = tokenizer(spec.value)
-        for batch in batches:
-            ids = pa.array([own.encode(x) for x in texts_of(batch.column("__text"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(keep))], ids], names=[*keep, "token_ids"])
+        for batch in slices(batches, at):
+            ids = pa.array([own.encode(x) for x in texts_of(batch.column(at))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], names=[*keep, to])
 
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
-    """df with the texts of packed token ids in the column `to`."""
+    """df with the texts of packed token ids in the column `to`; null ids give a null."""
+    keep = [c for c in df.columns if c.lower() != to.lower()]
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
-    schema = df.withColumn(to, F.lit("")).schema
-    at = df.columns.index(ids)
+    rows, at = with_input(df, keep, ids)
+    schema = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], F.lit("").alias(to)).schema
 
     def run(batches):
         own = tokenizer(spec.value)
-        for batch in batches:
-            texts = pa.array([own.decode(x) for x in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, to])
+        for batch in slices(batches, at):
+            texts = pa.array([None if x is None else own.decode(x) for x in batch.column(at).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], texts], names=[*keep, to])
 
-    return df.mapInArrow(run, schema)
-
-
-def id_digest(ids: bytes) -> str:
-    return hashlib.sha256(ids).hexdigest()
+    return rows.mapInArrow(run, schema)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roundhouse.llm.bpe import read_spec
+from roundhouse.llm.common import small_batches
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 FORMATTED = "conv_id long, formatted string, token_ids array<int>, token_starts array<int>, token_ends array<int>, loss_mask array<boolean>"
@@ -85,7 +86,7 @@ def format_conversations(df: DataFrame, path: str, trained: tuple[str, ...] = ("
     """One row per conv_id: FORMATTED. df has conv_id, turn, role and text."""
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
     turns = F.sort_array(F.collect_list(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))))
-    grouped = df.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(turns.alias("turns"))
+    grouped = small_batches(df).groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(turns.alias("turns"))
 
     def run(batches):
         own = encoder(spec.value)

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roundhouse.storage import stored
 
-__all__ = ["few", "fold", "labelled", "spans", "stored", "sum_blocks", "table", "texts_of"]
+__all__ = ["few", "fold", "labelled", "slices", "small_batches", "spans", "stored", "sum_blocks", "table", "texts_of", "unused", "with_input"]
 
 #: Code points that one vectorised step of a task looks at; a longer text is a step of its own.
 CHUNK_CHARS = 1 << 19
+#: Bytes of text that a task turns into Python strings at a time; a longer text is a slice of its own.
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +31,57 @@ def few(df: DataFrame, small: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= small else df
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """name, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df. Its session sends SLICE_BYTES of rows to Python at a time, unless a limit of its own was set: texts vary too much for a limit in rows."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) in (None, "67108864b", "64m", "64MB"):  # Spark's default
+        conf.set(key, f"{SLICE_BYTES}b")
+    return df
+
+
+def with_input(df: DataFrame, keep: list[str], column: str) -> tuple[DataFrame, int]:
+    """df's columns `keep`, and the place of `column` among them; a column that isn't kept is put after them."""
+    df = small_batches(df)
+    if column in keep:
+        return df.select(*[F.col(f"`{c}`") for c in keep]), keep.index(column)
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias(unused("__input", keep))), len(keep)
+
+
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another allocator
+        return lambda _: 0
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts (or other bytes) in column `text` hold about `limit` bytes.
+
+    What a worker held for earlier slices goes back to the system, so that it doesn't keep the most it ever needed.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            held = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, held + limit, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+
 def texts_of(column) -> list[str]:
-    """The strings of an Arrow column, nulls as empty texts. What Arrow still holds of earlier batches goes back to the system."""
-    pa.default_memory_pool().release_unused()
+    """The strings of an Arrow column, nulls as empty texts."""
     return [x or "" for x in column.to_pylist()]
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import few, spans, stored, texts_of
+from roundhouse.llm.common import few, slices, small_batches, spans, stored, texts_of
 from roundhouse.llm.textgrid import WordGrid, mix, shingles
 
 WIDTH, SIMILARITY = 5, 0.8
@@ -75,7 +75,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches):
         counts, n, waiting, size = np.zeros(1 << DF_BITS, np.int64), 0, [], 0
-        for batch in batches:
+        for batch in slices(batches, 0):
             texts = texts_of(batch.column(0))
             for a, b in _spans(texts):
                 doc, shingle, _, _ = weighted_sets(texts[a:b])
@@ -168,7 +168,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
     """doc_id, node (a hash of all its words), bands and prints (a byte of each sample) of each document with words."""
 
     def sign(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, texts = batch.column(0), texts_of(batch.column(1))
             for a, b in _spans(texts):
                 doc, shingle, tf, whole = weighted_sets(texts[a:b])
@@ -213,7 +213,7 @@ def sets(docs: DataFrame) -> DataFrame:
     """doc_id with its packed shingles."""
 
     def collect(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, texts = batch.column(0), texts_of(batch.column(1))
             for a, b in _spans(texts):
                 doc, shingle, tf, _ = weighted_sets(texts[a:b])
@@ -389,7 +389,7 @@ def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf) ->
 def classes(df: DataFrame) -> DataFrame:
     """(doc_id, class_id) for each doc_id: class_id is the least doc_id of its class; a document near to none is its own class."""
     spark: SparkSession = df.sparkSession
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts, n = document_frequencies(docs)
     idf = spark.sparkContext.broadcast(idf_table(counts, n))  # 4 MB
     docs = docs.where("doc_id is not null")

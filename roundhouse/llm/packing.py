@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundhouse.llm.bpe import RankBpe, read_spec
-from roundhouse.llm.common import texts_of
+from roundhouse.llm.bpe import RankBpe, read_spec, tokenizer
+from roundhouse.llm.common import slices, small_batches, texts_of
 
 WINDOW, END_ID = 2048, 1
 #: Documents whose remainders are packed together: at most 64 MB of ids.
@@ -32,9 +32,12 @@ PACK_ROWS = 8192
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-@lru_cache(2)
+@lru_cache(1)
 def encoder(spec: str):
-    """Text -> list of ids. A byte-level vocabulary whose ids follow its merges can run on tiktoken's loop; texts that it refuses are encoded as in op8."""
+    """Text -> list of ids. A byte-level vocabulary whose ids follow its merges can run on tiktoken's loop; texts that it refuses are encoded as in op8.
+
+    Of the tables of op8 nothing is kept beside tiktoken's, until a text needs them.
+    """
     own = RankBpe(spec)
     merged = [i for _, i in sorted(own.pairs.values())]
     if merged != sorted(merged):
@@ -48,7 +51,7 @@ def encoder(spec: str):
         try:
             return fast.encode(text, allowed_special="all")
         except ValueError:  # its regex engine gives up on a run of about a million white-space characters
-            return np.frombuffer(own.encode(text), np.uint32).tolist()
+            return np.frombuffer(tokenizer(spec).encode(text), np.uint32).tolist()
 
     return encode
 
@@ -189,8 +192,8 @@ def pack(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches):
-        pairs = ((b.column(0).to_pylist(), texts_of(b.column(1))) for b in batches)
+        pairs = ((b.column(0).to_pylist(), texts_of(b.column(1))) for b in slices(batches, 1))
         for rows in pack_rows(pairs, encoder(spec.value), TaskContext.get().partitionId()):
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))], names=names)
 
-    return df.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")).mapInArrow(run, schema)

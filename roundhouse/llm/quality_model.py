@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import fold, spans, stored, sum_blocks, texts_of
+from roundhouse.llm.common import fold, slices, spans, stored, sum_blocks, texts_of, unused, with_input
 from roundhouse.llm.textgrid import WordGrid, shingles
 
 FEATURES, FREQUENCIES, RIDGE, BINS = 20, 256, 3.0, 1024
@@ -31,8 +31,9 @@ _KINDS = 11
 @cache
 def _kinds() -> np.ndarray:
     """Code point -> other, lower, upper, digit, space, newline, symbol, '!', '|', sentence end, other mark."""
-    out = np.zeros(0x10000, np.int64)
-    for point in range(0x10000):
+    out = np.ones(0x20001, np.int8)  # from 0x20000 on there are only letters
+    for point in range(0x20000):
+        out[point] = 0
         c = chr(point)
         if c == "\n":
             out[point] = 5
@@ -59,7 +60,7 @@ def statistics(texts: list[str]) -> np.ndarray:
     """FEATURES numbers for each of some whole texts."""
     n = len(texts)
     grid = WordGrid(texts)
-    kinds = _kinds()[np.minimum(grid.points, 0xFFFF)]
+    kinds = _kinds()[np.minimum(grid.points, 0x20000)]
     begins = np.concatenate([[0], grid.text_ends[:-1]])
     doc_of_char = np.repeat(np.arange(n), grid.text_ends - begins)
     by_kind = np.bincount(doc_of_char * _KINDS + kinds, minlength=n * _KINDS).reshape(n, _KINDS).astype(float)
@@ -105,15 +106,17 @@ def statistics_batches(texts: list[str]) -> np.ndarray:
     return np.concatenate([np.zeros((0, FEATURES), np.float32), *[statistics(texts[a:b][k : k + 4096]) for a, b in spans(texts) for k in range(0, b - a, 4096)]])
 
 
-def described(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and the statistics of each text, packed as float32."""
+def described(df: DataFrame, keep: list[str], text: str = "text", to: str = "stats") -> DataFrame:
+    """df's columns `keep` and the statistics of each text, packed as float32."""
+    schema = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], F.lit(b"").alias(to)).schema
+    rows, at = with_input(df, keep, text)
 
     def run(batches):
-        for batch in batches:
-            rows = statistics_batches(texts_of(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in rows], pa.binary())], names=["doc_id", "stats"])
+        for batch in slices(batches, at):
+            found = statistics_batches(texts_of(batch.column(at)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array([x.tobytes() for x in found], pa.binary())], names=[*keep, to])
 
-    return df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "doc_id long, stats binary")
+    return rows.mapInArrow(run, schema)
 
 
 @dataclass
@@ -215,32 +218,32 @@ def fit(rows: DataFrame) -> Model:
     return model
 
 
-def fit_documents(df: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
-    """(stored statistics of every row, model). labels: doc_id, label, from labelled()."""
-    stats = stored(described(df), "quality-statistics")
-    rows = stats.join(labels, "doc_id").select("stats", F.col("label").cast("int"), fold("doc_id").cast("int").alias("fold")).where("fold > 0")
-    return stats, fit(rows)
+def fit_documents(df: DataFrame, labels: DataFrame, keep: list[str] | None = None, to: str = "stats") -> tuple[DataFrame, Model]:
+    """(stored columns `keep` of every row with its statistics, model). labels: doc_id, label, from labelled()."""
+    rows = stored(described(df, ["doc_id"] if keep is None else keep, to=to), "quality-statistics")
+    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{to}`").alias("stats")).join(labels, "doc_id")
+    return rows, fit(own.select("stats", F.col("label").cast("int"), fold("doc_id").cast("int").alias("fold")).where("fold > 0"))
 
 
-def scored(stats: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of described()."""
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row of fit_documents()."""
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(unpacked(batch.column(1))))], names=["doc_id", "score"])
 
-    rows = stats.mapInArrow(run, "doc_id long, score double")
-    return rows.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", F.when(F.col("score") >= GOOD, 1).otherwise(0).alias("predicted"))
+    out = rows.select(F.col("doc_id").cast("long"), "stats").mapInArrow(run, "doc_id long, score double")
+    return out.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", F.when(F.col("score") >= GOOD, 1).otherwise(0).alias("predicted"))
 
 
 def keep_good(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows that the classifier accepts, with df's columns. Reads the texts twice: once to fit, once to judge."""
-    _, model = fit_documents(df, labels)
-    schema = df.schema
+    """The rows that the classifier accepts, with df's columns. Texts are read once: the rows are written with their statistics."""
+    to = unused("__stats", df.columns)
+    rows, model = fit_documents(df, labels, df.columns, to)
+    at, schema = len(df.columns), rows.schema
 
     def run(batches):
         for batch in batches:
-            good = model.score(statistics_batches(texts_of(batch.column("text")))) >= GOOD
-            yield batch.filter(pa.array(good))
+            yield batch.filter(pa.array(model.score(unpacked(batch.column(at))) >= GOOD))
 
-    return df.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).drop(to)

@@ -4,8 +4,9 @@ Every rule looks at one statistic of a text and votes good (1), bad (-1) or abst
 maximisation over the counts of vote patterns estimates how often each rule votes what under either
 class, and the posterior probability of the good class replaces a chain of hard filters.
 
-Null and empty texts have no words: they fail the base checks. Repeated rows get equal results, extra
-columns are passed over, and an empty table gives an empty result.
+Null and empty texts have no words: they fail the base checks. Repeated rows get equal results, and an empty
+table gives an empty result. Extra columns are passed on, whatever their names are; only a column with the name
+of judge's result gives way to it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import texts_of
+from roundhouse.llm.common import slices, stored, texts_of, unused, with_input
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -44,16 +45,16 @@ RULES: dict[str, tuple[str, float | None, float | None]] = {
 
 @cache
 def _upper() -> np.ndarray:
-    return np.fromiter((chr(x).isupper() for x in range(0x10000)), bool, 0x10000)
+    return np.fromiter((chr(x).isupper() for x in range(0x20001)), bool, 0x20001)
 
 
 def upper_letters(text: str) -> int:
-    """Upper-case letters below 0x10000."""
+    """Upper-case letters; there are none from 0x20000 on."""
     if text.isascii():
         points = np.frombuffer(text.encode(), np.uint8)
         return int(np.count_nonzero((points >= 65) & (points <= 90)))
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    return int(np.count_nonzero(_upper()[np.minimum(points, 0xFFFF)]))
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return int(np.count_nonzero(_upper()[np.minimum(points, 0x20000)]))
 
 
 def repeat_words(words: list[bytes], width: int = 3) -> int:
@@ -84,7 +85,7 @@ def repeat_words(words: list[bytes], width: int = 3) -> int:
 
 def statistics(text: str) -> tuple[int, ...]:
     """The columns of STATS for one whole text."""
-    words = text.encode().split()  # bytes.split() parts at \x20 and \x09-\x0D alone
+    words = text.encode("utf-8", "surrogatepass").split()  # bytes.split() parts at \x20 and \x09-\x0D alone
     lines = [x for x in text.split("\n") if x.strip(SPACES)]
     return (
         len(words),
@@ -101,33 +102,34 @@ def statistics(text: str) -> tuple[int, ...]:
     )
 
 
-def with_statistics(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """df's columns `keep` (all by default) and a struct column `__stats`."""
+def with_statistics(df: DataFrame, text: str = "text", keep: list[str] | None = None, to: str = "__stats") -> DataFrame:
+    """df's columns `keep` (all by default) and a struct column of STATS."""
     keep = df.columns if keep is None else keep
     kind = F.expr(f"cast(null as struct<{', '.join(x.strip().replace(' ', ':') for x in STATS.split(','))}>)")
-    out = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], kind.alias("__stats")).schema
+    schema = df.limit(0).select(*[F.col(f"`{c}`") for c in keep], kind.alias(to)).schema
     names = [x.strip().split()[0] for x in STATS.split(",")]
+    rows, at = with_input(df, keep, text)
 
     def add(batches):
-        for batch in batches:
-            rows = [statistics(x) for x in texts_of(batch.column("__text"))]
-            columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.StructArray.from_arrays(columns, names=names)], names=[*keep, "__stats"])
+        for batch in slices(batches, at):
+            found = np.array([statistics(x) for x in texts_of(batch.column(at))], np.int64)
+            stats = pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(len(names))], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], stats], names=[*keep, to])
 
-    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")).mapInArrow(add, out)
+    return rows.mapInArrow(add, schema)
 
 
-def vote(name: str) -> Column:
+def vote(name: str, at: str = "__stats") -> Column:
     share, good, bad = RULES[name]
     share = f"({share})"
     for column in ("n_symbols", "word_chars", "n_pipes", "n_words", "n_repeat_words", "n_dup_lines", "n_lines", "n_upper", "n_digits", "n_shouts", "n_closed_lines"):
-        share = share.replace(f"{column} ", f"__stats.{column} ").replace(f"({column},", f"(__stats.{column},")
+        share = share.replace(f"{column} ", f"{at}.{column} ").replace(f"({column},", f"({at}.{column},")
     cases = (f" when {share} >= {bad} then -1" if bad is not None else "") + (f" when {share} <= {good} then 1" if good is not None else "")
     return F.expr(f"case{cases} else 0 end")
 
 
-def votes() -> Column:
-    return F.array(*[vote(x) for x in RULES])
+def votes(at: str = "__stats") -> Column:
+    return F.array(*[vote(x, at) for x in RULES])
 
 
 def fit(patterns: list[tuple[list[int], int]], rounds: int = 60) -> tuple[float, list[dict[int, float]]]:
@@ -158,36 +160,38 @@ def fit(patterns: list[tuple[list[int], int]], rounds: int = 60) -> tuple[float,
     return math.log(prior / (1 - prior)), [{-1: float(x[0]), 0: float(x[1]), 1: float(x[2])} for x in logs]
 
 
-def posterior(model: tuple[float, list[dict[int, float]]]) -> Column:
-    """The probability of the good class, from the column `__stats`."""
+def posterior(model: tuple[float, list[dict[int, float]]], at: str = "__stats") -> Column:
+    """The probability of the good class, from a struct column of STATS."""
     odds = F.lit(float(model[0]))
     for name, logs in zip(RULES, model[1], strict=True):
-        v = vote(name)
+        v = vote(name, at)
         odds = odds + F.when(v == 1, F.lit(logs[1])).when(v == -1, F.lit(logs[-1])).otherwise(F.lit(logs[0]))
     return 1 / (1 + F.exp(-odds))
 
 
-def base_failed() -> Column:
-    return F.expr("__stats.n_words < 50 or 100 * __stats.n_repeat_words > 50 * __stats.n_words")
+def base_failed(at: str = "__stats") -> Column:
+    return F.expr(f"{at}.n_words < 50 or 100 * {at}.n_repeat_words > 50 * {at}.n_words")
 
 
-def fit_rules(df: DataFrame, text: str = "text") -> tuple[float, list[dict[int, float]]]:
-    """Rule weights from every row; the driver gets one row per vote pattern."""
-    rows = with_statistics(df, text, []).where(~base_failed()).groupBy(votes().alias("votes")).count().collect()
-    return fit(sorted((list(r["votes"]), r["count"]) for r in rows))
+def fit_rules(rows: DataFrame, at: str = "__stats") -> tuple[float, list[dict[int, float]]]:
+    """Rule weights from every row of with_statistics(); the driver gets one row per vote pattern."""
+    found = rows.where(~base_failed(at)).groupBy(votes(at).alias("votes")).count().collect()
+    return fit(sorted((list(r["votes"]), r["count"]) for r in found))
 
 
-def judge(df: DataFrame, text: str = "text", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
-    """Adds __stats, __quality_p (posterior), __base_failed and __kept. Reads the input twice, once to fit."""
-    model = fit_rules(df, text)
-    return (
-        with_statistics(df, text, keep)
-        .withColumn("__quality_p", posterior(model))
-        .withColumn("__base_failed", base_failed())
-        .withColumn("__kept", ~F.col("__base_failed") & (F.col("__quality_p") >= threshold))
-    )
+def judge(df: DataFrame, text: str = "text", threshold: float = 0.5, keep: list[str] | None = None, to: str = "__quality") -> DataFrame:
+    """df's columns `keep` (all by default) and a struct column `to`: STATS, quality_p (posterior), base_failed and kept.
+
+    Texts are read once: the rows are written with their statistics, which both the fit and the verdicts read.
+    """
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() != to.lower()]
+    rows = stored(with_statistics(df, text, keep, to), "quality-rules")
+    p, failed = posterior(fit_rules(rows, to), to), base_failed(to)
+    verdict = {"quality_p": p, "base_failed": failed, "kept": ~failed & (p >= threshold)}
+    return rows.withColumn(to, F.struct(f"{to}.*", *[v.alias(k) for k, v in verdict.items()]))
 
 
 def keep_good(df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows whose text is kept, with df's columns."""
-    return judge(df, text, threshold).where("__kept").select(*[F.col(f"`{c}`") for c in df.columns])
+    to = unused("__quality", df.columns)
+    return judge(df, text, threshold, to=to).where(f"{to}.kept").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -43,8 +43,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the base statistics, quality_p, base_failed and kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    stats = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return quality_rules.judge(docs, keep=["doc_id"]).select("doc_id", *[f"__stats.{x}" for x in stats], *[F.col(f"__{x}").alias(x) for x in ("base_failed", "kept", "quality_p")])
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_p"]
+    return quality_rules.judge(docs, keep=["doc_id"]).select("doc_id", *[f"__quality.{x}" for x in columns])
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

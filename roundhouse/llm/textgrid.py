@@ -28,6 +28,10 @@ def _lowered() -> np.ndarray:
 
 
 @cache
+def _few_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_STEP)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_BASE, -1, 1 << 64)
     with np.errstate(over="ignore"):
@@ -59,8 +63,7 @@ class WordGrid:
             edge = np.concatenate([[0], edge])
         self.starts, self.ends = edge[::2], edge[1::2]
         self.doc = np.searchsorted(self.text_ends, self.starts, side="right")
-        room = 1 << max(20, int(len(points)).bit_length())
-        up, self._down = _powers(room)
+        up, self._down = _few_powers() if len(points) <= _STEP else _powers(len(points))  # those of a very long text aren't kept
         with np.errstate(over="ignore"):
             self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(low)], dtype=np.uint64)])
         self.hashes = self.hash_of(self.starts, self.ends)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import fold, spans, stored, texts_of
+from roundhouse.llm.common import fold, slices, small_batches, spans, stored, texts_of
 from roundhouse.llm.textgrid import WordGrid, mix, shingles
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -34,10 +34,11 @@ CANDIDATES, LEXICON = 50_000, 5_000
 STEMS = (4, 5, 6)
 CLAUSE_ENDS = ".!?;:\n"
 
+#: Single words, as the texts' words are cut: at apostrophes too.
 WORDS = {
     THREAT: "kill destroy hurt punish crush beat töten zerstören schlagen verletzen tuer détruire frapper blesser matar destruir golpear herir",
     TARGET: "you your yours he she they him her them these those du dich dir ihr euch sie er tu te toi vous il elle ils tú ti usted él ella ellos",
-    NEGATION: "not never no nobody isn't wasn't nicht nie kein keine ne pas jamais aucun nunca jamás ningún",
+    NEGATION: "not never no nobody isn wasn nicht nie kein keine ne pas jamais aucun nunca jamás ningún",
     REPORT: "said says wrote claimed quoted reported called sagte sagt schrieb behauptete dit disait écrit affirme dijo dice escribió afirmó",
 }
 
@@ -84,13 +85,34 @@ def grammar() -> Composed:
     return Composed(_grammar())
 
 
+class Lookup:
+    """Places of values in a sorted table. A sieve of the leading 20 bits spares most searches."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.sieve = np.zeros(1 << 20, bool)
+        self.sieve[(table >> np.uint64(44)).astype(np.int64)] = True
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        """The place of each value, -1 if it isn't in the table."""
+        out = np.full(len(values), -1)
+        if len(self.table):
+            maybe = np.flatnonzero(self.sieve[(values >> np.uint64(44)).astype(np.int64)])
+            at = np.searchsorted(self.table, values[maybe])
+            at[at == len(self.table)] = 0
+            out[maybe] = np.where(self.table[at] == values[maybe], at, -1)
+        return out
+
+
 @cache
-def fixed_classes() -> tuple[np.ndarray, np.ndarray]:
-    """Sorted word hashes of WORDS and their classes."""
+def fixed_classes() -> tuple[Lookup, np.ndarray]:
+    """The word hashes of WORDS and their classes."""
     words = [(w, c) for c, text in WORDS.items() for w in text.split()]
-    hashes = np.array([WordGrid([w]).hashes[-1] for w, _ in words], np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([c for _, c in words])[order]
+    grid = WordGrid([w for w, _ in words])
+    if (grid.words_per_text() != 1).any():
+        raise ValueError("an entry of WORDS isn't a single word")
+    order = np.argsort(grid.hashes)
+    return Lookup(grid.hashes[order]), np.array([c for _, c in words])[order]
 
 
 def pieces(grid: WordGrid) -> list[np.ndarray]:
@@ -104,36 +126,16 @@ def pieces(grid: WordGrid) -> list[np.ndarray]:
     return out
 
 
-def found_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Place of each value in a sorted table, -1 if it isn't there."""
-    if not len(table):
-        return np.full(len(values), -1)
-    sieve = _sieve(table.tobytes())
-    maybe = np.flatnonzero(sieve[(values >> np.uint64(44)).astype(np.int64)])
-    out = np.full(len(values), -1)
-    at = np.searchsorted(table, values[maybe])
-    at[at == len(table)] = 0
-    out[maybe] = np.where(table[at] == values[maybe], at, -1)
-    return out
-
-
-@cache
-def _sieve(table: bytes) -> np.ndarray:
-    out = np.zeros(1 << 20, bool)
-    out[(np.frombuffer(table, np.uint64) >> np.uint64(44)).astype(np.int64)] = True
-    return out
-
-
-def clause_scores(texts: list[str], lexicon: np.ndarray) -> list[list[float]]:
+def clause_scores(texts: list[str], lexicon: Lookup) -> list[list[float]]:
     """The scores of the matched clauses of each text."""
     grid = WordGrid(texts)
     out: list[list[float]] = [[] for _ in texts]
     classes = np.zeros(len(grid.starts), np.int64)
     fixed, kinds = fixed_classes()
-    at = found_in(grid.hashes, fixed)
+    at = fixed.places(grid.hashes)
     classes[at >= 0] = kinds[at[at >= 0]]
     for own in pieces(grid):
-        classes[found_in(own, lexicon) >= 0] = INSULT
+        classes[lexicon.places(own) >= 0] = INSULT
     hits = np.flatnonzero((classes == INSULT) | (classes == THREAT))
     if not len(hits):
         return out
@@ -148,7 +150,7 @@ def clause_scores(texts: list[str], lexicon: np.ndarray) -> list[list[float]]:
     return out
 
 
-def raw_scores(texts: list[str], lexicon: np.ndarray) -> np.ndarray:
+def raw_scores(texts: list[str], lexicon: Lookup) -> np.ndarray:
     """log(1 + sum of clause scores) of each text."""
     found = [x for a, b in spans(texts) for x in clause_scores(texts[a:b], lexicon)]
     return np.log1p(np.array([sum(x) for x in found], np.float64))
@@ -160,7 +162,7 @@ def sample_of(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int,
     share = {k: min(1.0, SAMPLE_ROWS / n) for k, n in counts.items()}
     part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / 1_000_000
     taken = labels.where(F.coalesce(*[F.when(F.col("label") == k, part < s) for k, s in share.items()], F.lit(False)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(taken), "doc_id")  # at most about 2 * SAMPLE_ROWS ids
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(taken), "doc_id")  # at most about 2 * SAMPLE_ROWS ids
     return stored(rows, "toxicity-sample"), share
 
 
@@ -168,7 +170,7 @@ def votes_of(sample: DataFrame) -> DataFrame:
     """sample with a vote per row: one for all rows that share one of three minima of their three-word shingles."""
 
     def prints(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = texts_of(batch.column(1))
             rows = []
             for a, b in spans(texts):
@@ -195,15 +197,16 @@ def piece_votes(rows: DataFrame, only: np.ndarray | None = None) -> DataFrame:
     """(piece, votes): the votes of the texts that hold a piece."""
 
     def run(batches):
-        for batch in batches:
+        wanted = None if only is None else Lookup(only)
+        for batch in slices(batches, 0):
             texts, vote = texts_of(batch.column(0)), batch.column(1).to_numpy()
             found = []
             for a, b in spans(texts):
                 grid = WordGrid(texts[a:b])
                 for own in pieces(grid):
                     doc = grid.doc
-                    if only is not None:
-                        keep = found_in(own, only) >= 0
+                    if wanted is not None:
+                        keep = wanted.places(own) >= 0
                         own, doc = own[keep], doc[keep]
                     order = np.lexsort((doc, own))
                     own, doc = own[order], doc[order]
@@ -223,8 +226,8 @@ class Model:
     slope: float
     base: float
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.base + self.slope * raw_scores(texts, self.lexicon))))
+    def score(self, texts: list[str], lexicon: Lookup) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.base + self.slope * raw_scores(texts, lexicon))))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -265,8 +268,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     lexicon = np.sort(piece[chosen])
 
     def raw(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(raw_scores(texts_of(batch.column(0)), lexicon)), batch.column(1), batch.column(2)], names=["raw", "label", "vote"])
+        own = Lookup(lexicon)
+        for batch in slices(batches, 0):
+            yield pa.RecordBatch.from_arrays([pa.array(raw_scores(texts_of(batch.column(0)), own)), batch.column(1), batch.column(2)], names=["raw", "label", "vote"])
 
     scores = rows.select("text", "label", "vote").mapInArrow(raw, "raw double, label int, vote double").collect()  # three numbers a sampled row
     y = np.array([r["label"] for r in scores], float)
@@ -279,8 +283,9 @@ def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text
     """doc_id, held_out, score, predicted of every row."""
 
     def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(texts_of(batch.column(1))))], names=["doc_id", "score"])
+        own = Lookup(model.lexicon)
+        for batch in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(texts_of(batch.column(1)), own))], names=["doc_id", "score"])
 
-    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "doc_id long, score double")
+    rows = small_batches(df).select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "doc_id long, score double")
     return rows.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -43,9 +43,12 @@ def test_rules_fit_and_odd_rows(spark):
     bad = [(i + 100, " ".join(rnd.choice(["ab", "cd", "ef"]) + "###$$$" + str(rnd.randrange(50)) for _ in range(90))) for i in range(20)]
     df = spark.createDataFrame([(*x, "c") for x in good + bad], KIND + ", stats string").unionByName(odd(spark))
     out = {(r["doc_id"], i): r for i, r in enumerate(quality_rules.judge(df, keep=["doc_id"]).collect())}
-    kept = {k[0] for k, r in out.items() if r["__kept"]}
+    kept = {k[0] for k, r in out.items() if r["__quality"]["kept"]}
     assert kept == set(range(80))
-    assert quality_rules.keep_good(df).columns == df.columns
+    clash = df.withColumn("__quality", df["doc_id"]).withColumn("__input", df["text"]).withColumn("__stats", df["doc_id"])
+    assert quality_rules.keep_good(clash).columns == clash.columns
+    assert {r["doc_id"] for r in quality_rules.keep_good(clash).collect()} == kept
+    assert quality_rules.judge(clash).columns == [*[c for c in clash.columns if c != "__quality"], "__quality"]
     assert quality_rules.judge(df.limit(0)).count() == 0
 
 
@@ -178,3 +181,14 @@ def test_deep_url_patterns(spark, small):
     df = spark.createDataFrame([(*p, DAY(2024, 2, 1)) for p in pages], "page_id long, url string, fetch_day date")
     out = url_filter.filtered(df, listed, small).collect()
     assert sorted((r["page_id"], r["pattern"] or "") for r in out) == [(1, "x.org/a/b/c/d"), (2, "x.org/a/b/c/d"), (3, "x.org/a"), (4, "")]
+
+
+def test_slices_keep_every_row_in_order():
+    import pyarrow as pa
+
+    texts = ["a" * 50, None, "", "b" * 500, "c", "d" * 90]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["i", "t"])
+    for limit in (1, 60, 100, 10_000):
+        parts = list(common.slices([batch, batch.slice(2, 3), batch.slice(0, 0)], 1, limit))
+        assert [x for p in parts for x in p.column(0).to_pylist()] == [0, 1, 2, 3, 4, 5, 2, 3, 4]
+        assert all(p.num_rows == 1 or sum(len(x or "") for x in p.column(1).to_pylist()) <= limit for p in parts)

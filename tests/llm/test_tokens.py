@@ -49,9 +49,11 @@ def test_long_words_merge_alike():
 
 def test_bpe_frame(spark):
     df = spark.createDataFrame([(1, "a b", "x"), (2, None, "y"), (2, None, "y"), (None, "", "z")], "doc_id long, text string, token_ids string")
-    out = bpe.decode(bpe.encode(df.drop("token_ids"), PATH), PATH)
+    out = bpe.decode(bpe.encode(df.withColumn("decoded", df["doc_id"]).withColumn("__input", df["text"]), PATH), PATH)  # token_ids and decoded give way to the results
+    assert sorted(out.columns) == ["__input", "decoded", "doc_id", "text", "token_ids"]
     assert sorted((r["doc_id"] or 0, len(r["token_ids"]), r["decoded"]) for r in out.collect()) == [(0, 0, ""), (1, 8, "a b"), (2, 0, ""), (2, 0, "")]
-    assert bpe.encode(df.select("doc_id", "text").limit(0), PATH).count() == 0
+    assert bpe.encode(df.limit(0), PATH).count() == 0
+    assert bpe.encode(df, PATH, keep=["doc_id"]).columns == ["doc_id", "token_ids"]
 
 
 def test_packing(spark, library):
