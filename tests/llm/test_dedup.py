@@ -135,10 +135,12 @@ def distance_one(a, b):
     return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize(("long", "least"), [(256, 5), (9, 5), (256, 2)])
+def test_lines_equal_brute_force(spark, monkeypatch, long, least):
+    monkeypatch.setattr(line_dedup, "LONG", long)
     rnd = random.Random(4)
     docs = []
-    bases = [[rnd.choice(WORDS[:30]) for _ in range(rnd.randrange(3, 16))] for _ in range(25)]
+    bases = [[rnd.choice(WORDS[:30]) for _ in range(rnd.randrange(2, 16))] for _ in range(25)] + [["a"] * 6, ["a", "b"] * 3]
     for i in range(60):
         lines = []
         for _ in range(rnd.randrange(4)):
@@ -147,7 +149,7 @@ def test_lines_equal_brute_force(spark):
             at = rnd.randrange(len(w))
             if move == 0:
                 w[at] = "new"
-            elif move == 1:
+            elif move == 1 and len(w) > 1:
                 del w[at]
             elif move == 2:
                 w.insert(at, "more")
@@ -160,12 +162,7 @@ def test_lines_equal_brute_force(spark):
     lines = [(d, n, x.split()) for d, t in docs for n, x in enumerate((t or "").split("\n")) if x.split()]
     want = []
     for d, n, w in lines:
-        near = [(e, m) for e, m, v in lines if v == w or (len(w) >= line_dedup.MIN_WORDS and len(v) >= line_dedup.MIN_WORDS and distance_one(w, v))]
+        near = [(e, m) for e, m, v in lines if v == w or (len(w) >= least and len(v) >= least and distance_one(w, v))]
         want.append((d, n, len(w), *min(near), (d, n) == min(near)))
-    assert sorted(map(tuple, line_dedup.dedup_lines(df).collect())) == sorted(want)
+    assert sorted(map(tuple, line_dedup.dedup_lines(df, least).collect())) == sorted(want)
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
-
-
-def test_variants_of_long_lines(spark):
-    df = line_dedup.keyed(line_dedup.lines_of(spark.createDataFrame([(1, "a b c d e f")], KIND)))
-    assert sorted(line_dedup.short_variants(df).collect()) == sorted(line_dedup.long_variants(df).collect())

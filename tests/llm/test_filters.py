@@ -119,7 +119,7 @@ def lexicon(words):
 
 
 def test_grammar_scores_clauses():
-    lex = lexicon(["idiot"])
+    lex = toxicity.Lookup(lexicon(["idiot"]))
     s = lambda text: sum(toxicity.clause_scores([text], lex)[0])
     assert s("an idiot") == 1.0 and s("nothing here") == 0.0 and s("") == 0.0
     assert s("you are an idiot") > s("an idiot") > s("not an idiot") > 0
