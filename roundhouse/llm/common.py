@@ -12,9 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundhouse.storage import stored
+from roundhouse.storage import forget, stored
 
-__all__ = ["few", "fold", "labelled", "slices", "small_batches", "spans", "stored", "sum_blocks", "table", "texts_of", "unused", "with_input"]
+__all__ = ["few", "fold", "forget", "labelled", "slices", "small_batches", "spans", "stored", "sum_blocks", "table", "texts_of", "unused", "with_input"]
 
 #: Code points that one vectorised step of a task looks at; a longer text is a step of its own.
 CHUNK_CHARS = 1 << 19

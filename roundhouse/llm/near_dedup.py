@@ -1,18 +1,22 @@
 """Near-duplicate detection by improved consistent weighted sampling (ICWS) over TF-IDF shingles.
 
-Shingles are runs of five words. A shingle weighs tf * idf, where document frequencies are counted over
-every document in 2**20 hashed buckets (a table of fixed size) and idf falls from 1 (rarest) to `IDF_FLOOR`
-(in every document) with log(N / df). The damping keeps copies in a large group alike: a passage they all
-share isn't worth less than four fifths of what tells them apart.
+Shingles are runs of five words. A shingle weighs tf * idf. Document frequencies are counted over every document in
+DF_ROWS tables of 2**20 hashed buckets; what other shingles put into a bucket on average, and three times the chance
+deviation of that, is taken off, and the least of a shingle's estimates counts. The tables don't fill up: what remains
+as noise is a smaller share of a larger corpus. idf falls from 1 (in one document) to IDF_FLOOR (in every document)
+with log(N / df) / log(N). The damping keeps copies in a large group alike: a passage they all share isn't worth less
+than four fifths of what tells them apart.
 
 Every document draws HASHES weighted samples; BANDS bands of ROWS samples make its buckets. Documents whose
 words are all equal are one node. In a bucket every node is verified against a leader by weighted Jaccard
-similarity, then against eight more where components still differ. What is left open, mostly nodes near to
-none, is compared inside blocks of a bucket, in tasks of at most 2 * BLOCK_NODES nodes; pairs that are connected
-already are skipped, and only links leave a task. So no group of copies is expanded into rows of pairs.
+similarity, then against eight more where components still differ. What is left open is compared in blocks of
+BLOCK_NODES nodes inside tasks: in each bucket the nodes outside of its largest component, with each other and with
+that component's. Pairs that are connected already are skipped, and only links leave a task. So no group of copies is
+expanded into rows of pairs, and a stray node beside a large group costs that group one more row a node.
 
-Candidates whose samples agree in fewer than AGREE of HASHES places are not verified: a pair of similarity 0.8
-does so with a chance of 8.7e-5, one in 11,450.
+Candidates whose samples agree in fewer than `agree` of HASHES places are not verified: with AGREE = 50, a pair of
+similarity 0.8 does so with a chance of 8.7e-5, one in 11,450. agree=0 verifies every pair that shares a band; a pair
+of similarity 0.8 shares none with a chance of 0.17 %.
 
 A document without words (null, empty) is near to none. Rows with a null doc_id take part in counts only.
 Repeated rows are one node; of repeated doc_ids one row stays. Extra columns are passed over.
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundhouse.llm.common import few, slices, small_batches, spans, stored, texts_of
+from roundhouse.llm.common import few, forget, slices, small_batches, spans, stored, texts_of
 from roundhouse.llm.textgrid import WordGrid, mix, shingles
 
 WIDTH, SIMILARITY = 5, 0.8
@@ -37,7 +41,7 @@ AGREE = 50
 BLOCK_NODES = 256
 #: doc_ids of a lookup that may be broadcast, 16 MB; a larger one is joined by a shuffle.
 SMALL = 2_000_000
-DF_BITS, BLOCK = 20, 1 << 10
+DF_BITS, DF_ROWS, BLOCK = 20, 2, 1 << 10
 IDF_FLOOR = 0.8
 _LOW = np.uint64((1 << 52) - 1)
 
@@ -66,27 +70,33 @@ def _spans(texts: list[str]):
             yield c, min(c + 4096, b)
 
 
-def bucket_of(shingle: np.ndarray) -> np.ndarray:
-    return (shingle & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)
+def buckets_of(shingle: np.ndarray, row: int) -> np.ndarray:
+    """The bucket of each shingle in one of the DF_ROWS tables; each takes other bits."""
+    return ((shingle >> np.uint64(row * DF_BITS)) & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)
 
 
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents per hashed bucket and documents with words, over all rows. Tasks send blocks of counts, summed by block."""
+    """Documents per hashed bucket, a row per table, and documents with words, over all rows. Tasks send blocks of counts, summed by block."""
 
     def count(batches):
-        counts, n, waiting, size = np.zeros(1 << DF_BITS, np.int64), 0, [], 0
+        counts, n, waiting, size = np.zeros(DF_ROWS << DF_BITS, np.int64), 0, [], 0
+
+        def flush():
+            for row in range(DF_ROWS):
+                np.add(counts[row << DF_BITS : (row + 1) << DF_BITS], np.bincount(buckets_of(np.concatenate(waiting), row), minlength=1 << DF_BITS), out=counts[row << DF_BITS : (row + 1) << DF_BITS])
+
         for batch in slices(batches, 0):
             texts = texts_of(batch.column(0))
             for a, b in _spans(texts):
                 doc, shingle, _, _ = weighted_sets(texts[a:b])
                 n += len(np.unique(doc))
-                waiting.append(bucket_of(shingle).astype(np.int32))
+                waiting.append(shingle)
                 size += len(shingle)
                 if size >= 1 << 20:
-                    counts += np.bincount(np.concatenate(waiting), minlength=1 << DF_BITS)
+                    flush()
                     waiting, size = [], 0
         if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=1 << DF_BITS)
+            flush()
         blocks = counts.astype(np.int32).reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[k].tobytes() for k in used], pa.binary()), pa.array([n] + [0] * (len(used) - 1) if len(used) else [], pa.int64())], names=["block", "counts", "n"])
@@ -101,16 +111,25 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary()), pa.array(list(total.values()), pa.int64())], names=["block", "counts", "n"])
 
     kind = "block int, counts binary, n long"
-    rows = docs.select("text").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect()  # 8 MB at most
-    df = np.zeros((1 << DF_BITS) // BLOCK * BLOCK, np.int64).reshape(-1, BLOCK)
+    rows = docs.select("text").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect()  # 8 MB a table at most
+    df = np.zeros((DF_ROWS << DF_BITS) // BLOCK * BLOCK, np.int64).reshape(-1, BLOCK)
     for r in rows:
         df[r["block"]] = np.frombuffer(r["counts"], np.int64)
-    return df.reshape(-1), sum(r["n"] for r in rows)
+    return df.reshape(DF_ROWS, -1), sum(r["n"] for r in rows)
 
 
 def idf_table(df: np.ndarray, n: int) -> np.ndarray:
-    share = np.log(max(n, 1) / np.clip(df, 1, max(n, 1))) / np.log(1 << DF_BITS)
-    return (IDF_FLOOR + (1 - IDF_FLOOR) * np.minimum(share, 1)).astype(np.float32)
+    """idf per table and bucket. A shingle's own is the largest of its buckets' (see idf_of)."""
+    load = df.sum(1, keepdims=True) / df.shape[1]  # what a bucket holds of other shingles, on average
+    own = np.clip(df - load - 3 * np.sqrt(load), 1, max(n, 1))
+    return (IDF_FLOOR + (1 - IDF_FLOOR) * np.log(max(n, 1) / own) / np.log(max(n, 2))).astype(np.float32)
+
+
+def idf_of(shingle: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    out = idf[0][buckets_of(shingle, 0)]
+    for row in range(1, DF_ROWS):
+        out = np.maximum(out, idf[row][buckets_of(shingle, row)])
+    return out
 
 
 @cache
@@ -174,7 +193,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 doc, shingle, tf, whole = weighted_sets(texts[a:b])
                 if not len(doc):
                     continue
-                own, samples = icws(doc, shingle, tf.astype(np.float32) * idf.value[bucket_of(shingle)])
+                own, samples = icws(doc, shingle, tf.astype(np.float32) * idf_of(shingle, idf.value))
                 bands = band_keys(samples).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -206,7 +225,7 @@ def unpack(packed: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
     if len(begin) < len(shingle):
         shingle, tf = shingle[begin], np.add.reduceat(tf, begin)
-    return shingle, tf * idf[bucket_of(shingle)]
+    return shingle, tf * idf_of(shingle, idf)
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -260,17 +279,24 @@ def fingerprint(edges: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, comp) for every id in links (a, b): comp is the least id connected to it. Alternates large-star and small-star."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "near-edges")
+    """(id, comp) for every id in links (a, b): comp is the least id connected to it. Alternates large-star and small-star.
+
+    No step makes more edges than it gets, but for one per node; each node's least neighbour is written before it is joined, so a hub's edges can be split.
+    """
+    most = 2 * links.count()
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "near-edges", most)
+    seen = fingerprint(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "near-least", most)
+        large = stored(both.join(few(least, SMALL), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "near-large", most)
         # each node keeps its smaller neighbours: all of them and itself now point at the least
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges, before = stored(small, "near-edges"), edges
-        if fingerprint(edges) == fingerprint(before):
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "near-low", most)
+        small = large.join(few(low, SMALL), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        old, edges = edges, stored(small, "near-edges", most)
+        forget(old, least, large, low)
+        before, seen = seen, fingerprint(edges)
+        if seen == before:
             break
     out = edges.select(F.col("u").alias("id"), F.col("v").alias("comp"))
     return out.unionByName(out.select(F.col("comp").alias("id"), "comp").distinct())
@@ -282,36 +308,49 @@ def least_leaders(members: DataFrame, parts: int) -> DataFrame:
     return members.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part")).agg(least).select("key", F.col("least.id").alias("a"), F.col("least.comp").alias("comp_a"))
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose samples agree in AGREE places at least."""
+def plausible(pairs: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
+    """The pairs (a, b) whose samples agree in `agree` places at least."""
+    if not agree:
+        return pairs
 
     def check(batches):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, HASHES) for k in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= AGREE))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= agree))
 
     left = nodes.select(F.col("id").alias("a"), F.col("prints").alias("x"))
     right = nodes.select(F.col("id").alias("b"), F.col("prints").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def with_components(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, id, comp) of the buckets that hold different components."""
-    members = buckets.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    open_keys = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    return members.join(open_keys, "key", "left_semi")
+def with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """(key, id, comp) of the buckets that hold different components, stored."""
+    if comps is None:
+        return stored(buckets.withColumn("comp", F.col("id")), "near-members")
+    members = buckets.join(few(comps, SMALL), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    open_keys = stored(members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key"), "near-open-keys")
+    return stored(members.join(few(open_keys, SMALL), "key", "left_semi"), "near-members")
 
 
 def blocks_of(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of open buckets with prints and bands, once for each pair (i, j) of blocks that holds them."""
-    size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("n_blocks"))
-    rows = members.join(size, "key").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("n_blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    """Members of open buckets with prints and bands, once for each pair (i, j) of blocks that has to be compared and holds them.
+
+    A bucket's blocks of nodes outside of its largest component come first; they are compared with each other and with those of the component.
+    """
+    comps = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    sizes = comps.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all"))
+    count = lambda n: F.ceil(n / BLOCK_NODES).cast("int")
+    sizes = sizes.select("key", F.col("most.comp").alias("main"), count(F.col("all") - F.col("most.n")).alias("n_rest"), count(F.col("most.n")).alias("n_main"))
+    rows = members.join(few(stored(sizes, "near-sizes"), SMALL), "key").withColumn("rest", F.col("comp") != F.col("main"))
+    part = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), F.col(n)).cast("int")
+    rows = rows.withColumn("block", F.when(F.col("rest"), part("n_rest")).otherwise(F.col("n_rest") + part("n_main")))
+    others = F.when(F.col("rest"), F.col("n_rest") + F.col("n_main")).otherwise(F.col("n_rest"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "comp", "block")
     return rows.join(nodes.select("id", "prints", "bands"), "id")
 
 
-def open_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def open_pairs(table: pa.Table, agree: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of plausible pairs in a block group whose components differ and whose first shared band is the group's key."""
     comp, block = table["comp"].to_numpy(), table["block"].to_numpy()
     prints = np.frombuffer(b"".join(table["prints"].to_pylist()), np.uint8).reshape(-1, HASHES)
@@ -326,19 +365,19 @@ def open_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             keep &= block[b] != block[a]
         b = b[keep]
         b = b[~(bands[b, :band] == bands[a, :band]).any(1)] if band else b
-        b = b[(prints[b] == prints[a]).sum(1) >= AGREE]
+        b = b[(prints[b] == prints[a]).sum(1) >= agree]
         left.append(np.full(len(b), a))
         right.append(b)
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def open_members(table: pa.Table) -> pa.Table:
+def open_members(table: pa.Table, agree: int) -> pa.Table:
     """The rows of a block group that stand in one of its open pairs."""
-    a, b = open_pairs(table)
+    a, b = open_pairs(table, agree)
     return table.take(pa.array(np.unique(np.concatenate([a, b]))))
 
 
-def block_links(table: pa.Table, idf: np.ndarray) -> pa.Table:
+def block_links(table: pa.Table, idf: np.ndarray, agree: int) -> pa.Table:
     """Verified links of a block group, no more than connect its components."""
     ids, comp = table["id"].to_pylist(), table["comp"].to_pylist()
     root: dict[int, int] = {}
@@ -349,7 +388,7 @@ def block_links(table: pa.Table, idf: np.ndarray) -> pa.Table:
         return x
 
     packed, known, links = table["packed"].to_pylist(), {}, []
-    for a, b in zip(*(x.tolist() for x in open_pairs(table)), strict=True):
+    for a, b in zip(*(x.tolist() for x in open_pairs(table, agree)), strict=True):
         p, q = find(comp[a]), find(comp[b])
         if p == q:
             continue
@@ -362,53 +401,64 @@ def block_links(table: pa.Table, idf: np.ndarray) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
 
-def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf) -> DataFrame:
-    """(id, comp) of the nodes that have links: comp is the least id that verified links between candidates connect."""
+def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf, agree: int) -> DataFrame | None:
+    """(id, comp) of the nodes that have links: comp is the least id that verified links between candidates connect. None: there are no links.
 
-    def packed(ids: DataFrame, name: str) -> DataFrame:
-        ids = stored(ids.distinct(), f"{name}-ids")
-        return stored(sets(docs.join(few(ids, SMALL), "doc_id", "left_semi")), name)
-
-    comps = buckets.sparkSession.createDataFrame([], "id long, comp long")
-    links = comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
+    The shingles of all nodes that share a bucket are collected in one pass over the texts.
+    """
+    ids = stored(buckets.select(F.col("id").alias("doc_id")).distinct(), "near-ids")
+    packed = stored(sets(docs.join(few(ids, SMALL), "doc_id", "left_semi")), "near-sets")
+    comps, links = None, None
     for parts in (1, 8):
         members = with_components(buckets, comps)
-        pairs = least_leaders(members, parts).join(members, "key").where("comp <> comp_a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        pairs = stored(plausible(pairs, nodes), "near-pairs")
-        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-        found = stored(verified(pairs, packed(ids, "near-sets"), idf), "near-links")
-        links = links.unionByName(found)
-        comps = stored(components(links), "near-components")
+        leaders = few(stored(least_leaders(members, parts), "near-leaders"), SMALL)
+        pairs = leaders.join(members, "key").where("comp <> comp_a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        pairs = stored(plausible(pairs, nodes, agree), "near-pairs")
+        found = stored(verified(pairs, packed, idf), "near-links", pairs.count())
+        forget(members, pairs)
+        links = found if links is None else links.unionByName(found)
+        if not links.isEmpty():
+            comps = stored(components(links), "near-components", 2 * links.count())
     kind = "id long, key long, i int, j int, comp long, block int, prints binary, bands array<long>"
-    rest = stored(blocks_of(with_components(buckets, comps), nodes).select("id", "key", "i", "j", "comp", "block", "prints", "bands").groupBy("key", "i", "j").applyInArrow(open_members, kind), "near-open")
-    rows = rest.join(packed(rest.select(F.col("id").alias("doc_id")), "near-sets").withColumnRenamed("doc_id", "id"), "id")
-    found = stored(rows.groupBy("key", "i", "j").applyInArrow(lambda t: block_links(t, idf.value), "a long, b long"), "near-links")
-    return comps if found.isEmpty() else stored(components(links.unionByName(found)), "near-components")
+    rest = blocks_of(with_components(buckets, comps), nodes).select("id", "key", "i", "j", "comp", "block", "prints", "bands")
+    rest = stored(rest.groupBy("key", "i", "j").applyInArrow(lambda t: open_members(t, agree), kind), "near-open")
+    rows = rest.join(packed.withColumnRenamed("doc_id", "id"), "id")
+    found = stored(rows.groupBy("key", "i", "j").applyInArrow(lambda t: block_links(t, idf.value, agree), "a long, b long"), "near-links", rest.count())
+    forget(packed, ids, rest)
+    if found.isEmpty():
+        return comps
+    return stored(components(found if links is None else links.unionByName(found)), "near-components")
 
 
-def classes(df: DataFrame) -> DataFrame:
+def classes(df: DataFrame, agree: int = AGREE) -> DataFrame:
     """(doc_id, class_id) for each doc_id: class_id is the least doc_id of its class; a document near to none is its own class."""
     spark: SparkSession = df.sparkSession
     docs = small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts, n = document_frequencies(docs)
-    idf = spark.sparkContext.broadcast(idf_table(counts, n))  # 4 MB
+    idf = spark.sparkContext.broadcast(idf_table(counts, n))  # 8 MB
     docs = docs.where("doc_id is not null")
     signed = stored(signatures(docs, idf), "near-signatures")
-    named = stored(signed.groupBy("node").agg(F.min("doc_id").alias("id")), "near-nodes")
-    nodes = signed.join(named, (signed["node"] == named["node"]) & (signed["doc_id"] == named["id"]), "left_semi").select(F.col("doc_id").alias("id"), "bands", "prints").dropDuplicates(["id"])
-    nodes = stored(nodes, "near-nodes")
+    named = stored(signed.groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "near-names", n)
+    # a text that stands alone is a node by itself; only copies look up who answers for them
+    copies = few(stored(named.where("n > 1").select("node", "id"), "near-copies", n), SMALL)
+    signed = signed.join(copies, "node", "left").withColumn("id", F.coalesce("id", "doc_id"))
+    nodes = stored(signed.where("id = doc_id").select("id", "bands", "prints").dropDuplicates(["id"]), "near-nodes")
     keys = nodes.select(F.explode("bands").alias("key"), "id")
     shared = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
-    buckets = stored(keys.join(shared, "key", "left_semi"), "near-buckets")
-    comps = components_of(buckets, nodes, docs, idf)
-    member = signed.select("doc_id", "node").join(named, "node").select("doc_id", "id").distinct().join(comps, "id", "left").select("doc_id", F.coalesce("comp", "id").alias("class_id"))
+    buckets = stored(keys.join(few(stored(shared, "near-keys"), SMALL), "key", "left_semi"), "near-buckets")
+    comps = components_of(buckets, nodes, docs, idf, agree)
+    member = signed.select("doc_id", "id").distinct()
+    if comps is None:
+        member = member.select("doc_id", F.col("id").alias("class_id"))
+    else:
+        member = member.join(few(comps, SMALL), "id", "left").select("doc_id", F.coalesce("comp", "id").alias("class_id"))
     # rows that share a doc_id are one document: its least class; texts without words have no signature
     member = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").distinct().join(member, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def keep_one(df: DataFrame) -> DataFrame:
+def keep_one(df: DataFrame, agree: int = AGREE) -> DataFrame:
     """The rows of one document per class, the one with the least doc_id, and rows without a doc_id; df's columns."""
-    gone = stored(classes(df).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")), "near-gone")
+    gone = stored(classes(df, agree).where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")), "near-gone")
     rows = df.join(few(gone, SMALL), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
     return rows.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -38,7 +38,7 @@ def brute_classes(docs):
     docs = [(i, t) for i, t in docs if i is not None]
     found = [near_dedup.weighted_sets([t or ""]) for _, t in docs]
     every = near_dedup.weighted_sets([t or "" for _, t in [*docs, (None, "no id")]])
-    counts = np.bincount(near_dedup.bucket_of(every[1]), minlength=1 << near_dedup.DF_BITS)
+    counts = np.stack([np.bincount(near_dedup.buckets_of(every[1], k), minlength=1 << near_dedup.DF_BITS) for k in range(near_dedup.DF_ROWS)])
     idf = near_dedup.idf_table(counts, len(np.unique(every[0])))
     sets = [near_dedup.unpack(near_dedup.pack(x[1], x[2]).tobytes(), idf) if len(x[1]) else None for x in found]
     comp = {i: i for i, _ in docs}
@@ -49,10 +49,11 @@ def brute_classes(docs):
     return comp
 
 
-def test_near_classes_equal_brute_force(spark):
+@pytest.mark.parametrize("agree", [near_dedup.AGREE, 0])
+def test_near_classes_equal_brute_force(spark, agree):
     docs = corpus(random.Random(1))
     df = spark.createDataFrame([(*x, 1, "z") for x in docs], KIND + ", id long, comp string")
-    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(df).collect()}
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(df, agree).collect()}
     assert got == brute_classes(docs)
     kept = near_dedup.keep_one(df)
     assert kept.columns == df.columns
@@ -60,6 +61,29 @@ def test_near_classes_equal_brute_force(spark):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_recall_by_similarity(spark):
+    """Pairs of texts of their own words, by their true similarity: those of 0.8 or more are found, no other one is linked."""
+    rnd = random.Random(9)
+    docs, true = [], {}
+    for i in range(240):
+        base = " ".join(f"p{i}w{rnd.randrange(500)}" for _ in range(150))
+        docs += [(2 * i, base), (2 * i + 1, edited(rnd, base, i % 8))]
+    spread = near_dedup.weighted_sets([t for _, t in docs])
+    counts = np.stack([np.bincount(near_dedup.buckets_of(spread[1], k), minlength=1 << near_dedup.DF_BITS) for k in range(near_dedup.DF_ROWS)])
+    idf = near_dedup.idf_table(counts, len(docs))
+    sets = {d: near_dedup.unpack(near_dedup.pack(spread[1][spread[0] == k], spread[2][spread[0] == k]).tobytes(), idf) for k, (d, _) in enumerate(docs)}
+    for i in range(0, 480, 2):
+        true[i] = near_dedup.weighted_jaccard(*sets[i], *sets[i + 1])
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(spark.createDataFrame(docs, KIND)).collect()}
+    for low, high, least in ((0.8, 0.9, 0.95), (0.9, 1.01, 0.99)):
+        own = [i for i, x in true.items() if low <= x < high]
+        found = sum(got[i + 1] == i for i in own)
+        print(f"similarity {low} to {high}: {found} of {len(own)} pairs found")
+        assert len(own) > 20 and found >= least * len(own)
+    assert not [i for i, x in true.items() if x < 0.8 and got[i + 1] == i]
+    assert [i for i, x in true.items() if x < 0.8]
+
+
 def test_near_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z")], KIND)
     assert sorted((r[0], r[1]) for r in near_dedup.classes(df).collect()) == [(1, 1), (2, 1)]
@@ -79,7 +103,7 @@ def test_icws_estimates_weighted_jaccard():
 
 def test_pack_large_counts():
     shingle, tf = np.array([5, 9], np.uint64), np.array([10_000, 2])
-    s, w = near_dedup.unpack(near_dedup.pack(shingle, tf).tobytes(), np.ones(1 << near_dedup.DF_BITS, np.float32))
+    s, w = near_dedup.unpack(near_dedup.pack(shingle, tf).tobytes(), np.ones((near_dedup.DF_ROWS, 1 << near_dedup.DF_BITS), np.float32))
     assert s.tolist() == [5, 9] and w.tolist() == [10_000, 2]
 
 
