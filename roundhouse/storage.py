@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a file, where the number of rows is known beforehand.
+FILE_ROWS = 500_000
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, else (local runs only) a temporary folder."""
@@ -19,8 +22,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: a cut lineage that survives lost executors."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write df once to the shared folder and read it back: a cut lineage that survives lost executors.
+
+    rows: a number of rows that df won't exceed, if it is known. Then a small table is written as few files, not as one per shuffle partition.
+    """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df if rows is None else df.coalesce(1 + rows // FILE_ROWS)).write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing reads any more."""
+    for table in tables:
+        jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
