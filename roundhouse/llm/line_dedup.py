@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from roundhouse.llm.common import few, stored
 
 MIN_WORDS = 5
-#: Words of a line from which a window makes its keys, not strings.
-LONG = 256
+#: Words of a line from which a window makes its keys, not strings. The variants of such a line hold some 12 MB together.
+LONG = 2048
 #: Rows of a lookup that may be broadcast, about 100 bytes each; a larger one is joined by a shuffle.
 SMALL = 500_000
 
@@ -80,7 +80,8 @@ def variants(candidates: DataFrame) -> DataFrame:
 
 
 def short_variants(candidates: DataFrame) -> DataFrame:
-    rows = candidates.withColumn("pos", F.explode(F.sequence(F.lit(-1), F.col("n_words") - 1))).where(f"pos < 0 or {WANTED}")
+    places = F.expr(f"filter(sequence(-1, n_words - 1), pos -> pos < 0 or {WANTED})")
+    rows = candidates.withColumn("pos", F.explode(places))
     rest = "trim(concat(substring_index(line, ' ', pos), ' ', substring_index(line, ' ', pos + 1 - n_words)))"
     return rows.select(F.expr(f"case when pos < 0 then h1 else xxhash64({rest}) end").alias("key"), "pos", "h1", "h2", "ord")
 
@@ -93,10 +94,9 @@ def long_variants(candidates: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     rows = rows.withColumns({"here": F.xxhash64("word", "pos"), "moved": F.xxhash64("word", F.col("pos") - 1)})
     rows = rows.withColumn("before", F.coalesce(F.bit_xor("here").over(so_far), zero)).withColumn("later", F.coalesce(F.bit_xor("moved").over(after), zero))
-    own = F.when(F.expr(WANTED), F.struct(F.col("before").bitwiseXOR(F.col("later")).alias("key"), F.col("pos").alias("pos")))
-    whole = F.when(F.col("pos") == F.col("n_words") - 1, F.struct(F.col("before").bitwiseXOR(F.col("here")).alias("key"), F.lit(-1).alias("pos")))
-    out = rows.select("h1", "h2", "ord", F.explode(F.array(own, whole)).alias("v")).where("v is not null")
-    return out.select("v.key", "v.pos", "h1", "h2", "ord")
+    own = rows.where(WANTED).select(F.col("before").bitwiseXOR(F.col("later")).alias("key"), "pos", "h1", "h2", "ord")
+    whole = rows.where("pos = n_words - 1").select(F.col("before").bitwiseXOR(F.col("here")).alias("key"), F.lit(-1).alias("pos"), "h1", "h2", "ord")
+    return own.unionByName(whole)
 
 
 def one_edit(a: Column, b: Column) -> Column:
