@@ -29,6 +29,8 @@ from roundhouse.llm.common import slices, small_batches, texts_of
 WINDOW, END_ID = 2048, 1
 #: Documents whose remainders are packed together: at most 64 MB of ids.
 PACK_ROWS = 8192
+#: Columns of the least squares: combinations of lengths that are tried for a pack.
+COLUMNS = 6000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -56,7 +58,7 @@ def encoder(spec: str):
     return encode
 
 
-def combinations(lengths: np.ndarray, window: int = WINDOW, most: int = 6000) -> np.ndarray:
+def combinations(lengths: np.ndarray, most: int = COLUMNS, window: int = WINDOW) -> np.ndarray:
     """Rows of two or three of the given sorted lengths (0: none) that add up to a window; every pair, and triples up to `most` rows."""
     have = np.zeros(window + 1, bool)
     have[lengths] = True
@@ -103,13 +105,13 @@ class Pack:
     def add(self, doc_id, start: int, ids: bytes, tokens: int) -> None:
         self.by_length[len(ids) // 4].append((doc_id, start, ids, tokens))
 
-    def sequences(self):
-        """Lists of (doc_id, start, ids, tokens), one list per sequence."""
+    def sequences(self, columns: int = COLUMNS):
+        """Lists of (doc_id, start, ids, tokens), one list per sequence. Nothing is left out: what the columns don't place is packed greedily."""
         queue = self.by_length
         lengths = np.array(sorted(k for k in queue if k), np.int64)
         histogram = np.zeros(WINDOW + 1, np.int64)
         histogram[lengths] = [len(queue[k]) for k in lengths.tolist()]
-        rows = combinations(lengths)
+        rows = combinations(lengths, columns)
         if len(rows):
             counts = repeat_counts(rows, histogram)
             for k in np.argsort(-counts, kind="stable").tolist():
@@ -150,7 +152,7 @@ def tail(pieces: list[tuple]):
         yield out
 
 
-def pack_rows(batches, encode, partition: int, pack_rows: int = PACK_ROWS):
+def pack_rows(batches, encode, partition: int, pack_rows: int = PACK_ROWS, columns: int = COLUMNS):
     """Lists of piece rows, from batches of (doc_id, text)."""
     number = partition << 40
     pack = Pack()
@@ -167,16 +169,16 @@ def pack_rows(batches, encode, partition: int, pack_rows: int = PACK_ROWS):
                 pack.add(doc_id, full, data[4 * full :], n)
             pack.rows += 1
             if pack.rows >= pack_rows:
-                number = placed(pack, number, out)
+                number = placed(pack, number, out, columns)
                 pack = Pack()
         yield out
     out = []
-    placed(pack, number, out)
+    placed(pack, number, out, columns)
     yield out
 
 
-def placed(pack: Pack, number: int, out: list[tuple]) -> int:
-    for sequence in pack.sequences():
+def placed(pack: Pack, number: int, out: list[tuple], columns: int) -> int:
+    for sequence in pack.sequences(columns):
         offset = 0
         for doc_id, start, ids, tokens in sequence:
             out.append((doc_id, start, len(ids) // 4, zlib.crc32(ids), tokens, number, offset))
@@ -185,15 +187,15 @@ def placed(pack: Pack, number: int, out: list[tuple]) -> int:
     return number
 
 
-def pack(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece: PIECES. sequence_id is unique over all tasks."""
+def pack(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", columns: int = COLUMNS) -> DataFrame:
+    """One row per piece: PIECES. sequence_id is unique over all tasks. columns: combinations of lengths that the least squares of a pack weigh, at most."""
     spec = df.sparkSession.sparkContext.broadcast(read_spec(path))
     schema = PIECES
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches):
         pairs = ((b.column(0).to_pylist(), texts_of(b.column(1))) for b in slices(batches, 1))
-        for rows in pack_rows(pairs, encoder(spec.value), TaskContext.get().partitionId()):
+        for rows in pack_rows(pairs, encoder(spec.value), TaskContext.get().partitionId(), columns=columns):
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(names))], names=names)
 
     return small_batches(df).select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")).mapInArrow(run, schema)

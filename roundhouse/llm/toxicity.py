@@ -241,15 +241,18 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
     return float(b[0]), float(b[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """docs: doc_id, text. labels: doc_id, label, from labelled(). What reaches the driver is bounded by the sample and the lexicon."""
+def fit(docs: DataFrame, labels: DataFrame, candidates: int = CANDIDATES, entries: int = LEXICON) -> Model:
+    """docs: doc_id, text. labels: doc_id, label, from labelled(). What reaches the driver is bounded by the sample, `candidates` and `entries`.
+
+    candidates: pieces of toxic texts that are tested at most, those with most votes; entries: pieces of the lexicon at most, those of most gain.
+    """
     sample, share = sample_of(docs, labels)
     rows = stored(votes_of(sample), "toxicity-votes")
     totals = {r["label"]: r["v"] for r in rows.groupBy("label").agg(F.sum("vote").alias("v")).collect()}
     none = Model(np.zeros(0, np.uint64), 0.0, -3.0)
     if not totals.get(1) or not totals.get(0):
         return none
-    toxic = piece_votes(rows.where("label = 1")).where("votes >= 3").orderBy(F.desc("votes"), "piece").limit(CANDIDATES).collect()
+    toxic = piece_votes(rows.where("label = 1")).where("votes >= 3").orderBy(F.desc("votes"), "piece").limit(candidates).collect()
     if not toxic:
         return none
     piece = np.array([r["piece"] for r in toxic], np.int64).view(np.uint64)
@@ -264,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     gain = bad * np.log(bad / n / chance) + np.where(clean > 0, clean * np.log(np.maximum(clean, 1e-9) / n / (1 - chance)), 0)
     odds = np.log((bad + 0.5) / (totals[1] + 1)) - np.log((clean + 0.5) / (totals[0] + 1))
     chosen = np.flatnonzero((gain > np.log(len(piece)) + 5) & (odds > 2.5))
-    chosen = chosen[np.argsort(-gain[chosen], kind="stable")][:LEXICON]
+    chosen = chosen[np.argsort(-gain[chosen], kind="stable")][:entries]
     lexicon = np.sort(piece[chosen])
 
     def raw(batches):

@@ -120,10 +120,11 @@ def exact_cases(spark):
 
 
 @pytest.mark.parametrize("largest", [True, False])
-@pytest.mark.parametrize("memtable_rows", [2, 100_000])
-def test_exact(spark, largest, memtable_rows):
-    df = exact_cases(spark)
-    rows = exact_dedup.assign(df, largest=largest, memtable_rows=memtable_rows).collect()
+@pytest.mark.parametrize(("memtable_rows", "small"), [(2, 200_000), (100_000, 0)])
+def test_exact(spark, largest, memtable_rows, small):
+    df = exact_cases(spark).withColumn("__body", F.lit(1)).withColumn("__keep", F.col("text"))
+    how = {"largest": largest, "memtable_rows": memtable_rows, "small": small}
+    rows = exact_dedup.assign(df, **how).collect()
     assert len(rows) == df.count()
     pick = max if largest else min
     groups = {}
@@ -137,7 +138,7 @@ def test_exact(spark, largest, memtable_rows):
         assert r["group_size"] == len(ids)
         assert r["keep_id"] == pick((x for x in ids if x is not None), default=None)
     assert sum(r["kept"] for r in rows) == len(groups)
-    kept = exact_dedup.keep_one(df, largest=largest, memtable_rows=memtable_rows)
+    kept = exact_dedup.keep_one(df, **how)
     assert kept.columns == df.columns and kept.count() == len(groups)
 
 
@@ -148,6 +149,18 @@ def test_exact_digest_collisions_are_split(spark):
     assert exact_dedup.assign(df.limit(0)).count() == 0
 
 
+def test_exact_long_texts_and_filter(spark):
+    long = "long text " * 300_000
+    df = spark.createDataFrame([(1, long), (2, long + "x"), (3, long), *[(10 + i, f"text {i % 700}") for i in range(1000)]], KIND)
+    rows = {r["doc_id"]: r for r in exact_dedup.assign(df, memtable_rows=50).collect()}
+    assert [(rows[i]["keep_id"], rows[i]["group_size"]) for i in (1, 2, 3)] == [(3, 2), (2, 1), (3, 2)]
+    assert sum(r["kept"] for r in rows.values()) == 702
+    docs, index = exact_dedup.indexed(df)
+    known = {r["__doc_id"] for r in exact_dedup.probed(docs.select("__doc_id", "__digest"), index).where("__hit").collect()}
+    copies = {i for i, r in rows.items() if r["group_size"] > 1}
+    assert copies <= known and len(known - copies) < 10
+
+
 def distance_one(a, b):
     if a == b:
         return True
@@ -159,7 +172,7 @@ def distance_one(a, b):
     return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
 
 
-@pytest.mark.parametrize(("long", "least"), [(256, 5), (9, 5), (256, 2)])
+@pytest.mark.parametrize(("long", "least"), [(2048, 5), (9, 5), (2048, 2)])
 def test_lines_equal_brute_force(spark, monkeypatch, long, least):
     monkeypatch.setattr(line_dedup, "LONG", long)
     rnd = random.Random(4)

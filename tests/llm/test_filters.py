@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import math
 import random
 
 import numpy as np
@@ -58,6 +59,34 @@ def test_em_prefers_agreeing_votes():
     assert quality_rules.fit([])[0] == 0.0
 
 
+def plain_em(patterns, rounds):
+    """Expectation maximisation as in quality_rules.fit, in loops."""
+    good = [1 / (1 + math.exp(-(2 + 0.25 * v.count(1) - 4 * v.count(-1)))) for v, _ in patterns]
+    total = sum(n for _, n in patterns)
+    for _ in range(rounds):
+        prior = min(max(sum(g * n for g, (_, n) in zip(good, patterns, strict=True)) / total, 0.5), 0.98)
+        logs = []
+        for r in range(len(patterns[0][0])):
+            seen = [{x: 1.0 for x in (-1, 0, 1)} for _ in (0, 1)]
+            for g, (v, n) in zip(good, patterns, strict=True):
+                seen[0][v[r]] += g * n
+                seen[1][v[r]] += (1 - g) * n
+            own = {x: math.log(seen[0][x] / sum(seen[0].values())) - math.log(seen[1][x] / sum(seen[1].values())) for x in (-1, 0, 1)}
+            logs.append({-1: min(own[-1], 0), 0: own[0], 1: max(own[1], 0)})
+        odds = [math.log(prior / (1 - prior)) + sum(logs[r][x] for r, x in enumerate(v)) for v, _ in patterns]
+        good = [1 / (1 + math.exp(-min(max(o, -40), 40))) for o in odds]
+    return math.log(prior / (1 - prior)), logs
+
+
+def test_em_equals_plain_loops():
+    rnd = random.Random(6)
+    patterns = [([rnd.choice([-1, 0, 0, 1]) for _ in quality_rules.RULES], rnd.randrange(1, 200)) for _ in range(40)]
+    prior, logs = quality_rules.fit(patterns, 25)
+    want, tables = plain_em(patterns, 25)
+    assert abs(prior - want) < 1e-9
+    assert all(abs(logs[r][x] - t[x]) < 1e-9 for r, t in enumerate(tables) for x in (-1, 0, 1))
+
+
 def labelled(spark, label):
     return common.labelled(spark, SF, label)
 
@@ -128,6 +157,28 @@ def test_grammar_scores_clauses():
     assert s("an idiot. an idiot") == 2.0
 
 
+def test_composition_equals_the_machines_one_by_one():
+    rnd, parts = random.Random(5), toxicity._grammar()
+    composed = toxicity.Composed(parts)
+    for _ in range(3000):
+        classes = [rnd.choice([0, 0, 1, 2, 3, 4, 5]) for _ in range(rnd.randrange(1, 14))]
+        total, accepted = 0.0, False
+        for machine in parts:
+            state = 0
+            for c in classes:
+                state, weight = machine.arcs.get((state, c), (state, 0.0))
+                total += weight
+            accepted |= state in machine.final
+        assert abs(composed.score(classes) - (max(total, 0.05) if accepted else 0.0)) < 1e-12
+
+
+def test_words_with_apostrophes_are_no_loose_letters():
+    lex = toxicity.Lookup(lexicon(["idiot"]))
+    s = lambda text: sum(toxicity.clause_scores([text], lex)[0])
+    assert s("je t'aime idiot") == s("je aime idiot")
+    assert s("he isn't an idiot") < s("he is an idiot")
+
+
 def test_toxicity_odd(spark):
     none = spark.createDataFrame([], "doc_id long, label int")
     rows = toxicity.score(odd(spark), toxicity.fit(odd(spark), none)).collect()

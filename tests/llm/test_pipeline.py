@@ -31,6 +31,21 @@ def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_run_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, ties, extra and clashing columns; then an empty table."""
+    words = [f"word{i % 97} and{i % 31}" for i in range(400)]
+    good = ". ".join(" ".join(words[k : k + 12]) for k in range(0, 400, 12)) + "."
+    rows = [(1, good, "en"), (1, good, "en"), (2, good, None), (None, good, "en"), (None, None, None), (3, None, "de"), (4, "", "en"), (5, " \n\t", "en"), (6, good.replace("word5", "other"), "fr"), (7, good + " end " * 100_000, "en"), (None, "a null id. " + good[:-9], "en")]
+    docs = spark.createDataFrame([(*x, 1, "c") for x in rows], "doc_id long, text string, lang string, __stats long, __quality string")
+    labels = spark.createDataFrame([(1, 1, 0), (6, 0, 0), (None, 1, None)], "doc_id long, quality int, toxic int")
+    for name, table in (("documents", docs), ("labels", labels)):
+        table.write.parquet(f"{tmp_path}/odd/{name}.parquet")
+        table.limit(0).write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    out = [r["doc_id"] for r in corpus_pipeline.run(spark, f"{tmp_path}/odd").select("doc_id").distinct().collect()]
+    assert not {3, 4, 5} & set(out) and 1 not in out and len(out) == len(set(out))  # without words; 2 is the largest id of the text of 1
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_twins(spark, name):
     frame = queries.QUERIES[name](spark, SF)
