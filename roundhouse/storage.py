@@ -22,6 +22,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: What stored() has written in this session and forget() hasn't deleted.
+_written: list[tuple[SparkSession, str]] = []
+
+
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: a cut lineage that survives lost executors.
 
@@ -31,12 +35,31 @@ def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     (df if rows is None else df.coalesce(1 + rows // FILE_ROWS)).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
+    _written.append((df.sparkSession, path))
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete the files of stored tables that nothing reads any more."""
-    for table in tables:
-        jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
-        path = jvm.org.apache.hadoop.fs.Path(table.stored_at)
-        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
+    gone = {t.stored_at for t in tables}
+    for spark, path in [x for x in _written if x[1] in gone]:
+        _delete(spark, path)
+    _written[:] = [x for x in _written if x[1] not in gone]
+
+
+def mark() -> int:
+    """A point in time, for forget_since."""
+    return len(_written)
+
+
+def forget_since(start: int, keep: DataFrame) -> None:
+    """Delete what was stored since mark() gave `start`, but for `keep`."""
+    for spark, path in _written[start:]:
+        if path != keep.stored_at:
+            _delete(spark, path)
+    _written[start:] = [x for x in _written[start:] if x[1] == keep.stored_at]
