@@ -46,8 +46,9 @@ def meta_text(segs: DataFrame, dets: DataFrame, frame: Column | None = None) ->
 def label_distribution(df: DataFrame) -> DataFrame:
     """Counts and percent of the total per (source, label), per source and overall."""
     out = df.rollup("source", "label").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
-    total = F.max(F.when(F.col("level") == 3, F.col("n"))).over(Window.partitionBy())
-    return out.withColumn("percent", g.r4(F.col("n") * 100.0 / total)).withColumn("level", F.col("level").cast("int"))
+    total = df.agg(F.count("*").alias("__total"))  # one row
+    out = out.join(F.broadcast(total)).withColumn("percent", g.r4(F.col("n") * 100.0 / F.col("__total"))).drop("__total")
+    return out.withColumn("level", F.col("level").cast("int"))
 
 
 def funnel(verdicts: DataFrame) -> DataFrame:
@@ -69,15 +70,17 @@ def majority(df: DataFrame, keys: list[str], values: list[str], seq: list[str])
 
 
 def seat_vote(obs: DataFrame, obbs: DataFrame) -> DataFrame:
-    """Per track the seat with most observations (none counts too), its share, and whether most of its votes lie inside."""
-    seats = assign_seats_obb(obs, obbs, ["round_id", "track_id", "frame_id", "det_id"])
-    won = majority(seats, ["round_id", "track_id"], ["seat_id"], ["frame_id", "det_id"])
-    own = won.withColumnsRenamed({"seat_id": "won_seat"}).join(obs.select("round_id", "track_id", "cx", "cy"), ["round_id", "track_id"])
-    box = obbs.withColumnRenamed("seat_id", "won_seat")
-    own = own.join(box, ["round_id", "won_seat"], "left").withColumn("in", F.coalesce(g.point_in_obb(F.col("cx"), F.col("cy"), g.corners()), F.lit(False)))
-    out = own.groupBy("round_id", "track_id", "won_seat", "votes").agg(F.count_if("in").alias("n_in"), F.count("*").alias("n_obs"))
-    via = F.when(F.col("won_seat").isNotNull(), F.when(F.col("n_in") > F.col("votes") / 2, "inside").otherwise("nearest"))
-    return out.select("round_id", "track_id", F.col("won_seat").alias("seat_id"), via.alias("seat_via"), g.r4(F.col("votes") / F.col("n_obs")).alias("vote_share"), "n_obs")
+    """Per track the seat with most observations (none counts too; ties: seen first), its share, and whether most of its votes lie inside."""
+    rows = assign_seats_obb(obs.select("round_id", "track_id", "frame_id", "det_id", "cx", "cy"), obbs)
+    # a vote for the seat that an observation got, and a mark for each seat that holds it
+    vote = F.array(F.struct("seat_id", F.lit(1).alias("vote"), F.lit(0).alias("held")))
+    held = F.transform("holding", lambda x: F.struct(x.alias("seat_id"), F.lit(0).alias("vote"), F.lit(1).alias("held")))
+    rows = rows.select("round_id", "track_id", "frame_id", "det_id", F.explode(F.concat(vote, held)).alias("v")).select("round_id", "track_id", "frame_id", "det_id", "v.*")
+    seats = rows.groupBy("round_id", "track_id", "seat_id").agg(F.sum("vote").alias("votes"), F.sum("held").alias("n_in"), F.min(F.when(F.col("vote") == 1, F.struct("frame_id", "det_id"))).alias("first"))
+    best = F.min(F.when(F.col("votes") > 0, F.struct((-F.col("votes")).alias("neg"), "first", "seat_id", "votes", "n_in"))).alias("b")
+    out = seats.groupBy("round_id", "track_id").agg(best, F.sum("votes").alias("n_obs"))
+    via = F.when(F.col("b.seat_id").isNotNull(), F.when(F.col("b.n_in") > F.col("b.votes") / 2, "inside").otherwise("nearest"))
+    return out.select("round_id", "track_id", F.col("b.seat_id").alias("seat_id"), via.alias("seat_via"), g.r4(F.col("b.votes") / F.col("n_obs")).alias("vote_share"), "n_obs")
 
 
 def vote_select(samples: DataFrame) -> DataFrame:

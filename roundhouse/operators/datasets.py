@@ -11,12 +11,8 @@ from pyspark.sql import functions as F
 
 from roundhouse.operators.aggregates import META_LABELS, latest_annotation
 from roundhouse.operators.joins import point_in_interval_join, top1_similarity
-from roundhouse.operators.picks import hash_rank
+from roundhouse.operators.picks import with_place
 from roundhouse.operators.scalar import with_rotated
-from roundhouse.storage import stored
-
-#: Focus items that one window orders.
-RUN_ROWS = 100_000
 
 
 def split_sorted(df: DataFrame, key: str, ratio: float = 0.8) -> DataFrame:
@@ -29,21 +25,20 @@ def split_sorted(df: DataFrame, key: str, ratio: float = 0.8) -> DataFrame:
 
 def split_hashed(df: DataFrame, group: str, ratio: float = 0.8, seed: int = 42) -> DataFrame:
     """df with a split by group, in random order; at least one group is test."""
-    groups = df.select(group).distinct()
-    n = F.count("*").over(Window.partitionBy(F.lit(0)))
-    groups = groups.withColumn("split", F.when(hash_rank([], [group], seed) <= F.least(F.floor(n * ratio), n - 1), "train").otherwise("test"))
+    groups = with_place(df.select(group).distinct(), [], [group], seed)
+    groups = groups.withColumn("split", F.when(F.col("__place") <= F.least(F.floor(F.col("__size") * ratio), F.col("__size") - 1), "train").otherwise("test")).drop("__place", "__size")
     return df.join(groups, group)
 
 
 def split_stratified(df: DataFrame, stratum: str, ids: list[str], fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Per stratum max(1, round(n * fraction)) rows are val, halves to even."""
-    n = F.count("*").over(Window.partitionBy(stratum))
-    return df.withColumn("split", F.when(hash_rank([stratum], ids, seed) <= F.greatest(F.lit(1), F.bround(n * fraction)), "val").otherwise("train"))
+    rows = with_place(df, [stratum], ids, seed)
+    return rows.withColumn("split", F.when(F.col("__place") <= F.greatest(F.lit(1), F.bround(F.col("__size") * fraction)), "val").otherwise("train")).drop("__place", "__size")
 
 
 def kfold_stratified(df: DataFrame, stratum: str, ids: list[str], k: int = 5, seed: int = 42) -> DataFrame:
     """A fold for each row, dealt round robin in random order within its stratum."""
-    return df.withColumn("fold", (hash_rank([stratum], ids, seed) - 1) % k)
+    return with_place(df, [stratum], ids, seed).withColumn("fold", ((F.col("__place") - 1) % k).cast("int")).drop("__place", "__size")
 
 
 def oversample(df: DataFrame, flag: Column, multiplier: int = 5, name: str = "name") -> DataFrame:
@@ -106,27 +101,39 @@ def apply_split_field(df: DataFrame, fallback: Column, field: str = "split") ->
     return df.join(F.broadcast(any_set)).withColumn(field, F.when(F.col("__any"), F.coalesce(F.col(field), F.lit("train"))).otherwise(fallback)).drop("__any")
 
 
-def mine_hard_negatives(items: DataFrame, focus: int, margin: float = 0.2) -> DataFrame:
-    """Per focus item its most similar other item, and the margin loss against its most similar focus item. items: id, label_id, vec."""
+def mine_hard_negatives(items: DataFrame, focus: int, margin: float = 0.2, seed: int = 42, shift: int = 1) -> DataFrame:
+    """Per focus item its most similar other item, and the margin loss against another focus item. items: id, label_id, vec.
+
+    The positive is the item `shift` places on in a random ring of all focus items; a single focus item has none.
+    """
     focused = items.where(F.col("label_id") == focus)
     q = focused.select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec"))
     other = items.where(F.col("label_id") != focus).select(F.col("id").alias("g_id"), F.col("vec").alias("g_vec"))
     neg = top1_similarity(q, other).withColumnsRenamed({"best": "neg", "g_id": "neg_id"})
-    # the next focus item in order of id stands for the positive
-    count = -(-focused.count() // RUN_ROWS)
-    runs = focused.select("id", "vec", F.lit(0).alias("run"))
-    if count > 1:
-        runs = stored(runs.repartitionByRange(count, "id").withColumn("run", F.spark_partition_id()), "focus-runs")
-    first = runs.groupBy("run").agg(F.min_by("vec", "id").alias("vec"))
-    after = first.select("run", F.lead("vec").over(Window.partitionBy(F.lit(0)).orderBy("run")).alias("after"))  # one row per run
-    own = F.lead("vec").over(Window.partitionBy("run").orderBy("id"))
-    pos = runs.withColumn("own", own).join(after, "run").select("id", "vec", F.coalesce("own", "after").alias("next"))
+    ring = with_place(focused.select("id", "vec"), [], ["id"], seed)
+    own = ring.select("id", "vec", ((F.col("__place") - 1 + shift) % F.col("__size") + 1).alias("__at"))
+    pos = own.join(ring.select(F.col("id").alias("pos_id"), F.col("vec").alias("next"), F.col("__place").alias("__at")), "__at").where("pos_id <> id")
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     dot = F.aggregate(F.zip_with("vec", "next", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    pos = pos.where("next is not null").select(F.col("id").alias("q_id"), (F.floor(dot / (norm(F.col("vec")) * norm(F.col("next"))) * 10000 + 0.5) / 10000.0).alias("pos"))
+    pos = pos.select(F.col("id").alias("q_id"), "pos_id", (F.floor(dot / (norm(F.col("vec")) * norm(F.col("next"))) * 10000 + 0.5) / 10000.0).alias("pos"))
     return neg.join(pos, "q_id", "left").withColumn("loss", F.when(F.col("pos").isNotNull(), F.floor(F.greatest(F.lit(0.0), margin - F.col("pos") + F.col("neg")) * 10000 + 0.5) / 10000.0))
 
 
+def negative_pools(items: DataFrame, focus: int, hard: list[int], size: int = 8, seed: int = 42) -> DataFrame:
+    """Per focus item (q_id) its sampled negatives: n_hard, the number of hard ones (labels `hard`), which every pool has, and the ids of soft ones up to `size` in all, one at least.
+
+    Soft items are dealt in random order, so a pool repeats none and all are used evenly. The hard ones are the same for all: they aren't repeated here.
+    """
+    label = F.col("label_id")
+    counts = items.agg(F.count_if(label.isin(hard) & (label != focus)).alias("n_hard"), F.count_if(~label.isin(hard) & (label != focus)).alias("n_soft"))  # one row
+    counts = counts.withColumn("k", F.least("n_soft", F.greatest(F.lit(1), size - F.col("n_hard"))))
+    anchors = with_place(items.where(label == focus).select(F.col("id").alias("q_id")), [], ["q_id"], seed).join(F.broadcast(counts))
+    soft = with_place(items.where((label != focus) & ~label.isin(hard)).select(F.col("id").alias("neg_id")), [], ["neg_id"], seed).select("neg_id", F.col("__place").alias("__at"))
+    wanted = F.when(F.col("k") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda j: ((F.col("__place") - 1) * F.col("k") + j) % F.col("n_soft") + 1))
+    rows = anchors.select("q_id", "n_hard", F.explode_outer(wanted).alias("__at")).join(soft, "__at", "left")
+    return rows.groupBy("q_id", "n_hard").agg(F.sort_array(F.collect_list("neg_id")).alias("soft"))
+
+
 def with_label(videos: DataFrame, segs: DataFrame, label: str) -> DataFrame:
     return videos.join(segs.where(F.col("label") == label).select("round_id").distinct(), "round_id", "left_semi")
 

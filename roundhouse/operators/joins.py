@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roundhouse.functions import geometry as g
+from roundhouse.operators.scalar import PAUSE_PATTERNS
 
 CHUNK_FRAMES = 300
+#: Frames of a bucket of a join between frames and segments.
+FRAME_BUCKET = 256
 #: Numbers of a block of vectors, 32 MB, and the rows and columns of a tile of scores, 32 MB.
 BLOCK_FLOATS, TILE = 4_000_000, 2048
 
@@ -38,18 +41,40 @@ def chunk_slices(rounds: DataFrame, chunks: DataFrame) -> DataFrame:
     return out.withColumns({"slice_from": F.greatest("lo", "chunk_start") - F.col("chunk_start"), "slice_to": F.least("hi", "chunk_end") - F.col("chunk_start") + 1})
 
 
-def point_in_interval_join(points: DataFrame, segs: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """Points with every segment that covers them."""
-    return points.join(segs, keys).where(F.col(at).between(F.col("start_frame"), F.col("end_frame")))
+def point_in_interval_join(points: DataFrame, segs: DataFrame, keys: list[str], at: str, ends: tuple[str, str] = ("start_frame", "end_frame"), bucket: int = FRAME_BUCKET) -> DataFrame:
+    """Points with every segment that covers them. Segments are dealt into buckets of frames, so a point meets those of its bucket, not all of its key."""
+    lo, hi = ends
+    dealt = segs.where(F.col(lo) <= F.col(hi)).withColumn("__bucket", F.explode(F.sequence(F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket))))
+    return points.withColumn("__bucket", F.floor(F.col(at) / bucket)).join(dealt, [*keys, "__bucket"]).where(F.col(at).between(F.col(lo), F.col(hi))).drop("__bucket")
+
+
+def neighbours(rows: DataFrame, frames: DataFrame, at: Column, bucket: int = 16 * FRAME_BUCKET) -> DataFrame:
+    """rows with __prev and __next, the last frame of their round up to `at` and the first from it on (null: none).
+
+    Rows and frames are put in order together, bucket by bucket of a round; what lies beyond a bucket comes from a running summary of the buckets.
+    """
+    f = frames.where("round_id is not null and frame_id is not null").select("round_id", F.col("frame_id").cast("long").alias("__at")).distinct().withColumn("__frame", F.col("__at"))
+    r = rows.select("round_id", at.cast("long").alias("__at"), F.lit(None).cast("long").alias("__frame"), F.struct(*rows.columns).alias("__row"))
+    both = f.withColumn("__row", F.lit(None).cast(r.schema["__row"].dataType)).unionByName(r).withColumn("__bucket", F.floor(F.col("__at") / bucket))
+    sizes = both.groupBy("round_id", "__bucket").agg(F.min("__frame").alias("lo"), F.max("__frame").alias("hi"))
+    up = Window.partitionBy("round_id").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("round_id").orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("round_id", "__bucket", F.max("hi").over(up).alias("__before"), F.min("lo").over(down).alias("__after"))
+    own = Window.partitionBy("round_id", "__bucket")
+    peers = (Window.unboundedPreceding, Window.currentRow)  # a range: rows of an equal frame count
+    both = both.withColumns({"__p": F.max("__frame").over(own.orderBy("__at").rangeBetween(*peers)), "__n": F.min("__frame").over(own.orderBy(F.desc("__at")).rangeBetween(*peers))})
+    same = F.col("a.round_id").eqNullSafe(F.col("b.round_id")) & F.col("a.__bucket").eqNullSafe(F.col("b.__bucket"))
+    out = both.where("__row is not null").alias("a").join(sizes.alias("b"), same)
+    kind = frames.schema["frame_id"].dataType
+    return out.select("a.__row.*", F.coalesce("__p", "__before").cast(kind).alias("__prev"), F.coalesce("__n", "__after").cast(kind).alias("__next"))
 
 
 def asof_frame(segs: DataFrame, frames: DataFrame, target: str, prefer: str) -> DataFrame:
     """Per segment the frame nearest its target within the segment: the last before (or first after) it, else the nearest; null without frames."""
-    f, t = F.col("frame_id"), F.col(target)
-    rows = segs.join(frames.select("round_id", "frame_id").distinct(), "round_id", "left").withColumn("__in", f.between(F.col("start_frame"), F.col("end_frame")))
-    side = F.max(F.when(F.col("__in") & (f <= t), f)) if prefer == "before" else F.min(F.when(F.col("__in") & (f >= t), f))
-    nearest = F.min(F.when(F.col("__in"), F.struct(F.abs(f - t).alias("d"), f.alias("f"))))["f"]
-    return rows.groupBy(*segs.columns).agg(F.coalesce(side, nearest).alias("asof_frame"))
+    at = F.greatest("start_frame", F.least(F.col(target), F.col("end_frame")))
+    rows = neighbours(segs, frames, at)
+    before, after = (F.when(F.col(c).between(F.col("start_frame"), F.col("end_frame")), F.col(c)) for c in ("__prev", "__next"))
+    return rows.withColumn("asof_frame", F.coalesce(*((before, after) if prefer == "before" else (after, before)))).drop("__prev", "__next")
 
 
 def offsets(limit: int) -> list[int]:
@@ -68,10 +93,20 @@ def asof_offset(left: DataFrame, frames: DataFrame, at: str, limit: int) -> Data
 
 def nearest_frame(left: DataFrame, frames: DataFrame, at: str, lookahead: int = 10) -> DataFrame:
     """Per left row the frame with detections of least distance, up to `lookahead` frames after it; ties go to the earlier frame."""
-    f = frames.select("round_id", "frame_id").distinct()
-    rows = left.join(f, "round_id").where(F.col("frame_id") <= F.col(at) + lookahead)
-    best = rows.groupBy(*left.columns).agg(F.min(F.struct(F.abs(F.col("frame_id") - F.col(at)).alias("d"), "frame_id"))["frame_id"].alias("asof_frame"))
-    return left.join(best, left.columns, "left")
+    rows = neighbours(left, frames, F.col(at))
+    later = F.when(F.col("__next") <= F.col(at) + lookahead, F.col("__next"))
+    nearer = later.isNotNull() & (F.col("__prev").isNull() | (later - F.col(at) < F.col(at) - F.col("__prev")))
+    return rows.withColumn("asof_frame", F.when(nearer, later).otherwise(F.col("__prev"))).drop("__prev", "__next")
+
+
+def reject_by_text(segs: DataFrame, frames: DataFrame) -> DataFrame:
+    """Per segment: rejected if the text of any frame in it matches, with its own reason where there is no frame."""
+    paused = F.coalesce(F.col("text").rlike("(?i)" + "|".join(PAUSE_PATTERNS)), F.lit(False))
+    seen = frames.groupBy("round_id", F.col("frame_id").alias("__f")).agg(F.count("*").alias("__n"), F.count_if(paused).alias("__p"))
+    hit = point_in_interval_join(seen, segs, ["round_id"], "__f").groupBy(*segs.columns).agg(F.sum("__n").alias("n_frames"), F.sum("__p").alias("n_paused"))
+    out = segs.join(hit, segs.columns, "left").fillna(0, ["n_frames", "n_paused"])
+    reason = F.when(F.col("n_frames") == 0, "no frames").when(F.col("n_paused") > 0, "paused")
+    return out.withColumns({"reason": reason, "passed": reason.isNull()})
 
 
 def lookup_frame(left: DataFrame, frames: DataFrame, at: str) -> DataFrame:
@@ -88,13 +123,24 @@ def assign_seats_template(dets: DataFrame) -> DataFrame:
     return dets.withColumn("seat", g.nearest_seat(F.col("cx"), F.col("cy")))
 
 
-def assign_seats_obb(points: DataFrame, obbs: DataFrame, keys: list[str], reach: float = 30.0) -> DataFrame:
-    """keys with seat_id and inside: the first box that holds the point, else the nearest within reach, else null."""
-    p, box = (F.col("cx"), F.col("cy")), g.corners()
-    rows = points.join(obbs, "round_id", "left").select(*keys, "seat_id", g.point_in_obb(*p, box).alias("inside"), g.obb_distance(*p, box).alias("d"))
-    near = F.col("inside") | (F.col("d") <= reach)
-    best = F.min(F.when(near, F.struct((~F.col("inside")).alias("out"), F.when(F.col("inside"), 0.0).otherwise(F.col("d")).alias("d"), "seat_id")))
-    return rows.groupBy(*keys).agg(best.alias("b")).select(*keys, F.col("b.seat_id").alias("seat_id"), (~F.col("b.out")).alias("inside"))
+def assign_seats_obb(points: DataFrame, obbs: DataFrame, reach: float = 30.0) -> DataFrame:
+    """points with seat_id and inside: the first box that holds the point, else the nearest within reach, else null; and `holding`, all seats whose box holds it.
+
+    The few boxes of a round come as one array to its points, so a point stays one row.
+    """
+    corner = [f"c{k}{a}" for k in range(4) for a in "xy"]
+    boxes = obbs.groupBy("round_id").agg(F.sort_array(F.collect_list(F.struct("seat_id", *[F.col(c).cast("double").alias(c) for c in corner]))).alias("__boxes"))
+    p = (F.col("cx"), F.col("cy"))
+
+    def placed(b: Column) -> Column:
+        four = [(b[f"c{k}x"], b[f"c{k}y"]) for k in range(4)]
+        inside = g.point_in_obb(*p, four)
+        return F.struct((~inside).alias("out"), F.when(inside, F.lit(0.0)).otherwise(g.obb_distance(*p, four)).alias("d"), b["seat_id"].alias("seat_id"))
+
+    rows = points.join(boxes, "round_id", "left").withColumn("__placed", F.filter(F.transform("__boxes", placed), lambda x: ~x["out"] | (x["d"] <= reach))).drop("__boxes")
+    rows = rows.withColumn("__best", F.array_min("__placed"))
+    holding = F.coalesce(F.transform(F.filter("__placed", lambda x: ~x["out"]), lambda x: x["seat_id"]), F.array().cast("array<int>"))
+    return rows.withColumns({"seat_id": F.col("__best.seat_id"), "inside": ~F.col("__best.out"), "holding": holding}).drop("__placed", "__best")
 
 
 def nearest_detection(points: DataFrame, dets: DataFrame, max_distance: float, keep: Column | None = None) -> DataFrame:
@@ -130,6 +176,8 @@ def items_at(dets: DataFrame, name: str) -> DataFrame:
 
 def new_items(segs: DataFrame, dets: DataFrame, limit: float = 120.0) -> DataFrame:
     """segs (with first_frame and last_frame) and `new`, the items of the last frame that aren't in the first."""
+    wanted = segs.select("round_id", F.explode(F.array("first_frame", "last_frame")).alias("frame_id")).where("frame_id is not null").distinct()
+    dets = dets.select("round_id", "frame_id", "det_id", "cx", "cy").join(wanted, ["round_id", "frame_id"], "left_semi")
     first = items_at(dets, "__start").withColumnRenamed("frame_id", "first_frame")
     last = items_at(dets, "__end").withColumnRenamed("frame_id", "last_frame")
     out = segs.join(first, ["round_id", "first_frame"], "left").join(last, ["round_id", "last_frame"], "left")

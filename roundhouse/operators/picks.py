@@ -1,4 +1,4 @@
-"""Top-k, sampling and set operators. Random choices follow hashes of (seed, id), so a rerun repeats them."""
+"""Top-k, sampling and set operators. Random choices follow md5 hashes of (seed, ids), so a rerun repeats them on any engine."""
 
 from __future__ import annotations
 
@@ -32,16 +32,34 @@ def first_per_cluster(pairs: DataFrame, keys: list[str], px: int) -> DataFrame:
     return rows.withColumn("pair_no", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def hash_rank(keys: list[str], ids: list[str], seed: int) -> Column:
-    """A random place in each group (or in all rows, for small tables), from hashes."""
-    h = F.xxhash64(F.lit(seed), *ids)
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return F.row_number().over(w.orderBy(h, *ids))
+def random_key(ids: list[str], seed: int) -> Column:
+    """A hash of the seed and the ids as hexadecimal text."""
+    return F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(c).cast("string") for c in ids]))
+
+
+def with_place(df: DataFrame, keys: list[str], ids: list[str], seed: int) -> DataFrame:
+    """df with __place, each row's place (from 1) in random order within its group (keys; [] for all rows), and __size, the group's rows.
+
+    A place is the count of the rows with smaller leading digits of the hash, from a table of those counts, and the place among the rows with
+    the same digits. So the rows of a group are ordered in 4096 parts, not in one task.
+    """
+    rows = df.withColumn("__h", random_key(ids, seed)).withColumn("__bin", F.substring("__h", 1, 3))
+    sizes = rows.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], F.col("__bin").alias("__b")).agg(F.count("*").alias("__n"))
+    group = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]) if keys else Window.partitionBy(F.lit(0))  # 4096 rows a group at most
+    before = F.coalesce(F.sum("__n").over(group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumns({"__before": before, "__size": F.sum("__n").over(group)}).drop("__n")
+    same = F.col("__bin") == F.col("__b")
+    for i, c in enumerate(keys):
+        same &= F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    rows = rows.join(sizes, same).drop("__b", *[f"__k{i}" for i in range(len(keys))])
+    order = Window.partitionBy(*keys, "__bin").orderBy("__h", *ids)
+    return rows.withColumn("__place", F.col("__before") + F.row_number().over(order)).drop("__h", "__bin", "__before")
 
 
 def sample_per_class(df: DataFrame, label: str, ids: list[str], n: int, seed: int = 42, skip: str = "background") -> DataFrame:
-    rows = df.where(F.col(label) != skip)
-    return rows.withColumn("__r", hash_rank([label], ids, seed)).where(F.col("__r") <= n).drop("__r")
+    """n random rows of each class but `skip`. A top n per class: each task passes on n rows of a class at most."""
+    rows = df.where(F.col(label) != skip).withColumn("__h", random_key(ids, seed))
+    return topk_per_group(rows, [label], [F.asc("__h"), *[F.asc(c) for c in ids]], n, "__r").drop("__r", "__h")
 
 
 def evenly_spaced(names: DataFrame, order: str, n: int) -> DataFrame:
@@ -53,9 +71,9 @@ def evenly_spaced(names: DataFrame, order: str, n: int) -> DataFrame:
 
 
 def balanced_union(a: DataFrame, b: DataFrame, ids: list[str], seed: int = 42) -> DataFrame:
-    """As many rows of each as the smaller one has, with their source."""
+    """As many random rows of each as the smaller one has, with their source."""
     n = min(a.count(), b.count())
-    take = lambda df, name: df.withColumn("__h", F.xxhash64(F.lit(seed), *ids)).orderBy("__h", *ids).limit(n).drop("__h").withColumn("source", F.lit(name))
+    take = lambda df, name: with_place(df, [], ids, seed).where(F.col("__place") <= n).drop("__place", "__size").withColumn("source", F.lit(name))
     return take(a, "human").unionByName(take(b, "auto"))
 
 
@@ -71,18 +89,19 @@ def first_n_groups(df: DataFrame, key: str, seq: str, n: int) -> DataFrame:
     return df.join(F.broadcast(first), key, "left_semi")
 
 
-def balanced_batches(items: DataFrame, ids: list[str], focus: Column, batch: int, fraction: float, seed: int = 42) -> DataFrame:
-    """items with a batch number: each batch has fraction * batch focus items, as many as there are without repeats, and others up to its size.
+def balanced_batches(items: DataFrame, ids: list[str], focus: Column, batch: int, fraction: float, seed: int = 42, least: int = 4) -> DataFrame:
+    """The batches of an epoch: items with batch, slot and is_focus. Each batch has fraction * batch focus items and others up to its size.
 
-    Places come from hashes dealt into parts, so no sort of all items is needed; a part fills its own batches.
+    There are as many batches as show the focus items twice, `least` at the fewest. Both kinds are dealt in random order, again and again: a batch
+    repeats an item only where there are fewer than it needs.
     """
     n_focus = max(1, int(batch * fraction))
-    parts = F.pmod(F.xxhash64(F.lit(seed), *ids), F.lit(max(1, items.sparkSession.sparkContext.defaultParallelism)))
-    rows = items.withColumns({"__focus": focus, "__part": parts})
-    w = Window.partitionBy("__part", "__focus").orderBy(F.xxhash64(F.lit(seed + 1), *ids), *ids)
-    place = F.row_number().over(w) - 1
-    per = F.when(F.col("__focus"), n_focus).otherwise(batch - n_focus)
-    return rows.withColumn("batch", F.floor(place / per).cast("int")).withColumnRenamed("__part", "part").withColumnRenamed("__focus", "is_focus")
+    rows = with_place(items.withColumn("is_focus", focus), ["is_focus"], ids, seed)
+    batches = items.agg(F.greatest(F.lit(least), F.floor(2 * F.count_if(focus) / n_focus)).cast("long").alias("__batches"))  # one row
+    per = F.when(F.col("is_focus"), n_focus).otherwise(batch - n_focus)
+    rows = rows.join(F.broadcast(batches)).withColumn("__slots", F.col("__batches") * per).where("__place <= __slots")
+    rows = rows.withColumn("__s", F.explode(F.sequence(F.col("__place") - 1, F.col("__slots") - 1, F.col("__size"))))
+    return rows.withColumns({"batch": F.floor(F.col("__s") / per), "slot": (F.col("__s") % per).cast("int")}).drop("__s", "__slots", "__batches", "__place", "__size")
 
 
 def union_sources(frames: dict[str, DataFrame]) -> DataFrame:

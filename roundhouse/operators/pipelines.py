@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from roundhouse.functions import geometry as g
 from roundhouse.operators import aggregates as agg
 from roundhouse.operators import joins, sequences
+from roundhouse.operators.datasets import score_windows
 from roundhouse.operators.picks import first_per_cluster
-from roundhouse.operators.scalar import in_zone, reject_by_text, stage_duration
+from roundhouse.operators.scalar import in_zone, stage_duration
 from roundhouse.storage import stored
 
 KEYS = ["round_id", "seg_id"]
@@ -26,9 +27,9 @@ def verdict(rows: DataFrame, stages: list[tuple[str, Column, Column]], keep: lis
 
 def spans(segs: DataFrame, dets: DataFrame) -> DataFrame:
     """segs with the first and last frame inside them that has detections (null: none)."""
-    frames = dets.select("round_id", "frame_id").distinct()
-    hit = joins.point_in_interval_join(frames, segs.select(*KEYS, "start_frame", "end_frame"), ["round_id"], "frame_id")
-    return segs.join(hit.groupBy(*KEYS).agg(F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame")), KEYS, "left")
+    within = lambda c: F.when(F.col(c).between(F.col("start_frame"), F.col("end_frame")), F.col(c))
+    out = joins.neighbours(segs, dets, F.col("start_frame")).withColumn("first_frame", within("__next")).drop("__prev", "__next")
+    return joins.neighbours(out, dets, F.col("end_frame")).withColumn("last_frame", within("__prev")).drop("__prev", "__next")
 
 
 def verify_hit(segs: DataFrame, dets: DataFrame, cards: DataFrame, least: int = 30) -> DataFrame:
@@ -37,8 +38,11 @@ def verify_hit(segs: DataFrame, dets: DataFrame, cards: DataFrame, least: int =
     cards: the round_ids that have card tables at all. dets: 720p. The chosen card is the rightmost (dealer) or lowest (hit) new one.
     """
     rows = stage_duration(segs, ["hit", "dealer hits"], least).drop("passed", "stage", "reason")
-    rows = joins.require_asset(rows, cards, ["round_id"], "none")
-    rows = joins.new_items(spans(rows, dets), dets)
+    rows = spans(joins.require_asset(rows, cards, ["round_id"], "none"), dets)
+    # only segments that no earlier stage stops are matched
+    ready = (F.col("duration") >= least) & (F.col("status") == "ok") & (F.col("first_frame") < F.col("last_frame"))
+    found = joins.new_items(rows.where(ready).select(*KEYS, "first_frame", "last_frame"), dets)
+    rows = rows.join(found.drop("first_frame", "last_frame"), KEYS, "left")
     zone = F.when(F.col("label") == "hit", F.lit(True)).otherwise(F.lit(False))
     rank = lambda x: F.when(zone, x["y"]).otherwise(x["x"])
     (x1, y1), (x2, y2) = (535, 411), (800, 489)
@@ -101,18 +105,34 @@ def verify_tap(segs: DataFrame, dets: DataFrame, kps: DataFrame, dip: float = 0.
     return out.withColumn("det_id", F.when(F.col("passed"), F.col("det_id")))
 
 
-def verify_split(segs: DataFrame, dets: DataFrame, cards: DataFrame, least: int = 25, spread: int = 5, top: int = 10) -> DataFrame:
-    """Splits: long enough, a same-rank pair that overlaps, and one of the first pairs moves apart by `spread` px at least."""
+def split_candidates(segs: DataFrame, dets: DataFrame, top: int = 10) -> DataFrame:
+    """The first `top` pairs of one rank per segment (KEYS, start_frame, end_frame), one per rank and 50 px of x, as track_pair takes them."""
+    pairs = joins.point_in_interval_join(joins.pair_self_join(dets), segs.select(*KEYS, "start_frame", "end_frame"), ["round_id"], "frame_id")
+    found = first_per_cluster(pairs, KEYS, 50).where(F.col("pair_no") <= top)
+    places = [F.col(f"{p}_{n}").alias(f"s_{p}{m}") for p in "ab" for n, m in (("cx", "x"), ("cy", "y"), ("suit", "suit"))]
+    return found.select(*KEYS, "pair_no", F.col("rank_norm").alias("pair_rank"), F.col("frame_id").alias("start_frame"), F.col("end_frame").alias("last_frame"), F.col("a_det_id").alias("start_a"), F.col("b_det_id").alias("start_b"), *places)
+
+
+def widest_pair(moved: DataFrame) -> DataFrame:
+    """Per segment the tracked pair of largest spread (ties: smaller pair_no) and how many there are."""
+    best = F.min(F.struct((-F.col("spread")).alias("s"), "pair_no", "end_frame", "end_a", "end_b")).alias("b")
+    out = moved.groupBy(*KEYS).agg(F.count("*").alias("n_pairs"), best)
+    return out.select(*KEYS, "n_pairs", (-F.col("b.s")).alias("spread"), "b.pair_no", F.col("b.end_frame").alias("pair_end_frame"), "b.end_a", "b.end_b")
+
+
+def verify_split(segs: DataFrame, dets: DataFrame, cards: DataFrame, hands: DataFrame | None = None, least: int = 25, spread: int = 5, top: int = 10) -> DataFrame:
+    """Splits: long enough, a same-rank pair that overlaps, and one of the first pairs moves apart by `spread` px at least.
+
+    hands: round_id, frame_id, h0x, h0y, h1x, h1y, as hands_wide gives them. A passing pair has start_a and start_b with the end card of each, end_of_a and end_of_b,
+    resolved by suits, hands or (via: fallback) the order of the match.
+    """
     rows = joins.require_asset(stage_duration(segs, ["split"], least).drop("passed", "stage", "reason"), cards, ["round_id"], "none")
     zone = dets.where(in_zone("split"))
     good = spans(rows, dets)
     live = good.where((F.col("duration") >= least) & (F.col("status") == "ok"))
-    pairs = live.select(*KEYS, "start_frame", "end_frame").join(joins.pair_self_join(zone), "round_id").where(F.col("frame_id").between(F.col("start_frame"), F.col("end_frame")))
-    found = first_per_cluster(pairs, KEYS, 50).where(F.col("pair_no") <= top)
-    c = found.select(*KEYS, "pair_no", F.col("rank_norm").alias("pair_rank"), F.col("frame_id").alias("start_frame"), F.col("end_frame").alias("last_frame"), *[F.col(f"{p}_{n}").alias(f"s_{p}{m}") for p in "ab" for n, m in (("cx", "x"), ("cy", "y"), ("suit", "suit"))])
-    moved = sequences.track_pair(c, zone)
-    best = moved.groupBy(*KEYS).agg(F.count("*").alias("n_pairs"), F.min(F.struct((-F.col("spread")).alias("s"), "pair_no", "end_frame", "end_a", "end_b")).alias("b"))
-    rows = good.join(best, KEYS, "left").withColumn("spread", -F.col("b.s"))
+    candidates = stored(split_candidates(live, zone, top), "split-candidates")  # read twice below
+    best = widest_pair(sequences.track_pair(candidates.drop("start_a", "start_b"), zone))
+    rows = good.join(best, KEYS, "left")
     stages = [
         ("stage1_duration", F.col("duration") < least, F.concat(F.lit("duration="), F.col("duration"), F.lit(f" < {least}"))),
         ("stage2_no_card_jsonl", F.col("status") != "ok", F.lit("no card table")),
@@ -120,12 +140,31 @@ def verify_split(segs: DataFrame, dets: DataFrame, cards: DataFrame, least: int
         ("stage2_no_same_rank_pair", F.col("n_pairs").isNull(), F.lit("no same-rank pair found")),
         ("stage3_no_spread", F.col("spread") < spread, F.when(F.col("spread") < 0, "no match").otherwise(F.concat(F.lit("best_move="), F.col("spread"), F.lit("px")))),
     ]
-    return verdict(rows.withColumns({"pair_no": F.col("b.pair_no"), "pair_end_frame": F.col("b.end_frame")}), stages, [*KEYS, "pair_no", "spread", "pair_end_frame"])
+    out = verdict(rows, stages, [*KEYS, "pair_no", "spread", "pair_end_frame", "end_a", "end_b"])
+    return out.drop("end_a", "end_b").join(split_cards(out.where("passed"), candidates, dets, hands), KEYS, "left")
+
+
+def split_cards(passed: DataFrame, candidates: DataFrame, dets: DataFrame, hands: DataFrame | None) -> DataFrame:
+    """The cards of passing pairs: KEYS, start_a, start_b, end_of_a, end_of_b and via."""
+    rows = passed.select(*KEYS, "pair_no", "pair_end_frame", "end_a", "end_b").join(candidates.withColumnRenamed("start_frame", "pair_start_frame"), [*KEYS, "pair_no"])
+    rows = rows.withColumnsRenamed({f"s_{p}{m}": f"s{k}{n}" for k, p in enumerate("ab") for m, n in (("x", "x"), ("y", "y"), ("suit", "_suit"))})
+    card = dets.select("round_id", F.col("frame_id").alias("pair_end_frame"), "det_id", "cx", "cy", "suit")
+    for p in "ab":
+        rows = rows.join(card.withColumnsRenamed({"det_id": f"end_{p}", "cx": f"e{p}x", "cy": f"e{p}y", "suit": f"e{p}_suit"}), ["round_id", "pair_end_frame", f"end_{p}"])
+    for side, frame in (("s", "pair_start_frame"), ("e", "pair_end_frame")):
+        names = [f"h{k}{c}" for k in (0, 1) for c in "xy"]
+        if hands is None:
+            rows = rows.withColumns({side + n: F.lit(None).cast("double") for n in names})
+        else:
+            rows = rows.join(hands.select("round_id", F.col("frame_id").alias(frame), *[F.col(n).alias(side + n) for n in names]), ["round_id", frame], "left")
+    rows = joins.resolve_pair(rows.withColumn("swapped", F.lit(False)))
+    own, other = (F.when(F.col("first_end") == x, F.col("end_a")).otherwise(F.col("end_b")) for x in "ab")
+    return rows.select(*KEYS, "start_a", "start_b", own.alias("end_of_a"), other.alias("end_of_b"), "via")
 
 
 def verify_clean(segs: DataFrame, frames: DataFrame) -> DataFrame:
     """Clean hands: no frame says that the game is paused."""
-    rows = reject_by_text(segs.where("label = 'clean hand'").select(*KEYS, "start_frame", "end_frame"), frames)
+    rows = joins.reject_by_text(segs.where("label = 'clean hand'").select(*KEYS, "start_frame", "end_frame"), frames)
     stage = F.when(F.col("reason") == "no frames", "stage1_no_frames").when(F.col("reason").isNotNull(), "stage1_paused")
     return rows.select(*KEYS, "passed", stage.alias("stage"), "reason")
 
@@ -159,17 +198,22 @@ def label_round(dets: DataFrame, obbs: DataFrame, rep: DataFrame | None = None,
     return out.select(*tk, "rank", "suit", "seat_id", "seat_via", "vote_share", "ordinal", F.coalesce("pile", F.lit(0)).alias("split_pile"), F.coalesce(F.col("ordinal") == F.col("double_ordinal"), F.lit(False)).alias("double"), "first_frame", "last_frame", "n_obs")
 
 
-def detect_actions(features: DataFrame, gallery: DataFrame, exclude: DataFrame, ids: DataFrame, width: int = 10, stride: int = 5, bins: int = 2, threshold: float = 0.5, topn: int = 3) -> DataFrame:
-    """Windows of videos that aren't excluded, scored by their nearest gallery vector, suppressed, with task ids, at `threshold` or more.
+def detect_actions(features: DataFrame, gallery: DataFrame | None, exclude: DataFrame, ids: DataFrame, width: int = 10, stride: int = 5, bins: int = 2, threshold: float = 0.5, topn: int = 3, model=None, focus: int | None = None) -> DataFrame:
+    """Windows of videos that aren't excluded, scored, suppressed, with task ids, at `threshold` or more.
 
+    The score is the similarity of the nearest gallery vector or, with a model of fit_window_classifier, its probability of label `focus` (g_id is null then).
     features: video_id, frame_idx, embedding. gallery: g_id, g_vec. ids: video_id, task_id.
     """
     own = joins.exclude(features, exclude, ["video_id"])
     lengths = own.groupBy("video_id").agg((F.max("frame_idx") + 1).alias("n"))
     w = sequences.sliding_windows(lengths, width, stride).drop("n")
     vec = sequences.temporal_bins(w, own, bins).withColumn("seg_id", F.col("video_id").cast("long") * 100_000 + F.col("start_frame"))
-    score = joins.top1_similarity(vec.select(F.col("seg_id").alias("q_id"), F.col("vec").alias("q_vec")), gallery)
-    rows = vec.join(score.withColumnRenamed("q_id", "seg_id"), "seg_id").withColumn("score", F.col("best"))
+    if model is None:
+        score = joins.top1_similarity(vec.select(F.col("seg_id").alias("q_id"), F.col("vec").alias("q_vec")), gallery)
+        rows = vec.join(score.withColumnRenamed("q_id", "seg_id"), "seg_id").withColumn("score", F.col("best"))
+    else:
+        rows = score_windows(model, vec, focus).withColumn("g_id", F.lit(None).cast("long"))
+    rows = stored(rows.select("video_id", "seg_id", "start_frame", "end_frame", "score", "g_id"), "action-scores")  # read twice below
     kept = sequences.nms_1d(rows, ["video_id"], topn=topn).where(F.col("score") >= threshold)
     out = joins.lookup_ids(kept, ids, "video_id").join(rows.select("seg_id", "g_id"), "seg_id")
     return out.select("video_id", "task_id", (F.col("place") + 1).alias("rank"), "start_frame", "end_frame", "score", "g_id")

@@ -52,16 +52,6 @@ def hand_position(kps: DataFrame, keys: list[str]) -> DataFrame:
     return hand.select(*keys, pick("x", 1280.0).alias("hx"), pick("y", 720.0).alias("hy"))
 
 
-def reject_by_text(segs: DataFrame, frames: DataFrame, step: int = 1) -> DataFrame:
-    """Per segment: rejected if the text of any frame in it matches, with its own reason where there is no frame."""
-    paused = F.coalesce(F.col("text").rlike("(?i)" + "|".join(PAUSE_PATTERNS)), F.lit(False))
-    keys = segs.columns
-    hit = segs.join(frames.select("round_id", F.col("frame_id").alias("__f"), paused.alias("__p")), "round_id", "left").withColumn("__in", F.col("__f").between(F.col("start_frame"), F.col("end_frame")))
-    out = hit.groupBy(*keys).agg(F.count_if("__in").alias("n_frames"), F.count_if(F.col("__in") & F.col("__p")).alias("n_paused"))
-    reason = F.when(F.col("n_frames") == 0, "no frames").when(F.col("n_paused") > 0, "paused")
-    return out.withColumns({"reason": reason, "passed": reason.isNull()})
-
-
 def l2_normalize(v: Column) -> Column:
     """v over its length; a vector of zeros stays so."""
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))

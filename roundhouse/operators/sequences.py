@@ -6,11 +6,15 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roundhouse.functions import geometry as g
-from roundhouse.operators.joins import asof_offset, chunk_slices, interval_overlap_join
+from roundhouse.operators.joins import asof_offset, chunk_slices, interval_overlap_join, point_in_interval_join
+from roundhouse.operators.picks import random_key
 
 
 def merge_chunks(rounds: DataFrame, chunks: DataFrame, gap_preserving: bool = False) -> DataFrame:
@@ -125,13 +129,15 @@ def follow_items(pdf: pd.DataFrame, reach: float = 35.0, recency: int = 75, leas
     rows = pdf.sort_values(["frame_id", "conf", "det_id"], ascending=[True, False, True]).reset_index(drop=True)
     values = rows[["frame_id", "cx", "cy"]].to_numpy()
     claimed: set[int] = set()
+    live: list[int] = []
     now = None
     for i, (frame, x, y) in enumerate(values):
         if frame != now:
             now, claimed = frame, set()
+            live = [k for k in live if frame - last[k][2] <= recency]
         best, far = -1, math.inf
-        for k, (px, py, when) in enumerate(last):
-            if k not in claimed and frame - when <= recency and (d := math.hypot(x - px, y - py)) < far:
+        for k in live:
+            if k not in claimed and (d := math.hypot(x - last[k][0], y - last[k][1])) < far:
                 best, far = k, d
         if best >= 0 and far <= reach:
             claimed.add(best)
@@ -139,6 +145,7 @@ def follow_items(pdf: pd.DataFrame, reach: float = 35.0, recency: int = 75, leas
             best = len(last)
             last.append((x, y, int(frame)))
             own.append([])
+            live.append(best)
         last[best] = (x, y, int(frame))
         own[best].append(i)
     kept = [k for k in own if len(k) >= least_obs and values[k[-1], 0] - values[k[0], 0] >= least_span]
@@ -228,28 +235,58 @@ def split_seats(cards: DataFrame, obbs: DataFrame, least_cards: int = 3, least_p
     return seat.where((F.sqrt(F.col("dx") ** 2 + F.col("dy") ** 2) >= least_px) & flat).select(*keys, F.col("a.ordinal").alias("first_ordinal"), F.col("b.ordinal").alias("second_ordinal"))
 
 
-def two_piles(points: np.ndarray, rounds: int = 20) -> np.ndarray:
-    """Pile 1 (left) or 2 of each point by two means, started at the least and the largest x."""
-    if len(points) < 2:
-        return np.ones(len(points), int)
-    c = [points[points[:, 0].argmin()], points[points[:, 0].argmax()]]
+def two_piles(points: np.ndarray, begin: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """Pile 1 (left) or 2 of each point, for many groups at once; begin: where each group (of one point or more) starts.
+
+    Two means per group, started at its first points of least and of largest x; a group stops when its means stay. A group of one point is pile 1.
+    """
+    sizes = np.diff([*begin, len(points)])
+    group = np.repeat(np.arange(len(begin)), sizes)
+    centre = np.stack([points[_first_least(x, begin, group)] for x in (points[:, 0], -points[:, 0])], 1)  # group, pile, axis
+    second = np.zeros(len(points), bool)
+    moving = sizes > 1
     for _ in range(rounds):
-        second = np.hypot(*(points - c[1]).T) < np.hypot(*(points - c[0]).T)
-        new = [points[~second].mean(0) if (~second).any() else c[0], points[second].mean(0) if second.any() else c[1]]
-        if np.allclose(new, c):
+        if not moving.any():
             break
-        c = new
-    return np.where(second == (c[0][0] >= c[1][0]), 1, 2)
+        far = [np.hypot(*(points - centre[group, k]).T) for k in (0, 1)]
+        second = np.where(moving[group], far[1] < far[0], second)
+        new = centre.copy()
+        for k, own in enumerate((~second, second)):
+            n = np.bincount(group, weights=own, minlength=len(begin))
+            some = n > 0
+            for axis in (0, 1):
+                new[some, k, axis] = np.bincount(group, weights=own * points[:, axis], minlength=len(begin))[some] / n[some]
+        still = np.isclose(new, centre).all((1, 2))
+        centre = np.where((moving & ~still)[:, None, None], new, centre)
+        moving &= ~still
+    left = centre[:, 0, 0] >= centre[:, 1, 0]
+    return np.where((sizes == 1)[group] | (second == left[group]), 1, 2)
+
+
+def _first_least(value: np.ndarray, begin: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The place of each group's first least value."""
+    least = np.minimum.reduceat(value, begin)
+    at = np.flatnonzero(value == least[group])
+    return at[np.unique(group[at], return_index=True)[1]]
 
 
 def two_means(cards: DataFrame) -> DataFrame:
-    """cards (round_id, seat_id, ordinal, cx, cy) with their pile; one group is one seat."""
+    """cards (round_id, seat_id, ordinal, cx, cy) with their pile. A seat's few cards are one row, and a batch of seats is solved together."""
+    rows = cards.groupBy("round_id", "seat_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy")))).alias("cards"))
+    kind = "round_id long, seat_id int, cards array<struct<ordinal:int,cx:double,cy:double>>, piles array<int>"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ordinal")
-        return pdf.assign(pile=two_piles(pdf[["cx", "cy"]].to_numpy(float)))
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                own = batch.column(2)
+                points = np.stack([own.flatten().field(k).to_numpy(zero_copy_only=False) for k in (1, 2)], 1)
+                ends = np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False))
+                piles = two_piles(points, np.concatenate([[0], ends[:-1]]))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(piles.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["round_id", "seat_id", "cards", "piles"])
 
-    return cards.select("round_id", "seat_id", "ordinal", "cx", "cy").groupBy("round_id", "seat_id").applyInPandas(run, "round_id long, seat_id int, ordinal int, cx double, cy double, pile int")
+    out = rows.select(F.col("round_id").cast("long"), F.col("seat_id").cast("int"), F.col("cards").cast("array<struct<ordinal:int,cx:double,cy:double>>")).mapInArrow(run, kind)
+    return out.select("round_id", "seat_id", F.explode(F.arrays_zip("cards", "piles")).alias("c")).select("round_id", "seat_id", "c.cards.*", F.col("c.piles").alias("pile"))
 
 
 def frame_labels(segs: DataFrame, lengths: DataFrame, background: str = "background") -> DataFrame:
@@ -268,14 +305,13 @@ def sample_frames(segs: DataFrame, step: int, last: Column | None = None) -> Dat
 
 
 def _mean_vectors(rows: DataFrame, keys: list[str], vec: str) -> DataFrame:
-    """Mean vector per group, by places: one row per place, summed map-side."""
-    flat = rows.select(*keys, F.posexplode(vec).alias("place", "v")).groupBy(*keys, "place").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    return flat.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda x: x["v"]).alias("vec"))
+    """Mean vector per group: whole vectors are summed, map-side first."""
+    return rows.groupBy(*keys).agg(vector_to_array(Summarizer.mean(array_to_vector(F.col(vec).cast("array<double>")))).alias("vec"))
 
 
 def segment_mean(segs: DataFrame, feats: DataFrame) -> DataFrame:
     """Mean vector of each segment's frames, both ends inclusive."""
-    rows = segs.join(feats.select("video_id", "frame_idx", "embedding"), "video_id").where(F.col("frame_idx").between(F.col("start_frame"), F.col("end_frame")))
+    rows = point_in_interval_join(feats.select("video_id", "frame_idx", "embedding"), segs, ["video_id"], "frame_idx")
     return _mean_vectors(rows, segs.columns, "embedding")
 
 
@@ -289,7 +325,8 @@ def temporal_bins(units: DataFrame, feats: DataFrame, bins: int) -> DataFrame:
     edge = lambda b: F.floor(b * n / bins).cast("int")
     parts = units.select(*key).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).withColumns({"a": edge(F.col("bin")), "z": edge(F.col("bin") + 1)})
     parts = parts.withColumn("z", F.when((F.col("bin") == 0) & (F.col("z") <= F.col("a")), F.col("a") + 1).otherwise(F.col("z")))
-    rows = parts.join(feats.select("video_id", "frame_idx", "embedding"), "video_id").where((F.col("frame_idx") >= F.col("start_frame") + F.col("a")) & (F.col("frame_idx") < F.col("start_frame") + F.col("z")))
+    spans = parts.select(*key, "bin", (F.col("start_frame") + F.col("a")).alias("first"), (F.col("start_frame") + F.col("z") - 1).alias("last"))
+    rows = point_in_interval_join(feats.select("video_id", "frame_idx", "embedding"), spans, ["video_id"], "frame_idx", ("first", "last"))
     means = _mean_vectors(rows, [*key, "bin"], "embedding")
     order = Window.partitionBy(*key).orderBy("bin")
     filled = parts.select(*key, "bin").join(means, [*key, "bin"], "left").withColumn("vec", F.last("vec", ignorenulls=True).over(order)).where("vec is not null")
@@ -320,13 +357,14 @@ def window_labels(windows: DataFrame, segs: DataFrame, focus: str, width: int, f
 
 
 def jitter(segs: DataFrame, copies: int = 3, share: float = 0.15, seed: int = 42, last: Column | None = None) -> DataFrame:
-    """Each segment and `copies` copies whose ends move by up to `share` of its length, from hashes of (seed, seg_id, copy); inverted ones go."""
-    uniform = lambda k: F.pmod(F.xxhash64(F.lit(seed), "seg_id", "copy", F.lit(k)), F.lit(2_000_001)) / 1_000_000 - 1
+    """Each segment and `copies` copies whose ends move by up to `share` of its length, from md5 hashes of (seed, seg_id, copy); inverted ones go."""
+    digits = lambda k: F.conv(F.substring(random_key(["seg_id", "copy"], seed), 1 + 8 * k, 8), 16, 10).cast("long")
+    uniform = lambda k: (digits(k) % 2_000_001) / 1_000_000.0 - 1
     length = F.col("end_frame") - F.col("start_frame") + 1
     rows = segs.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies))))
-    move = lambda c, k: F.when(F.col("copy") == 0, F.col(c)).otherwise((F.col(c) + F.round(uniform(k) * share * length)).cast("int"))
-    end = move("end_frame", 2)
-    rows = rows.withColumns({"s": F.greatest(F.lit(0), move("start_frame", 1)), "e": end if last is None else F.least(end, last)}).where("s <= e")
+    move = lambda c, k: F.when(F.col("copy") == 0, F.col(c)).otherwise((F.col(c) + F.floor(uniform(k) * share * length + 0.5)).cast("int"))
+    end = move("end_frame", 1)
+    rows = rows.withColumns({"s": F.greatest(F.lit(0), move("start_frame", 0)), "e": end if last is None else F.least(end, last)}).where("s <= e")
     return rows.drop("start_frame", "end_frame").withColumnsRenamed({"s": "start_frame", "e": "end_frame"})
 
 

@@ -8,6 +8,7 @@ from roundhouse.operators import datasets as d
 from roundhouse.operators.sequences import segment_mean
 from roundhouse.plans.aggregates import LATEST
 from roundhouse.plans.joins import DOT
+from roundhouse.plans.picks import random_order
 from roundhouse.plans.registry import query
 from roundhouse.plans.scalars import r4
 
@@ -17,18 +18,21 @@ def _(t):
     return d.split_sorted(t.customer, "c_name")
 
 
-@query("split_hash_ratio")
+@query("split_hash_ratio", f"""WITH g AS (SELECT DISTINCT round_id FROM {{segments}}), p AS (SELECT round_id, row_number() OVER (ORDER BY {random_order('round_id')}) AS place, count(*) OVER () AS n FROM g)
+    SELECT s.round_id, s.seg_id, CASE WHEN place <= least(FLOOR(n * CAST(0.8 AS DOUBLE)), n - 1) THEN 'train' ELSE 'test' END AS split FROM {{segments}} s JOIN p ON s.round_id = p.round_id""")
 def _(t):
-    """No SQL twin: Spark's hashes. Disjoint groups and sizes are tested."""
     return d.split_hashed(t.segments.select("round_id", "seg_id"), "round_id")
 
 
-@query("stratified_split")
+STRATA = f"SELECT seg_id, label = 'split' AS positive, row_number() OVER (PARTITION BY label = 'split' ORDER BY {random_order('seg_id')}) AS place, count(*) OVER (PARTITION BY label = 'split') AS n FROM {{segments}}"
+
+
+@query("stratified_split", f"SELECT seg_id, positive, CASE WHEN place <= greatest(1, round_even(n * CAST(0.2 AS DOUBLE), 0)) THEN 'val' ELSE 'train' END AS split FROM ({STRATA})")
 def _(t):
     return d.split_stratified(t.segments.select("seg_id", (F.col("label") == "split").alias("positive")), "positive", ["seg_id"])
 
 
-@query("stratified_kfold")
+@query("stratified_kfold", f"SELECT seg_id, positive, CAST((place - 1) % 5 AS INTEGER) AS fold FROM ({STRATA})")
 def _(t):
     return d.kfold_stratified(t.segments.select("seg_id", (F.col("label") == "split").alias("positive")), "positive", ["seg_id"])
 
@@ -86,14 +90,26 @@ def _(t):
 
 
 HARD = f"""WITH i AS (SELECT video_id * 50 + frame_idx AS id, label_id, embedding FROM {{features}}), n AS (SELECT q.id AS q_id, max({r4(DOT)}) AS neg, arg_min(g.id, struct_pack(a := -({r4(DOT)}), b := g.id)) AS neg_id FROM i q JOIN i g ON q.label_id = 1 AND g.label_id <> 1 GROUP BY 1),
-    o AS (SELECT id, embedding, lead(embedding) OVER (ORDER BY id) AS nxt FROM i WHERE label_id = 1), p AS (SELECT q_id, {r4(DOT)} AS pos FROM (SELECT id AS q_id, struct_pack(embedding := embedding) AS q, struct_pack(embedding := nxt) AS g FROM o WHERE nxt IS NOT NULL))
-    SELECT n.q_id, neg, neg_id, pos, CASE WHEN pos IS NOT NULL THEN {r4('greatest(CAST(0 AS DOUBLE), CAST(0.2 AS DOUBLE) - pos + neg)')} END AS loss FROM n LEFT JOIN p ON n.q_id = p.q_id"""
+    o AS (SELECT id, embedding, row_number() OVER (ORDER BY {random_order('id')}) AS place, count(*) OVER () AS size FROM i WHERE label_id = 1), p AS (SELECT q.id AS q_id, g.id AS pos_id, {r4(DOT)} AS pos FROM o q JOIN o g ON g.place = q.place % q.size + 1 AND g.id <> q.id)
+    SELECT n.q_id, neg, neg_id, pos_id, pos, CASE WHEN pos IS NOT NULL THEN {r4('greatest(CAST(0 AS DOUBLE), CAST(0.2 AS DOUBLE) - pos + neg)')} END AS loss FROM n LEFT JOIN p ON n.q_id = p.q_id"""
+
+
+def _items(t):
+    return t.features.select((F.col("video_id").cast("long") * 50 + F.col("frame_idx")).alias("id"), "label_id", F.col("embedding").alias("vec"))
 
 
 @query("hard_negative_mining", HARD)
 def _(t):
-    items = t.features.select((F.col("video_id").cast("long") * 50 + F.col("frame_idx")).alias("id"), "label_id", F.col("embedding").alias("vec"))
-    return d.mine_hard_negatives(items, 1)
+    return d.mine_hard_negatives(_items(t), 1)
+
+
+@query("negative_pools", f"""WITH i AS (SELECT video_id * 50 + frame_idx AS id, label_id FROM {{features}}), c AS (SELECT count(CASE WHEN label_id IN (2) THEN 1 END) AS n_hard, count(CASE WHEN label_id NOT IN (1, 2) THEN 1 END) AS n_soft FROM i),
+    a AS (SELECT id AS q_id, row_number() OVER (ORDER BY {random_order('id')}) AS place, n_hard, n_soft, least(n_soft, greatest(1, 60 - n_hard)) AS k FROM i, c WHERE label_id = 1), s AS (SELECT id, row_number() OVER (ORDER BY {random_order('id')}) AS place FROM i WHERE label_id NOT IN (1, 2)),
+    w AS (SELECT q_id, n_hard, ((place - 1) * k + j) % n_soft + 1 AS place FROM (SELECT *, unnest(range(k)) AS j FROM a))
+    SELECT q_id, n_hard, list(s.id ORDER BY s.id) AS soft FROM w JOIN s ON w.place = s.place GROUP BY q_id, n_hard""")
+def _(t):
+    """Pools of 60: every item of label 2 and soft ones."""
+    return d.negative_pools(_items(t).select("id", "label_id"), 1, [2], 60)
 
 
 @query("filter_videos_with_label", "SELECT DISTINCT round_id FROM {segments} WHERE label = 'split'")

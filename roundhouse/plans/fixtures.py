@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roundhouse.storage import stored
+
 GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 TABLES: dict[str, str] = {
@@ -37,21 +39,26 @@ TABLES: dict[str, str] = {
                CAST(FLOOR(x1 * 2 / CAST(3 AS DOUBLE)) AS INT) AS x1, CAST(FLOOR(y1 * 2 / CAST(3 AS DOUBLE)) AS INT) AS y1,
                CAST(FLOOR(x2 * 2 / CAST(3 AS DOUBLE)) AS INT) AS x2, CAST(FLOOR(y2 * 2 / CAST(3 AS DOUBLE)) AS INT) AS y2, rank, suit, conf
         FROM {detections}""",
+    "parting": """
+        SELECT round_id, frame_id, det_id, cx + CASE WHEN CAST(FLOOR((cx * 1.5 - 519.5) / 75) AS INT) % 2 = 1 THEN 0.6 * (frame_id % 50) ELSE 0 END AS cx, cy, x1, y1, x2, y2, rank, suit, conf
+        FROM (SELECT round_id, CAST(FLOOR(frame_id / 5) AS INT) AS frame_id, det_id, cx, cy, x1, y1, x2, y2, rank, suit, conf FROM {dets720}) d""",
     "hands": """
-        SELECT o_orderkey % 10 AS round_id, CAST(FLOOR(o_orderkey / 20) AS INT) % 600 AS frame_id, CAST(FLOOR(o_orderkey / 10) AS INT) % 2 AS hand,
+        SELECT CAST(10 * FLOOR(o_orderkey / 12000) + o_orderkey % 10 AS BIGINT) AS round_id, CAST(FLOOR(o_orderkey / 20) AS INT) % 600 AS frame_id, CAST(FLOOR(o_orderkey / 10) AS INT) % 2 AS hand,
                CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN CAST(0 AS DOUBLE) ELSE CAST(0.3 AS DOUBLE) + ((o_orderkey * 17) % 1000) / CAST(2500 AS DOUBLE) END AS x8,
                CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN CAST(0 AS DOUBLE)
                     ELSE CAST(0.64 AS DOUBLE) + CAST(0.004 AS DOUBLE) * ABS(CAST(FLOOR(o_orderkey / 20) AS INT) % 20 - 10) END AS y8
-        FROM {orders} WHERE o_orderkey < 12000""",
+        FROM {orders}""",
     "keypoints21": """
         SELECT round_id, frame_id, hand, kp, CASE WHEN x8 = 0 THEN x8 ELSE x8 + CAST(0.001 AS DOUBLE) * (kp - 8) END AS x,
                CASE WHEN x8 = 0 THEN y8 ELSE y8 + CAST(0.0005 AS DOUBLE) * (kp - 8) END AS y
         FROM {hands} CROSS JOIN (SELECT 0 AS kp UNION ALL SELECT 8 UNION ALL SELECT 12 UNION ALL SELECT 16 UNION ALL SELECT 20) AS k""",
     "chunks": """
-        SELECT DISTINCT o_orderkey % 10 AS video_id, CAST(300 * (CAST(FLOOR(o_orderkey / 10) AS INT) % 40) AS INT) AS chunk_start
-        FROM {orders} WHERE o_orderkey < 400 AND o_orderkey % 7 <> 3 AND o_orderkey % 10 <> 9""",
+        SELECT DISTINCT video_id, chunk_start
+        FROM (SELECT video_id, chunk_start, o_orderpriority, MIN(CASE WHEN chunk_start = 0 THEN o_orderpriority END) OVER (PARTITION BY video_id) AS first
+              FROM (SELECT CAST(10 * FLOOR(o_orderkey / 400) + o_orderkey % 10 AS BIGINT) AS video_id, CAST(300 * (CAST(FLOOR(o_orderkey / 10) AS INT) % 40) AS INT) AS chunk_start, o_orderpriority FROM {orders}) o) p
+        WHERE o_orderpriority <> '5-LOW' AND (first IS NULL OR first <> '1-URGENT')""",
     "rounds": """
-        SELECT c_custkey AS round_id, c_custkey % 10 AS video_id, CAST(1 + (c_custkey * 131) % 9000 AS INT) AS start_1idx,
+        SELECT c_custkey AS round_id, CAST(FLOOR(c_custkey / 4) AS BIGINT) AS video_id, CAST(1 + (c_custkey * 131) % 9000 AS INT) AS start_1idx,
                CAST(401 + (c_custkey * 131) % 9000 + (c_custkey * 29) % 2500 AS INT) AS end_1idx
         FROM {customer}""",
     "features": """
@@ -60,7 +67,7 @@ TABLES: dict[str, str] = {
         SELECT f.video_id, CAST(f.frame_idx AS INT) AS start_frame, CAST(f.frame_idx + 9 AS INT) AS end_frame, f.label_id FROM {features} f WHERE f.frame_idx % 10 = 0""",
     "boxes": """
         SELECT round_id, det_id AS box_id, frame_id AS anchor_frame, CAST(1 + det_id % 3 AS INT) AS n_keyframes, x1, y1, x2, y2
-        FROM {detections} WHERE det_id % 17 = 0""",
+        FROM {detections} WHERE conf > 0.975""",
     "tasks": """
         SELECT conv_id AS task_id, turn AS ann_seq, (conv_id + turn) % 5 = 0 AS was_cancelled, CAST(LENGTH(text) % 4 AS INT) AS n_results,
                CASE WHEN turn % 3 = 0 THEN NULL ELSE CONCAT('2025-10-0', CAST(1 + (conv_id * 7 + turn * 3) % 9 AS STRING)) END AS updated_at
@@ -110,7 +117,9 @@ def duckdb_text(sql: str) -> str:
     for name in _needs(sql):
         visit(name)
     body = sql.strip()
-    ctes = [f"fx_{name} AS ({TABLES[name]})" for name in order]
+    texts = [body, *[TABLES[x] for x in order]]
+    often = {x for x in order if sum(t.count(f"{{{x}}}") for t in texts) > 1}  # computed once, also where both sides of a join read them
+    ctes = [f"fx_{name} AS {'MATERIALIZED ' if name in often else ''}({TABLES[name]})" for name in order]
     if (start := next((x for x in ("WITH RECURSIVE ", "WITH ") if body.startswith(x)), None)) and ctes:
         body = start + ", ".join([*ctes, body[len(start) :]])
     elif ctes:
@@ -119,11 +128,20 @@ def duckdb_text(sql: str) -> str:
     return body.replace("CAST(FLOOR(o_orderkey / 28) % 1000000 AS BIGINT_TEXT)", "CAST(CAST(FLOOR(o_orderkey / 28) % 1000000 AS BIGINT) AS VARCHAR)").replace("AS STRING)", "AS VARCHAR)")
 
 
+_WRITTEN: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def prepare(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("detections",)) -> None:
+    """Writes derived tables once, so that the queries of this session read them as tables: what takes the place of input isn't timed with a query."""
+    t = Inputs(spark, sf_dir)
+    _WRITTEN[spark.sparkContext.applicationId, sf_dir] = {x: stored(getattr(t, x), f"derived-{x}") for x in names}
+
+
 class Inputs:
     """Given and derived tables of one folder: t.segments, t.lineitem and so on."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._seen = spark, sf_dir, {}
+        self.spark, self.sf_dir, self._seen = spark, sf_dir, dict(_WRITTEN.get((spark.sparkContext.applicationId, sf_dir), {}))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in self._seen:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roundhouse.functions import geometry as g
 from roundhouse.operators import joins as j
 from roundhouse.operators import scalar as s
+from roundhouse.operators.pipelines import spans
 from roundhouse.plans.registry import query
 from roundhouse.plans.scalars import HAND_POS, INSIDE, NORM_RANK, OBB_DISTANCE, SEATED, hyp, r4
 
@@ -78,7 +79,7 @@ SEAT_OF_POINT = f"""SELECT d.round_id, d.det_id, min_by(seat_id, CASE WHEN {INSI
 
 @query("nearest_obb_join", f"SELECT d.round_id, d.det_id, b.seat_id, b.inside FROM {{dets720}} d LEFT JOIN ({SEAT_OF_POINT}) b ON d.round_id = b.round_id AND d.det_id = b.det_id")
 def _(t):
-    return j.assign_seats_obb(t.dets720, t.seat_obbs, ["round_id", "det_id"])
+    return j.assign_seats_obb(t.dets720, t.seat_obbs).select("round_id", "det_id", "seat_id", "inside")
 
 
 TAPS = "SELECT round_id, CAST(10 * FLOOR(frame_id / 10) AS INT) AS frame_id, frame_id AS hand_frame, hand, x8 * CAST(1280 AS DOUBLE) AS px, y8 * CAST(720 AS DOUBLE) AS py FROM {hands} WHERE x8 > 0"
@@ -104,9 +105,7 @@ NEW_ITEMS = f"""WITH RECURSIVE fr AS ({FRAMES}), sg AS (SELECT s.round_id, s.seg
 
 def hit_spans(t, labels=("hit",)):
     """Segments with the first and last frame that have detections."""
-    frames = t.detections.select("round_id", "frame_id").distinct()
-    rows = j.point_in_interval_join(frames, t.segments.where(F.col("label").isin(*labels)), ["round_id"], "frame_id")
-    return rows.groupBy("round_id", "seg_id", "label", "start_frame", "end_frame").agg(F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
+    return spans(t.segments.where(F.col("label").isin(*labels)), t.detections).where("first_frame is not null")
 
 
 @query("greedy_new_items", NEW_ITEMS)
@@ -165,12 +164,13 @@ def _(t):
     return j.require_asset(t.segments.select("round_id", "seg_id"), t.chunks.select(F.col("video_id").alias("round_id")), ["round_id"], "no_cards")
 
 
-@query("exclude_training_videos", "SELECT video_id, frame_idx FROM {features} WHERE video_id NOT IN (SELECT DISTINCT video_id FROM {rounds} WHERE video_id < 3)")
+@query("exclude_training_videos", "SELECT video_id, frame_idx FROM {features} WHERE video_id NOT IN (SELECT DISTINCT video_id FROM {rounds} WHERE start_1idx > 6000)")
 def _(t):
-    return j.exclude(t.features.select("video_id", "frame_idx"), t.rounds.where("video_id < 3"), ["video_id"])
+    return j.exclude(t.features.select("video_id", "frame_idx"), t.rounds.where("start_1idx > 6000"), ["video_id"])
 
 
-GALLERY = "video_id < 3"
+#: One video in eight is the gallery, the rest ask.
+GALLERY, ASKING = "video_id % 8 = 0", "video_id % 8 <> 0"
 DOT = "list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(g.embedding AS DOUBLE[])) / (sqrt(list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))) * sqrt(list_inner_product(CAST(g.embedding AS DOUBLE[]), CAST(g.embedding AS DOUBLE[]))))"
 
 
@@ -179,12 +179,12 @@ def vectors(t, where: str, prefix: str):
 
 
 @query("top1_similarity_join", f"""SELECT q.video_id * 50 + q.frame_idx AS q_id, max({r4(DOT)}) AS best, min_by(g.video_id * 50 + g.frame_idx, struct_pack(a := -({r4(DOT)}), b := g.video_id * 50 + g.frame_idx)) AS g_id
-    FROM {{features}} q JOIN {{features}} g ON q.video_id >= 3 AND g.video_id < 3 GROUP BY 1""")
+    FROM {{features}} q JOIN {{features}} g ON q.video_id % 8 <> 0 AND g.video_id % 8 = 0 GROUP BY 1""")
 def _(t):
-    return j.top1_similarity(vectors(t, "video_id >= 3", "q"), vectors(t, GALLERY, "g"))
+    return j.top1_similarity(vectors(t, ASKING, "q"), vectors(t, GALLERY, "g"))
 
 
-@query("task_id_lookup", "SELECT s.seg_id, s.round_id, c.c_name FROM {segments} s LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0) c ON s.round_id = c.c_custkey")
+@query("task_id_lookup", "SELECT s.seg_id, s.round_id, c.c_name FROM {segments} s LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 1000) c ON s.round_id = c.c_custkey")
 def _(t):
-    ids = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("round_id"), "c_name")
+    ids = t.customer.where("c_acctbal > 1000").select(F.col("c_custkey").alias("round_id"), "c_name")
     return j.lookup_ids(t.segments.select("seg_id", "round_id"), ids, "round_id")

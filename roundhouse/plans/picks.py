@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roundhouse.operators import picks as p
 from roundhouse.operators.joins import assign_seats_template, pair_self_join
+from roundhouse.operators.pipelines import widest_pair
 from roundhouse.plans.joins import PAIRS
 from roundhouse.plans.registry import query
 from roundhouse.plans.scalars import SEATED
@@ -38,15 +39,17 @@ def _(t):
 
 @query("topk_pairs_per_segment")
 def _(t):
-    """Of the first ten tracked pairs of a segment the one of largest spread, if it is 5 at least. No SQL twin: track_pair has none."""
-    rows = tracked_pairs(t).where("spread >= 5")
-    best = rows.groupBy("round_id", "seg_id").agg(F.min(F.struct((-F.col("spread")).alias("s"), "pair_no", "end_frame", "end_a", "end_b")).alias("b"))
-    return best.select("round_id", "seg_id", (-F.col("b.s")).alias("spread"), "b.pair_no", "b.end_frame", "b.end_a", "b.end_b")
+    """Of the first ten tracked pairs of a segment the one of largest spread, if it is 5 at least, where pairs part. No SQL twin: track_pair has none."""
+    return widest_pair(tracked_pairs(t, t.parting)).where("spread >= 5").drop("n_pairs")
 
 
-@query("sample_n_per_class")
+def random_order(ids: str) -> str:
+    """The order of random places in SQL: by md5 of the seed and the ids."""
+    return f"md5(concat_ws('|', 42, {ids})), {ids}"
+
+
+@query("sample_n_per_class", f"""SELECT seg_id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {random_order('seg_id')}) AS r FROM (SELECT seg_id, CASE WHEN label IN ('hit', 'tap', 'split') THEN label ELSE 'background' END AS label FROM {{segments}}) WHERE label <> 'background') WHERE r <= 5""")
 def _(t):
-    """No SQL twin: places come from Spark's hashes."""
     rows = t.segments.select("seg_id", F.when(F.col("label").isin("hit", "tap", "split"), F.col("label")).otherwise("background").alias("label"))
     return p.sample_per_class(rows, "label", ["seg_id"], 5)
 
@@ -57,9 +60,9 @@ def _(t):
     return p.evenly_spaced(t.customer.select("c_name"), "c_name", 20)
 
 
-@query("balanced_sample_union")
+@query("balanced_sample_union", f"""WITH r AS (SELECT seg_id, label, row_number() OVER (PARTITION BY label ORDER BY {random_order('seg_id')}) AS place, count(*) OVER (PARTITION BY label) AS n FROM {{segments}} WHERE label IN ('hit', 'tap'))
+    SELECT seg_id, label, CASE WHEN label = 'hit' THEN 'human' ELSE 'auto' END AS source FROM r WHERE place <= (SELECT min(n) FROM r)""")
 def _(t):
-    """No SQL twin: the order is Spark's hashes'."""
     s = t.segments.select("seg_id", "label")
     return p.balanced_union(s.where("label = 'hit'"), s.where("label = 'tap'"), ["seg_id"])
 
@@ -75,11 +78,12 @@ def _(t):
     return p.first_n_groups(t.segments, "round_id", "seg_id", 5)
 
 
-@query("balanced_batch_sampler")
+@query("balanced_batch_sampler", f"""WITH i AS (SELECT seg_id, label, label = 'hit' AS is_focus, row_number() OVER (PARTITION BY label = 'hit' ORDER BY {random_order('seg_id')}) - 1 AS p, count(*) OVER (PARTITION BY label = 'hit') AS n FROM {{segments}}),
+    b AS (SELECT greatest(4, 2 * max(CASE WHEN is_focus THEN n END) // 8) AS nb FROM i), s AS (SELECT i.*, CASE WHEN is_focus THEN 8 ELSE 24 END AS per, unnest(range(p, nb * CASE WHEN is_focus THEN 8 ELSE 24 END, n)) AS s FROM i, b)
+    SELECT seg_id, label, s // per AS batch, CAST(s % per AS INTEGER) AS slot, is_focus FROM s""")
 def _(t):
-    """No SQL twin: places come from Spark's hashes."""
     rows = p.balanced_batches(t.segments.select("seg_id", "label"), ["seg_id"], F.col("label") == "hit", 32, 0.25)
-    return rows.select("seg_id", "label", "part", "batch", "is_focus")
+    return rows.select("seg_id", "label", "batch", "slot", "is_focus")
 
 
 @query("union_sources", "SELECT seg_id, label, 'human' AS source FROM {segments} WHERE label = 'hit' UNION ALL SELECT seg_id, label, 'auto' FROM {segments} WHERE score > 0.05")

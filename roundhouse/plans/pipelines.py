@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from roundhouse.operators import pipelines as p
 from roundhouse.operators import sequences as q
+from roundhouse.operators.datasets import fit_window_classifier
+from roundhouse.operators.joins import hands_wide
 from roundhouse.operators.picks import rep_frames
-from roundhouse.plans.joins import FRAMES
+from roundhouse.operators.scalar import hand_position
+from roundhouse.plans.joins import FRAMES, GALLERY
 from roundhouse.plans.registry import query
 from roundhouse.plans.scalars import CLEAN, hyp
 from roundhouse.plans.sequences import COUNTED, TAP
 
-#: Rounds without a card table in these queries.
-CARDS = "SELECT DISTINCT round_id FROM {detections} WHERE round_id % 10 <> 7"
+#: The rounds that have a card table.
+CARDS = "SELECT s_suppkey AS round_id FROM {supplier} WHERE s_acctbal > 1000"
 
 HIT = f"""WITH RECURSIVE fr AS ({FRAMES}), sg AS (SELECT s.round_id, s.seg_id, s.label, s.end_frame - s.start_frame + 1 AS du, min(f.frame_id) AS f0, max(f.frame_id) AS f1 FROM {{segments}} s LEFT JOIN fr f ON s.round_id = f.round_id AND f.frame_id BETWEEN s.start_frame AND s.end_frame WHERE s.label IN ('hit', 'dealer hits') GROUP BY ALL),
     pr AS (SELECT sg.seg_id, e.det_id AS e, b.det_id AS b, row_number() OVER (PARTITION BY sg.seg_id ORDER BY {hyp('e.cx', 'e.cy', 'b.cx', 'b.cy')}, e.det_id, b.det_id) AS rn FROM sg JOIN {{dets720}} e ON sg.round_id = e.round_id AND e.frame_id = sg.f1 JOIN {{dets720}} b ON sg.round_id = b.round_id AND b.frame_id = sg.f0 WHERE sg.f0 < sg.f1 AND {hyp('e.cx', 'e.cy', 'b.cx', 'b.cy')} <= 120),
@@ -72,8 +75,9 @@ def _(t):
 
 @query("verify_split")
 def _(t):
-    """No SQL twin: pairs are followed from match to match."""
-    return p.verify_split(t.segments, t.dets720, t.sql(CARDS))
+    """On the table in which pairs part. No SQL twin: pairs are followed from match to match."""
+    hands = hands_wide(hand_position(t.keypoints21, ["round_id", "frame_id", "hand"]))
+    return p.verify_split(t.segments, t.parting, t.sql(CARDS), hands)
 
 
 @query("verify_clean", f"SELECT round_id, seg_id, passed, CASE WHEN n_frames = 0 THEN 'stage1_no_frames' WHEN n_paused > 0 THEN 'stage1_paused' END AS stage, reason FROM ({CLEAN})")
@@ -88,9 +92,22 @@ def _(t):
     return p.label_round(t.dets720, t.seat_obbs, rep, least_obs=5)
 
 
+def _detected(t, **how):
+    gallery = q.temporal_bins(t.feature_segments.where(GALLERY).withColumn("end_frame", F.col("end_frame") + 1), t.features, 2).select((F.col("video_id").cast("long") * 100_000 + F.col("start_frame")).alias("g_id"), F.col("vec").alias("g_vec"))
+    ids = t.customer.where("c_acctbal > 1000").select(F.col("c_custkey").cast("int").alias("video_id"), F.col("c_custkey").alias("task_id"))
+    return p.detect_actions(t.features, gallery, t.features.where(GALLERY).select("video_id").distinct(), ids, threshold=0.1, **how)
+
+
 @query("detect_actions")
 def _(t):
     """No SQL twin over nearest gallery vectors of binned windows; its parts have twins."""
-    gallery = q.temporal_bins(t.feature_segments.where("video_id < 2").withColumn("end_frame", F.col("end_frame") + 1), t.features, 2).select((F.col("video_id").cast("long") * 100_000 + F.col("start_frame")).alias("g_id"), F.col("vec").alias("g_vec"))
-    ids = t.customer.select(F.col("c_custkey").cast("int").alias("video_id"), F.col("c_custkey").alias("task_id")).where("task_id % 2 = 0")
-    return p.detect_actions(t.features, gallery, t.features.where("video_id < 2").select("video_id").distinct(), ids, threshold=0.1)
+    return _detected(t)
+
+
+@query("detect_actions_classifier")
+def _(t):
+    """The same windows, scored by a classifier of the gallery's segments. No SQL twin: an iterative fit."""
+    units = t.feature_segments.where(GALLERY).withColumn("end_frame", F.col("end_frame") + 1)
+    vec = q.temporal_bins(units, t.features, 2).join(units, ["video_id", "start_frame", "end_frame"])
+    focus = vec.agg(F.min("label_id")).first()[0]
+    return _detected(t, model=fit_window_classifier(vec), focus=focus).withColumn("score", F.round("score", 4))

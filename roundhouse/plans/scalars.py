@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from roundhouse.functions import geometry as g
+from roundhouse.operators import joins as j
 from roundhouse.operators import scalar as s
 from roundhouse.plans.registry import query
 
@@ -60,13 +61,12 @@ SEAT_CASE = "(WITH_D) "
 SEATED = "SELECT *, CASE WHEN least(d0, d1, d2, d3, d4, d5, d6, d7) <= CAST('" + repr(200 / 1920) + "' AS DOUBLE) THEN CASE least(d0, d1, d2, d3, d4, d5, d6, d7) " + " ".join(f"WHEN d{k} THEN {k}" for k in range(8)) + " END END AS seat FROM (SELECT *, " + ", ".join(f"{seat_sql(k)} AS d{k}" for k in range(8)) + " FROM {detections})"
 
 
-@query("polar_seat_distance", "SELECT round_id, det_id, " + ", ".join(f"{r4(seat_sql(k))} AS d{k}" for k in range(8)) + " FROM {detections} WHERE det_id % 3 = 0")
+@query("polar_seat_distance", "SELECT round_id, det_id, " + ", ".join(f"{r4(seat_sql(k))} AS d{k}" for k in range(8)) + " FROM {detections}")
 def _(t):
-    rows = t.detections.where("det_id % 3 = 0")
-    return rows.select("round_id", "det_id", *[g.r4(g.seat_distance(F.col("cx"), F.col("cy"), k)).alias(f"d{k}") for k in range(8)])
+    return t.detections.select("round_id", "det_id", *[g.r4(g.seat_distance(F.col("cx"), F.col("cy"), k)).alias(f"d{k}") for k in range(8)])
 
 
-PAIRED = "SELECT d.round_id, d.frame_id, d.det_id, o.seat_id, d.cx, d.cy, c0x, c0y, c1x, c1y, c2x, c2y, c3x, c3y FROM {dets720} d JOIN {seat_obbs} o ON d.round_id = o.round_id WHERE d.det_id % 4 = 0"
+PAIRED = "SELECT d.round_id, d.frame_id, d.det_id, o.seat_id, d.cx, d.cy, c0x, c0y, c1x, c1y, c2x, c2y, c3x, c3y FROM {dets720} d JOIN {seat_obbs} o ON d.round_id = o.round_id"
 ALONG = "((cx - c0x) * (c1x - c0x) + (cy - c0y) * (c1y - c0y))"
 ACROSS = "((cx - c0x) * (c3x - c0x) + (cy - c0y) * (c3y - c0y))"
 LEN1, LEN3 = "((c1x - c0x) * (c1x - c0x) + (c1y - c0y) * (c1y - c0y))", "((c3x - c0x) * (c3x - c0x) + (c3y - c0y) * (c3y - c0y))"
@@ -83,7 +83,7 @@ OBB_DISTANCE = f"CASE WHEN {INSIDE} THEN CAST(0 AS DOUBLE) ELSE least({', '.join
 
 
 def _paired(t):
-    return s.obb_points(t.dets720.where("det_id % 4 = 0"), t.seat_obbs)
+    return s.obb_points(t.dets720, t.seat_obbs)
 
 
 @query("point_in_obb", f"SELECT round_id, det_id, seat_id, {INSIDE} AS inside FROM ({PAIRED})")
@@ -114,7 +114,7 @@ def _(t):
     return s.with_rotated(t.sql(_TURNED)).select("round_id", "box_id", *[f"c{k}{a}" for k in range(4) for a in "xy"])
 
 
-BOX_PAIRS = "SELECT a.round_id, a.frame_id, a.det_id, b.det_id AS b_id, a.x1, a.y1, a.x2, a.y2, b.x1 AS b_x1, b.y1 AS b_y1, b.x2 AS b_x2, b.y2 AS b_y2 FROM {dets720} a JOIN {dets720} b ON a.round_id = b.round_id AND a.frame_id = b.frame_id AND a.det_id < b.det_id WHERE a.det_id % 3 = 0"
+BOX_PAIRS = "SELECT a.round_id, a.frame_id, a.det_id, b.det_id AS b_id, a.x1, a.y1, a.x2, a.y2, b.x1 AS b_x1, b.y1 AS b_y1, b.x2 AS b_x2, b.y2 AS b_y2 FROM {dets720} a JOIN {dets720} b ON a.round_id = b.round_id AND a.frame_id = b.frame_id AND a.det_id < b.det_id"
 
 
 @query("box_iou_overlap", f"SELECT round_id, det_id, b_id, greatest(0, least(x2, b_x2) - greatest(x1, b_x1)) * greatest(0, least(y2, b_y2) - greatest(y1, b_y1)) AS overlap FROM ({BOX_PAIRS})")
@@ -179,7 +179,7 @@ CLEAN = """WITH x AS (SELECT s.round_id, s.seg_id, count(f.frame_id) AS n_frames
 
 def clean_verdicts(t):
     segs = t.segments.where("label = 'clean hand'").select("round_id", "seg_id", "start_frame", "end_frame")
-    return s.reject_by_text(segs, t.frame_text).drop("start_frame", "end_frame")
+    return j.reject_by_text(segs, t.frame_text).drop("start_frame", "end_frame")
 
 
 @query("ocr_pause_filter", CLEAN)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from roundhouse.operators.joins import pair_self_join, point_in_interval_join
+from roundhouse.plans.joins import PAIRS
 from roundhouse.plans.registry import query
 from roundhouse.sources import annotations as a
 from roundhouse.sources import names
+from roundhouse.storage import scratch_dir
 
 _PARSED = """SELECT asset_id, file_name, substr(file_name, 1, 19) AS base_name, CAST(substr(file_name, 21, 6) AS INTEGER) AS chunk_index,
     CAST(substr(file_name, 28, 6) AS INTEGER) AS chunk_start FROM {asset_names} WHERE file_name NOT LIKE 'bad%'"""
@@ -106,11 +111,50 @@ def _(t):
     return a.skip_done(t.segments, t.chunks.select(F.col("video_id").alias("round_id")), ["round_id"])
 
 
+@query("skip_already_done_count", "SELECT count(CASE WHEN c.video_id IS NOT NULL THEN 1 END) AS n_skipped, count(CASE WHEN c.video_id IS NULL THEN 1 END) AS n_left FROM {segments} s LEFT JOIN (SELECT DISTINCT video_id FROM {chunks}) c ON s.round_id = c.video_id")
+def _(t):
+    return a.count_done(t.segments, t.chunks.select(F.col("video_id").alias("round_id")), ["round_id"])
+
+
+_SPLIT_PAIRS = f"SELECT s.round_id, s.seg_id, p.* EXCLUDE (round_id) FROM {{segments}} s JOIN ({PAIRS}) p ON s.round_id = p.round_id AND p.frame_id BETWEEN s.start_frame AND s.end_frame WHERE s.label = 'split'"
+
+
+@query("annotation_pair_read_back", f"""WITH p AS ({_SPLIT_PAIRS}), k AS (SELECT round_id, seg_id, CAST(count(*) AS INTEGER) AS n_keyframes, min(struct_pack(f := frame_id, a := a_det_id, b := b_det_id)) AS fi, max(struct_pack(f := frame_id, a := a_det_id, b := b_det_id)) AS la FROM p GROUP BY ALL HAVING count(*) >= 2),
+    d AS (SELECT round_id, det_id, rank, suit FROM {{dets720}})
+    SELECT s.round_id, s.seg_id, s.start_frame, s.end_frame, n_keyframes, d0.rank AS pair_rank, fi.f AS start_det_frame, la.f AS end_det_frame, fi.a AS s0_det_id, d0.suit AS s0_suit, fi.b AS s1_det_id, d1.suit AS s1_suit, la.a AS e0_det_id, d2.suit AS e0_suit, la.b AS e1_det_id, d3.suit AS e1_suit
+    FROM k JOIN {{segments}} s ON s.round_id = k.round_id AND s.seg_id = k.seg_id JOIN d d0 ON d0.round_id = k.round_id AND d0.det_id = fi.a JOIN d d1 ON d1.round_id = k.round_id AND d1.det_id = fi.b JOIN d d2 ON d2.round_id = k.round_id AND d2.det_id = la.a JOIN d d3 ON d3.round_id = k.round_id AND d3.det_id = la.b""")
+def _(t):
+    """Records whose keyframes hold both cards of a pair, written and read back."""
+    segs = t.segments.where("label = 'split'").select("round_id", "seg_id", "start_frame", "end_frame")
+    pairs = point_in_interval_join(pair_self_join(t.dets720), segs, ["round_id"], "frame_id")
+    return a.flatten_pair_records(a.build_pair_records(segs, pairs))
+
+
+_FILE_LINES = {
+    "box": ("SELECT round_id, box_id, class_id, bx, by_, bw, bh FROM (" + _NORMED + ")", ["bx", "by_", "bw", "bh"]),
+    "obb": ("SELECT round_id, seat_id AS class_id, " + ", ".join(f"c{k}{x} / CAST({1279 if x == 'x' else 719} AS DOUBLE) AS c{k}{x}" for k in range(4) for x in "xy") + " FROM {seat_obbs}", [f"c{k}{x}" for k in range(4) for x in "xy"]),
+    "keypoints": ("SELECT round_id, box_id, class_id, bx, by_, bw, bh, " + ", ".join(f"bx + bw * {k} / CAST(16 AS DOUBLE) AS x{k}, by_ AS y{k}, CAST({2 * (k % 2)} AS DOUBLE) AS v{k}" for k in range(7)) + " FROM (" + _NORMED + ")", ["bx", "by_", "bw", "bh", *[f"{x}{k}" for k in range(7) for x in "xyv"]]),
+}
+_FILE_SQL = " UNION ALL ".join(f"SELECT '{kind}' AS kind, class_id, [{', '.join(f'CAST(printf({chr(39)}%.6f{chr(39)}, {v}) AS DOUBLE)' for v in values)}] AS numbers FROM ({sql})" for kind, (sql, values) in _FILE_LINES.items())
+
+
+@query("read_label_files", f"SELECT kind, CAST(class_id AS INTEGER) AS class_id, numbers FROM ({_FILE_SQL})")
+def _(t):
+    """Label files of lines of 5, 9 and 26 tokens, written as text and read back."""
+    out = None
+    for kind, (sql, values) in _FILE_LINES.items():
+        path = f"{scratch_dir(t.spark)}/labels-{kind}-{uuid.uuid4().hex}"
+        a.format_labels(t.sql(sql), values).select("line").write.text(path)
+        rows = a.read_labels(t.spark, path, kind).select(F.lit(kind).alias("kind"), "class_id", "numbers")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("upload_payload_rows", """SELECT CAST(s.round_id AS STRING) AS video, s.seg_id, s.score, c.c_custkey AS task_id, CASE WHEN c.c_custkey IS NULL THEN NULL ELSE
       concat('{"task":', c.c_custkey, ',"label":"', s.label, '","start":', s.start_frame, ',"end":', s.end_frame, '}') END AS payload, CASE WHEN c.c_custkey IS NULL THEN 'unmapped' ELSE 'ready' END AS status
-    FROM {segments} s LEFT JOIN (SELECT c_custkey FROM {customer} WHERE c_custkey % 3 <> 0) c ON c.c_custkey = s.round_id WHERE s.score > 0.1""")
+    FROM {segments} s LEFT JOIN (SELECT c_custkey FROM {customer} WHERE c_acctbal > 500) c ON c.c_custkey = s.round_id WHERE s.score > 0.1""")
 def _(t):
-    tasks = t.customer.where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("video"), F.col("c_custkey").alias("task_id"))
+    tasks = t.customer.where("c_acctbal > 500").select(F.col("c_custkey").cast("string").alias("video"), F.col("c_custkey").alias("task_id"))
     dets = t.segments.withColumn("video", F.col("round_id").cast("string"))
     return a.build_upload_payload(dets, tasks, 0.1).select("video", "seg_id", "score", "task_id", "payload", "status")
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roundhouse.functions import geometry as g
 from roundhouse.operators import joins as j
 from roundhouse.operators import scalar as s
 from roundhouse.operators import sequences as q
+from roundhouse.operators.pipelines import split_candidates
 from roundhouse.plans.aggregates import SEAT_VOTE
 from roundhouse.plans.joins import PAIRS, SEAT_OF_POINT, SLICES
 from roundhouse.plans.registry import query
@@ -48,26 +48,17 @@ def _(t):
     return q.rolling_median_spread(j.pair_self_join(t.dets720), ["round_id", "rank_norm"], ["frame_id", "a_det_id", "b_det_id"], "distance")
 
 
-def split_candidates(t):
-    """The first pairs per (rank, 50 px of x) and segment, numbered; pair_no counts them in order of frame, overlap, distance."""
-    from roundhouse.operators.picks import first_per_cluster
-
-    segs = t.segments.where("label = 'split' and end_frame - start_frame + 1 >= 25").select("round_id", "seg_id", "start_frame", "end_frame")
-    pairs = j.pair_self_join(t.dets720.where(s.in_zone("split")))
-    rows = segs.join(pairs, "round_id").where(F.col("frame_id").between(F.col("start_frame"), F.col("end_frame")))
-    return first_per_cluster(rows, ["round_id", "seg_id"], 50)
-
-
-def tracked_pairs(t):
-    c = split_candidates(t).where("pair_no <= 10")
-    c = c.select("round_id", "seg_id", "pair_no", F.col("rank_norm").alias("pair_rank"), F.col("frame_id").alias("start_frame"), F.col("end_frame").alias("last_frame"), *[F.col(f"{p}_{n}").alias(f"s_{p}{m}") for p in "ab" for n, m in (("cx", "x"), ("cy", "y"), ("suit", "suit"))])
-    return q.track_pair(c, t.dets720.where(s.in_zone("split")))
+def tracked_pairs(t, dets):
+    """The candidate pairs of long enough splits, followed in the zone."""
+    segs = t.segments.where("label = 'split' and end_frame - start_frame + 1 >= 25")
+    zone = dets.where(s.in_zone("split"))
+    return q.track_pair(split_candidates(segs, zone).drop("start_a", "start_b"), zone)
 
 
 @query("track_pair")
 def _(t):
     """No SQL twin: the state follows the matches. Compared with a plain loop in the tests."""
-    return tracked_pairs(t)
+    return tracked_pairs(t, t.dets720)
 
 
 @query("track_items")
@@ -90,10 +81,10 @@ def _(t):
     return q.seat_ordinal(t.tracks, seat_vote(t.tracks, t.seat_obbs), t.seat_obbs)
 
 
-#: The cards of a seat in one frame: here the items of every third frame by place, as if dealt in that order.
+#: The cards of a seat in one frame, in an order of dealing that follows det_id.
 CARDS = """SELECT round_id * 1000 + frame_id AS round_id, seat_id, CAST(row_number() OVER (PARTITION BY round_id, frame_id, seat_id ORDER BY det_id) AS INT) AS ordinal, rank, cx, cy, det_id % 7 <> 0 AS alive
-    FROM (SELECT round_id, frame_id, det_id, cx, cy, rank, CAST(det_id % 3 AS INT) AS seat_id FROM {dets720} WHERE frame_id % 30 = 0) d"""
-CARD_OBBS = "SELECT DISTINCT d.round_id * 1000 + d.frame_id AS round_id, o.seat_id - 3 AS seat_id, c0x - 200 AS c0x, c0y - 100 AS c0y, c1x + 300 AS c1x, c1y - 100 AS c1y, c2x + 300 AS c2x, c2y + 200 AS c2y, c3x - 200 AS c3x, c3y + 200 AS c3y FROM {dets720} d JOIN {seat_obbs} o ON d.round_id = o.round_id WHERE d.frame_id % 30 = 0 AND o.seat_id BETWEEN 3 AND 5"
+    FROM (SELECT round_id, frame_id, det_id, cx, cy, rank, CAST(det_id % 3 AS INT) AS seat_id FROM {dets720}) d"""
+CARD_OBBS = "SELECT DISTINCT d.round_id * 1000 + d.frame_id AS round_id, o.seat_id - 3 AS seat_id, c0x - 200 AS c0x, c0y - 100 AS c0y, c1x + 300 AS c1x, c1y - 100 AS c1y, c2x + 300 AS c2x, c2y + 200 AS c2y, c3x - 200 AS c3x, c3y + 200 AS c3y FROM {dets720} d JOIN {seat_obbs} o ON d.round_id = o.round_id WHERE o.seat_id BETWEEN 3 AND 5"
 
 
 @query("first_sign_reversal", f"""WITH c AS (SELECT c.*, CASE WHEN {LEN1} >= {LEN3} THEN {ALONG} / sqrt({LEN1}) ELSE {ACROSS} / sqrt({LEN3}) END AS l, CASE WHEN {LEN1} >= {LEN3} THEN {ACROSS} / sqrt({LEN3}) ELSE {ALONG} / sqrt({LEN1}) END AS s, count(*) OVER (PARTITION BY c.round_id, c.seat_id) AS n
@@ -134,17 +125,10 @@ def _(t):
     return q.split_seats(t.sql(CARDS), t.sql(CARD_OBBS))
 
 
-def every_card(t):
-    """The columns of CARDS without its choice of frames: the items of every frame."""
-    seat = (F.col("det_id") % 3).cast("int")
-    order = Window.partitionBy("round_id", "frame_id", seat).orderBy("det_id")
-    return t.dets720.select((F.col("round_id") * 1000 + F.col("frame_id")).alias("round_id"), seat.alias("seat_id"), F.row_number().over(order).alias("ordinal"), "rank", "cx", "cy", (F.col("det_id") % 7 != 0).alias("alive"))
-
-
 @query("two_means_piles")
 def _(t):
     """No SQL twin: an iteration. Compared with a plain loop in the tests."""
-    return q.two_means(every_card(t))
+    return q.two_means(t.sql(CARDS))
 
 
 SEQ_SEGS = "SELECT round_id, seg_id, start_frame, end_frame, CASE WHEN label IN ('hit', 'split', 'tap') THEN label ELSE 'background' END AS label, ROW_NUMBER() OVER (PARTITION BY round_id ORDER BY start_frame, seg_id) AS seq FROM {segments}"
@@ -205,9 +189,13 @@ def _(t):
     return q.window_labels(q.sliding_windows(t.sql(LENGTHS), 40, 10), t.segments, "hit", 40, 0.3)
 
 
-@query("boundary_jitter_augment")
+MOVE = "CAST({c} + FLOOR((CAST('0x' || substr(md5(concat_ws('|', 42, seg_id, copy)), {at}, 8) AS BIGINT) % 2000001 / CAST(1000000 AS DOUBLE) - 1) * CAST(0.15 AS DOUBLE) * (end_frame - start_frame + 1) + 0.5) AS INTEGER)"
+JITTER = f"""SELECT round_id, seg_id, copy, s AS start_frame, e AS end_frame, label FROM (SELECT *, greatest(0, CASE WHEN copy = 0 THEN start_frame ELSE {MOVE.format(c='start_frame', at=1)} END) AS s, least(668, CASE WHEN copy = 0 THEN end_frame ELSE {MOVE.format(c='end_frame', at=9)} END) AS e
+    FROM (SELECT *, CAST(unnest(range(4)) AS INTEGER) AS copy FROM {{segments}})) WHERE s <= e"""
+
+
+@query("boundary_jitter_augment", JITTER)
 def _(t):
-    """No SQL twin: ends move by hashes of Spark's own kind. Properties are tested."""
     return q.jitter(t.segments, last=F.lit(668)).select("round_id", "seg_id", "copy", "start_frame", "end_frame", "label")
 
 

@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from roundhouse.operators.sequences import dedup_spatial
 from roundhouse.plans.registry import query
 from roundhouse.storage import scratch_dir
-from roundhouse.streaming import incremental
+from roundhouse.streaming import incremental, tracker
 
 
 @query("incremental_rounds", "SELECT round_id, label, count(*) AS n FROM {segments} GROUP BY ALL")
@@ -17,7 +18,21 @@ def _(t):
     base = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
     segs = t.segments
     for lot in (0, 1):
-        segs.where(F.col("seg_id") % 2 == lot).write.mode("append").parquet(f"{base}/in")
+        segs.where((F.col("start_frame") >= 300) == bool(lot)).write.mode("append").parquet(f"{base}/in")
         incremental.process_new(t.spark, f"{base}/in", segs.schema, f"{base}/out", f"{base}/checkpoint", incremental.count_labels)
     incremental.process_new(t.spark, f"{base}/in", segs.schema, f"{base}/out", f"{base}/checkpoint", incremental.count_labels)
     return incremental.processed(t.spark, f"{base}/out").groupBy("round_id", "label").agg(F.sum("n").alias("n"))
+
+
+@query("stream_tracker")
+def _(t):
+    """Detections arrive in three lots of frames and an end row per round; the rows are the closed tracks. Its batch twin is track_items."""
+    base = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf")
+    ends = rows.select("round_id").distinct().select("round_id", *[F.lit(None).cast(x.dataType).alias(x.name) for x in rows.schema if x.name != "round_id"])
+    for lot in (rows.where("frame_id < 200"), rows.where("frame_id between 200 and 399"), rows.where("frame_id >= 400"), ends):
+        lot.write.mode("append").parquet(f"{base}/in")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        closed = tracker.track_stream(stream, least_obs=5)
+        closed.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{base}/out").select("round_id", "first_frame", "last_frame", F.col("n_obs").cast("long").alias("n_obs"))

@@ -78,11 +78,40 @@ def flatten_annotation_records(records: DataFrame) -> DataFrame:
     return rows.select("round_id", F.col("s.id").alias("seg_id"), "s.start_frame", "s.end_frame", F.element_at("s.labels", 1).alias("label"), "s.duration_frames", F.size("s.bounding_boxes").alias("n_boxes"), first["frame"].alias("frame"), first["id"].alias("box_id"), *[first[x].alias(x) for x in ("x1", "y1", "x2", "y2")])
 
 
+def build_pair_records(segs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One nested record per video (round_id) of the segments (round_id, seg_id, start_frame, end_frame): one box, with a keyframe per pair of cards.
+
+    pairs: round_id, seg_id, frame_id and a_, b_ det_id, rank, suit, cx, cy.
+    """
+    card = lambda p: F.struct(*[F.col(f"{p}_{n}").alias(n) for n in ("det_id", "rank", "suit", "cx", "cy")])
+    key = F.struct(F.col("frame_id").alias("frame"), F.array(card("a"), card("b")).alias("cards"))
+    own = pairs.groupBy("round_id", "seg_id").agg(F.array_sort(F.collect_list(key)).alias("keyframes"))
+    rows = segs.join(own, ["round_id", "seg_id"], "left")
+    boxes = F.when(F.col("keyframes").isNotNull(), F.array(F.struct("keyframes")))
+    item = F.struct("start_frame", F.col("seg_id").alias("id"), "end_frame", boxes.alias("bounding_boxes"))
+    return rows.groupBy("round_id").agg(F.array_sort(F.collect_list(item)).alias("timeline_segments"))
+
+
+def flatten_pair_records(records: DataFrame) -> DataFrame:
+    """Segments whose first box has two keyframes or more: both cards at the first and at the last of them."""
+    rows = records.select("round_id", F.explode("timeline_segments").alias("s")).where(F.size("s.bounding_boxes") > 0)
+    rows = rows.withColumn("k", F.element_at("s.bounding_boxes", 1)["keyframes"]).where(F.size("k") >= 2)
+    first, last = F.element_at("k", 1), F.element_at("k", -1)
+    cards = [F.get(x["cards"], F.lit(i))[n].alias(f"{side}{i}_{n}") for side, x in (("s", first), ("e", last)) for i in (0, 1) for n in ("det_id", "suit")]
+    return rows.select("round_id", F.col("s.id").alias("seg_id"), "s.start_frame", "s.end_frame", F.size("k").alias("n_keyframes"), F.get(first["cards"], F.lit(0))["rank"].alias("pair_rank"), first["frame"].alias("start_det_frame"), last["frame"].alias("end_det_frame"), *cards)
+
+
 def skip_done(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose output doesn't exist yet."""
     return df.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def count_done(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: n_skipped, the rows of df that skip_done leaves out, and n_left."""
+    rows = df.select(*keys).join(done.select(*keys).distinct().withColumn("__done", F.lit(True)), keys, "left")
+    return rows.agg(F.count_if("__done").alias("n_skipped"), F.count_if(F.col("__done").isNull()).alias("n_left"))
+
+
 def build_upload_payload(dets: DataFrame, tasks: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Rows above the threshold with their task's id and a JSON payload; rows without a task have status 'unmapped'."""
     rows = dets.where(F.col("score") > threshold).join(tasks, "video", "left")

@@ -140,15 +140,13 @@ def test_hard_negatives_in_runs(spark, monkeypatch):
     rnd = np.random.default_rng(5)
     v = {i * i: rnd.normal(size=3) for i in range(40)}
     df = spark.createDataFrame([(i, 1 if i % 2 else 2, x.tolist()) for i, x in v.items()], "id long, label_id int, vec array<double>").repartition(3)
-    kept = []
-    real = datasets.stored if hasattr(datasets, "stored") else None
-    monkeypatch.setattr(datasets, "stored", lambda d, name: kept.append(real(d, name)) or kept[-1], raising=False)
-    monkeypatch.setattr(datasets, "RUN_ROWS", 4, raising=False)
-    ids = sorted(i for i in v if i % 2)
     cos = lambda x, y: float(np.floor(x @ y / np.sqrt((x @ x) * (y @ y)) * 10000 + 0.5) / 10000)
-    found = {r["q_id"]: r["pos"] for r in datasets.mine_hard_negatives(df, 1).collect()}
-    assert found == {i: cos(v[i], v[n]) if n is not None else None for i, n in zip(ids, [*ids[1:], None], strict=True)}
-    assert len(kept) == 1 and kept[0].select("run").distinct().count() > 1
+    found = {r["q_id"]: r for r in datasets.mine_hard_negatives(df, 1).collect()}
+    assert set(found) == {i for i in v if i % 2} == {r["pos_id"] for r in found.values()}  # a ring: each is the positive of one
+    for i, r in found.items():
+        assert r["pos_id"] != i and r["pos"] == cos(v[i], v[r["pos_id"]])
+        assert r["neg"] == max(cos(v[i], v[k]) for k in v if k % 2 == 0)
+    assert [r["pos"] for r in datasets.mine_hard_negatives(df.where("id in (0, 1, 4)"), 1).collect()] == [None]
 
 
 def test_top1_blocks_equal_broadcast(spark):
@@ -200,8 +198,8 @@ def test_follow_pair():
 
 def test_two_piles():
     p = np.array([[0.0, 0], [1, 0], [10, 0], [11, 0], [12, 1]])
-    assert sequences.two_piles(p).tolist() == [1, 1, 2, 2, 2]
-    assert sequences.two_piles(p[:1]).tolist() == [1]
+    assert sequences.two_piles(p, np.array([0])).tolist() == [1, 1, 2, 2, 2]
+    assert sequences.two_piles(np.concatenate([p, p[:1], p[::-1]]), np.array([0, 5, 6])).tolist() == [1, 1, 2, 2, 2, 1, 2, 2, 2, 1, 1]
 
 
 def test_tap_needs_dips_on_both_sides(spark):
@@ -255,7 +253,9 @@ def test_balanced(spark):
     u = picks.balanced_union(df.where("label = 'hit'"), df.where("label = 'x'"), ["id"])
     assert {r["source"]: r["count"] for r in u.groupBy("source").count().collect()} == {"human": 30, "auto": 30}
     b = picks.balanced_batches(df, ["id"], F.col("label") == "hit", 8, 0.25)
-    assert b.where("is_focus").groupBy("part", "batch").count().agg(F.max("count")).first()[0] <= 2
+    assert [tuple(r) for r in b.groupBy("batch").agg(F.count_if("is_focus").alias("f"), F.count_distinct("id").alias("n")).orderBy("batch").collect()] == [(k, 2, 8) for k in range(30)]
+    few = picks.balanced_batches(df.where("id < 30"), ["id"], F.col("id") == 0, 8, 0.25)  # one focus item has to fill two slots
+    assert few.where("is_focus").count() == 8 and few.where("not is_focus").count() == 24
 
 
 def test_jitter_stays_inside(spark):
