@@ -281,20 +281,21 @@ def fingerprint(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) for every id in links (a, b): comp is the least id connected to it. Alternates large-star and small-star.
 
-    No step makes more edges than it gets, but for one per node; each node's least neighbour is written before it is joined, so a hub's edges can be split.
+    There are at most two nodes per link, which bounds the least neighbours of all nodes: few are broadcast, many are written before they are joined, so that a hub's edges can be split.
     """
     most = 2 * links.count()
+    looked_up = F.broadcast if most <= SMALL else lambda df: stored(df, "near-least")
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "near-edges", most)
     seen = fingerprint(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "near-least", most)
-        large = stored(both.join(few(least, SMALL), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "near-large", most)
+        least = looked_up(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # each node keeps its smaller neighbours: all of them and itself now point at the least
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "near-low", most)
-        small = large.join(few(low, SMALL), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(looked_up(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         old, edges = edges, stored(small, "near-edges", most)
-        forget(old, least, large, low)
+        forget(old)
         before, seen = seen, fingerprint(edges)
         if seen == before:
             break

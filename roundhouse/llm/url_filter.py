@@ -40,10 +40,16 @@ def path_parts(pattern: Column) -> Column:
     return F.size(F.filter(F.split(pattern, "/"), lambda x: x != "")) - 1
 
 
-def patterns_of(host: Column, path: Column, deepest: int) -> Column:
-    """All patterns that can match: every suffix of the host at a dot, alone and with up to `deepest` leading path parts."""
+def host_labels(pattern: Column) -> Column:
+    """Labels of a pattern's domain."""
+    return F.size(F.split(F.substring_index(pattern, "/", 1), r"\."))
+
+
+def patterns_of(host: Column, path: Column, deepest: int, fewest: int = 1) -> Column:
+    """All patterns that can match: every suffix of the host at a dot with `fewest` labels or more, alone and with up to `deepest` leading path parts."""
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    starts = F.when(F.size(labels) >= fewest, F.sequence(F.lit(1), F.greatest(F.size(labels) - fewest + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    suffixes = F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
     count = F.least(F.size(parts), F.lit(deepest))
     heads = F.transform(F.sequence(F.lit(0), count), lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, F.greatest(k, F.lit(1))), "/"))))
@@ -54,16 +60,16 @@ def filtered(captures: DataFrame, entries: DataFrame, small: int = 200_000) -> D
     """page_id, fetch_day, host, blocked, list, pattern of every capture (page_id, url, fetch_day).
 
     Few active intervals (`small`) are broadcast; more are joined by a shuffle on the pattern, where skewed hosts are split by adaptive execution. A capture offers as many path parts as the
-    deepest active pattern has. Captures that share host, path and day are judged once.
+    deepest active pattern has, and no domain of fewer labels than any pattern's, so that not every capture meets at its top-level domain. Captures that share host, path and day are judged once.
     """
     active = intervals(entries)
-    size = active.agg(F.count("*").alias("n"), F.greatest(F.max(path_parts(F.col("pattern"))), F.lit(0)).alias("deepest")).first()
+    size = active.agg(F.count("*").alias("n"), F.greatest(F.max(path_parts(F.col("pattern"))), F.lit(0)).alias("deepest"), F.coalesce(F.min(host_labels(F.col("pattern"))), F.lit(1)).alias("fewest")).first()
     if size["n"] <= small:
         active = F.broadcast(active)
     place = ["__host", "__path", "fetch_day"]
     pages = captures.withColumns({"__host": host_of(F.col("url")), "__path": path_of(F.col("url"))}).select("page_id", *place)
     keys = pages.where("__host <> '' and fetch_day is not null").select(*place).distinct()
-    keys = keys.withColumn("pattern", F.explode(patterns_of(F.col("__host"), F.col("__path"), size["deepest"])))
+    keys = keys.withColumn("pattern", F.explode(patterns_of(F.col("__host"), F.col("__path"), size["deepest"], size["fewest"])))
     hits = keys.join(active, "pattern").where("valid_from <= fetch_day and (valid_to is null or fetch_day < valid_to)")
     best = hits.groupBy(*place).agg(F.min(F.struct((-F.length("pattern")).alias("size"), "list", "pattern")).alias("best"))
     out = pages.join(best, place, "left").withColumn("host", F.coalesce("__host", F.lit("")))

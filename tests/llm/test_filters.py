@@ -228,10 +228,11 @@ def test_url_filter(spark, small):
 def test_deep_url_patterns(spark, small):
     rows = [("bad", "x.org/a/b/c/d", DAY(2024, 1, 1), "add"), ("ads", "x.org/a", DAY(2024, 1, 1), "add"), ("old", "x.org/a/b/c/d/e", DAY(2024, 1, 1), "remove")]
     listed = spark.createDataFrame(rows, "list string, pattern string, day date, action string")
-    pages = [(1, "http://x.org/a/b/c/d/e/f?q=1"), (2, "http://w.x.org/a//b/c/d"), (3, "http://x.org/a/b/c/dd"), (4, "http://x.org/b/a/b/c/d")]
+    long = "http://x.org/a/b/c/d/" + "e/" * 20_000 + "?" + "q" * 100_000
+    pages = [(5, long), (6, "http://" + "s." * 300 + "x.org/a"), (7, "http://org/a"), (1, "http://x.org/a/b/c/d/e/f?q=1"), (2, "http://w.x.org/a//b/c/d"), (3, "http://x.org/a/b/c/dd"), (4, "http://x.org/b/a/b/c/d")]
     df = spark.createDataFrame([(*p, DAY(2024, 2, 1)) for p in pages], "page_id long, url string, fetch_day date")
     out = url_filter.filtered(df, listed, small).collect()
-    assert sorted((r["page_id"], r["pattern"] or "") for r in out) == [(1, "x.org/a/b/c/d"), (2, "x.org/a/b/c/d"), (3, "x.org/a"), (4, "")]
+    assert sorted((r["page_id"], r["pattern"] or "") for r in out) == [(1, "x.org/a/b/c/d"), (2, "x.org/a/b/c/d"), (3, "x.org/a"), (4, ""), (5, "x.org/a/b/c/d"), (6, "x.org/a"), (7, "")]
 
 
 def test_slices_keep_every_row_in_order():
