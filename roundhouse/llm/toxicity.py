@@ -1,14 +1,14 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five small transducers read the classes of a clause's words and add weights: insults, threats (stronger before
-a target), targets (second or third person near an insult), negations (which weaken the next insult) and
-reported speech (which weakens what follows). They are composed into one automaton, and a clause scores what
-the composed automaton has added when an insult or a threat was matched. A document's score is a calibrated
-function of its clauses' scores.
+Five small transducers read the classes of a clause's words and emit events: insults, threats (and those at a
+target), targets (second or third person near an insult), negations (before an insult) and reported speech
+(before an insult or threat). They are composed into one automaton; a clause that an insult or a threat was
+matched in scores the weights of its events. A document's score is a calibrated function of its clauses' scores.
 
-Insults are learned: from a bounded sample of labelled rows, words and word stems (first four to six letters)
-that stand in toxic texts far more often than in others, by a likelihood-ratio test that allows for the number
-of candidates. Near copies in the sample share one vote. The other classes are short fixed lists.
+Learned from a bounded sample of labelled rows are the insults, the events' weights and the calibration. Insults are
+words and word stems (first four to six letters) that stand in toxic texts far more often than in others, by a
+likelihood-ratio test that allows for the number of candidates. The weights start at PRIOR, are held near it by a
+ridge and keep its signs. Near copies in the sample share one vote. The classes of the other words are short fixed lists.
 
 Null and empty texts have no clause and the base score. Without labelled toxic rows nothing is an insult.
 Repeated rows get equal scores; extra columns are passed over; an empty table gives an empty result.
@@ -43,21 +43,29 @@ WORDS = {
 }
 
 
+#: What transducers emit, and the weights that learning starts from: positive ones stay so, negative ones too.
+EVENTS = ("insult", "further insult", "threat", "threat at a target", "insult at a target", "negated insult", "reported insult", "reported threat")
+PRIOR = np.array([1.0, 0.6, 0.2, 0.8, 0.3, -0.5, -0.3, -0.1])
+FIRST, FURTHER, THREATENS, AT_TARGET, NEAR_TARGET, NEGATED, REPORTED, REPORTED_THREAT = range(len(EVENTS))
+#: Score of a matched clause, at least.
+LEAST = 0.05
+
+
 @dataclass(frozen=True)
 class Transducer:
-    """(state, class) -> (next state, weight); a missing arc stays in its state for nothing. final: states that accept."""
+    """(state, class) -> (next state, event or None); a missing arc stays in its state and emits nothing. final: states that accept."""
 
-    arcs: dict[tuple[int, int], tuple[int, float]]
+    arcs: dict[tuple[int, int], tuple[int, int | None]]
     final: frozenset[int] = frozenset()
 
 
 def _grammar() -> list[Transducer]:
-    insults = Transducer({(0, INSULT): (1, 1.0), (1, INSULT): (1, 0.6)}, frozenset({1}))
-    threats = Transducer({(0, THREAT): (1, 0.2), (1, TARGET): (2, 0.8)}, frozenset({2}))
-    targets = Transducer({(0, TARGET): (1, 0.0), (1, INSULT): (2, 0.3), (0, INSULT): (3, 0.0), (3, TARGET): (2, 0.3)})
-    near = {(k, c): (k - 1, 0.0) for k in (1, 2, 3) for c in (OTHER, TARGET, THREAT, REPORT)}
-    negations = Transducer(near | {(k, NEGATION): (3, 0.0) for k in range(4)} | {(k, INSULT): (0, -0.5) for k in (1, 2, 3)})
-    reports = Transducer({(0, REPORT): (1, 0.0), (1, INSULT): (1, -0.3), (1, THREAT): (1, -0.1)})
+    insults = Transducer({(0, INSULT): (1, FIRST), (1, INSULT): (1, FURTHER)}, frozenset({1}))
+    threats = Transducer({(0, THREAT): (1, THREATENS), (1, TARGET): (2, AT_TARGET)}, frozenset({2}))
+    targets = Transducer({(0, TARGET): (1, None), (1, INSULT): (2, NEAR_TARGET), (0, INSULT): (3, None), (3, TARGET): (2, NEAR_TARGET)})
+    near = {(k, c): (k - 1, None) for k in (1, 2, 3) for c in (OTHER, TARGET, THREAT, REPORT)}
+    negations = Transducer(near | {(k, NEGATION): (3, None) for k in range(4)} | {(k, INSULT): (0, NEGATED) for k in (1, 2, 3)})
+    reports = Transducer({(0, REPORT): (1, None), (1, INSULT): (1, REPORTED), (1, THREAT): (1, REPORTED_THREAT)})
     return [insults, threats, targets, negations, reports]
 
 
@@ -68,16 +76,18 @@ class Composed:
     parts: list[Transducer]
     arcs: dict = field(default_factory=dict)
 
-    def score(self, classes: list[int]) -> float:
-        state, total = (0,) * len(self.parts), 0.0
+    def events(self, classes: list[int]) -> list[int] | None:
+        """How often each of EVENTS was emitted; None if no part accepts."""
+        state, counts = (0,) * len(self.parts), [0] * len(EVENTS)
         for c in classes:
             arc = self.arcs.get((state, c))
             if arc is None:
-                steps = [p.arcs.get((s, c), (s, 0.0)) for p, s in zip(self.parts, state, strict=True)]
-                arc = self.arcs[state, c] = tuple(s for s, _ in steps), sum(w for _, w in steps)
-            state, total = arc[0], total + arc[1]
-        accepted = any(s in p.final for p, s in zip(self.parts, state, strict=True))
-        return max(total, 0.05) if accepted else 0.0
+                steps = [p.arcs.get((s, c), (s, None)) for p, s in zip(self.parts, state, strict=True)]
+                arc = self.arcs[state, c] = tuple(s for s, _ in steps), [e for _, e in steps if e is not None]
+            state = arc[0]
+            for e in arc[1]:
+                counts[e] += 1
+        return counts if any(s in p.final for p, s in zip(self.parts, state, strict=True)) else None
 
 
 @cache
@@ -126,34 +136,50 @@ def pieces(grid: WordGrid) -> list[np.ndarray]:
     return out
 
 
-def clause_scores(texts: list[str], lexicon: Lookup) -> list[list[float]]:
-    """The scores of the matched clauses of each text."""
+def clause_events(texts: list[str], lexicon: Lookup) -> tuple[np.ndarray, np.ndarray]:
+    """(text, counts of EVENTS) of each matched clause of some texts."""
     grid = WordGrid(texts)
-    out: list[list[float]] = [[] for _ in texts]
     classes = np.zeros(len(grid.starts), np.int64)
     fixed, kinds = fixed_classes()
     at = fixed.places(grid.hashes)
     classes[at >= 0] = kinds[at[at >= 0]]
     for own in pieces(grid):
         classes[lexicon.places(own) >= 0] = INSULT
+    docs, counts = [], []
     hits = np.flatnonzero((classes == INSULT) | (classes == THREAT))
-    if not len(hits):
-        return out
-    ends = np.flatnonzero(np.isin(grid.points, [ord(x) for x in CLAUSE_ENDS]))
-    clause = np.searchsorted(ends, grid.starts)
-    first = np.searchsorted(clause, np.unique(clause[hits]), side="left")
-    last = np.searchsorted(clause, clause[first], side="right")
-    automaton = grammar()
-    for a, b in zip(first.tolist(), last.tolist(), strict=True):
-        if (s := automaton.score(classes[a:b].tolist())) > 0:
-            out[grid.doc[a]].append(s)
+    if len(hits):
+        ends = np.flatnonzero(np.isin(grid.points, [ord(x) for x in CLAUSE_ENDS]))
+        clause = np.searchsorted(ends, grid.starts)
+        first = np.searchsorted(clause, np.unique(clause[hits]), side="left")
+        last = np.searchsorted(clause, clause[first], side="right")
+        automaton = grammar()
+        for a, b in zip(first.tolist(), last.tolist(), strict=True):
+            if (found := automaton.events(classes[a:b].tolist())) is not None:
+                docs.append(int(grid.doc[a]))
+                counts.append(found)
+    return np.array(docs, np.int64), np.array(counts, np.int64).reshape(-1, len(EVENTS))
+
+
+def clause_scores(counts: np.ndarray, weights: np.ndarray = PRIOR) -> np.ndarray:
+    return np.maximum(counts @ weights, LEAST)
+
+
+def document_events(texts: list[str], lexicon: Lookup) -> np.ndarray:
+    """Sums over the matched clauses of each text: EVENTS and the clauses."""
+    out = np.zeros((len(texts), len(EVENTS) + 1))
+    for a, b in spans(texts):
+        doc, counts = clause_events(texts[a:b], lexicon)
+        np.add.at(out, a + doc, np.concatenate([counts, np.ones((len(doc), 1))], 1))
     return out
 
 
-def raw_scores(texts: list[str], lexicon: Lookup) -> np.ndarray:
+def raw_scores(texts: list[str], lexicon: Lookup, weights: np.ndarray = PRIOR) -> np.ndarray:
     """log(1 + sum of clause scores) of each text."""
-    found = [x for a, b in spans(texts) for x in clause_scores(texts[a:b], lexicon)]
-    return np.log1p(np.array([sum(x) for x in found], np.float64))
+    out = np.zeros(len(texts))
+    for a, b in spans(texts):
+        doc, counts = clause_events(texts[a:b], lexicon)
+        out[a:b] = np.bincount(doc, weights=clause_scores(counts, weights), minlength=b - a)
+    return np.log1p(out)
 
 
 def sample_of(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
@@ -223,11 +249,12 @@ def piece_votes(rows: DataFrame, only: np.ndarray | None = None) -> DataFrame:
 @dataclass
 class Model:
     lexicon: np.ndarray
+    weights: np.ndarray
     slope: float
     base: float
 
     def score(self, texts: list[str], lexicon: Lookup) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.base + self.slope * raw_scores(texts, lexicon))))
+        return 1 / (1 + np.exp(-(self.base + self.slope * raw_scores(texts, lexicon, self.weights))))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -241,6 +268,35 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
     return float(b[0]), float(b[1])
 
 
+def learn_weights(events: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, ridge: float = 20.0) -> tuple[np.ndarray, float, float]:
+    """Weights of EVENTS, slope and base: gradient steps on the weights, each with a new calibration, while the penalised likelihood rises.
+
+    events: rows of document_events(). An event that the sample doesn't show keeps its prior weight.
+    """
+
+    def fitted(w: np.ndarray):
+        total = np.maximum(events[:, :-1] @ w, LEAST * events[:, -1])
+        slope, base = logistic(np.log1p(total), y, weight)
+        slope = max(slope, 0.0)
+        p = 1 / (1 + np.exp(-np.clip(base + slope * np.log1p(total), -30, 30)))
+        fit = (weight * np.log(np.where(y == 1, p, 1 - p) + 1e-12)).sum() - ridge * ((w - PRIOR) ** 2).sum()
+        pull = events[:, :-1].T @ (weight * (y - p) * slope / (1 + total)) - 2 * ridge * (w - PRIOR)
+        return fit, slope, base, pull
+
+    best, step = PRIOR.copy(), 0.2
+    now = fitted(best)
+    for _ in range(rounds):
+        way = now[3] / max(np.abs(now[3]).max(), 1e-9)
+        new = best + step * way
+        new = np.where(PRIOR > 0, np.maximum(new, 0), np.minimum(new, 0))
+        then = fitted(new)
+        if then[0] > now[0]:
+            best, now = new, then
+        else:
+            step /= 2
+    return best, now[1], now[2]
+
+
 def fit(docs: DataFrame, labels: DataFrame, candidates: int = CANDIDATES, entries: int = LEXICON) -> Model:
     """docs: doc_id, text. labels: doc_id, label, from labelled(). What reaches the driver is bounded by the sample, `candidates` and `entries`.
 
@@ -249,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, candidates: int = CANDIDATES, entrie
     sample, share = sample_of(docs, labels)
     rows = stored(votes_of(sample), "toxicity-votes")
     totals = {r["label"]: r["v"] for r in rows.groupBy("label").agg(F.sum("vote").alias("v")).collect()}
-    none = Model(np.zeros(0, np.uint64), 0.0, -3.0)
+    none = Model(np.zeros(0, np.uint64), PRIOR, 0.0, -3.0)
     if not totals.get(1) or not totals.get(0):
         return none
     toxic = piece_votes(rows.where("label = 1")).where("votes >= 3").orderBy(F.desc("votes"), "piece").limit(candidates).collect()
@@ -270,16 +326,17 @@ def fit(docs: DataFrame, labels: DataFrame, candidates: int = CANDIDATES, entrie
     chosen = chosen[np.argsort(-gain[chosen], kind="stable")][:entries]
     lexicon = np.sort(piece[chosen])
 
-    def raw(batches):
+    def count(batches):
         own = Lookup(lexicon)
         for batch in slices(batches, 0):
-            yield pa.RecordBatch.from_arrays([pa.array(raw_scores(texts_of(batch.column(0)), own)), batch.column(1), batch.column(2)], names=["raw", "label", "vote"])
-
-    scores = rows.select("text", "label", "vote").mapInArrow(raw, "raw double, label int, vote double").collect()  # three numbers a sampled row
-    y = np.array([r["label"] for r in scores], float)
-    weight = np.array([r["vote"] / share[r["label"]] for r in scores])
-    slope, base = logistic(np.array([r["raw"] for r in scores]), y, weight / weight.sum() * len(weight))
-    return Model(lexicon, max(slope, 0.0), base)
+            events = pa.array(list(document_events(texts_of(batch.column(0)), own)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([events, batch.column(1), batch.column(2)], names=["events", "label", "vote"])
+
+    found = rows.select("text", "label", "vote").mapInArrow(count, "events array<double>, label int, vote double").collect()  # eleven numbers a sampled row
+    y = np.array([r["label"] for r in found], float)
+    weight = np.array([r["vote"] / share[r["label"]] for r in found])
+    weights, slope, base = learn_weights(np.array([r["events"] for r in found]), y, weight / weight.sum() * len(weight))
+    return Model(lexicon, weights, slope, base)
 
 
 def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

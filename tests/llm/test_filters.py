@@ -149,7 +149,7 @@ def lexicon(words):
 
 def test_grammar_scores_clauses():
     lex = toxicity.Lookup(lexicon(["idiot"]))
-    s = lambda text: sum(toxicity.clause_scores([text], lex)[0])
+    s = lambda text: sum(toxicity.clause_scores(toxicity.clause_events([text], lex)[1]))
     assert s("an idiot") == 1.0 and s("nothing here") == 0.0 and s("") == 0.0
     assert s("you are an idiot") > s("an idiot") > s("not an idiot") > 0
     assert s("it was said an idiot") < s("an idiot")
@@ -162,19 +162,32 @@ def test_composition_equals_the_machines_one_by_one():
     composed = toxicity.Composed(parts)
     for _ in range(3000):
         classes = [rnd.choice([0, 0, 1, 2, 3, 4, 5]) for _ in range(rnd.randrange(1, 14))]
-        total, accepted = 0.0, False
+        counts, accepted = [0] * len(toxicity.EVENTS), False
         for machine in parts:
             state = 0
             for c in classes:
-                state, weight = machine.arcs.get((state, c), (state, 0.0))
-                total += weight
+                state, event = machine.arcs.get((state, c), (state, None))
+                if event is not None:
+                    counts[event] += 1
             accepted |= state in machine.final
-        assert abs(composed.score(classes) - (max(total, 0.05) if accepted else 0.0)) < 1e-12
+        assert composed.events(classes) == (counts if accepted else None)
+
+
+def test_weights_are_learned_and_keep_their_signs():
+    rnd = np.random.default_rng(3)
+    events = np.zeros((4000, len(toxicity.EVENTS) + 1))
+    hit = rnd.random(4000) < 0.5
+    events[hit, toxicity.FIRST] = events[hit, -1] = 1
+    events[hit & (rnd.random(4000) < 0.5), toxicity.NEGATED] = 1  # an insult that is negated says nothing here
+    y = (hit & (events[:, toxicity.NEGATED] == 0) & (rnd.random(4000) < 0.95)).astype(float)
+    weights, slope, _ = toxicity.learn_weights(events, y, np.ones(4000))
+    assert weights[toxicity.NEGATED] < toxicity.PRIOR[toxicity.NEGATED] and slope > 0
+    assert (np.sign(weights) * np.sign(toxicity.PRIOR) >= 0).all() and weights[toxicity.AT_TARGET] == toxicity.PRIOR[toxicity.AT_TARGET]
 
 
 def test_words_with_apostrophes_are_no_loose_letters():
     lex = toxicity.Lookup(lexicon(["idiot"]))
-    s = lambda text: sum(toxicity.clause_scores([text], lex)[0])
+    s = lambda text: sum(toxicity.clause_scores(toxicity.clause_events([text], lex)[1]))
     assert s("je t'aime idiot") == s("je aime idiot")
     assert s("he isn't an idiot") < s("he is an idiot")
 
