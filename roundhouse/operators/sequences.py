@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -64,17 +65,10 @@ def rolling_median_spread(df: DataFrame, keys: list[str], order: list[str], valu
     return rows.groupBy(*keys).agg(F.ceil(F.max("__m") - F.min("__m")).cast("int").alias("spread"), F.count("*").alias("n_windows"))
 
 
-def _same_rank(frame: pd.DataFrame, rank: str) -> pd.DataFrame:
-    return frame[frame["rank_norm"] == rank]
-
-
-def _nearest(cards: pd.DataFrame, x: float, y: float, limit: float):
-    """Index of the card nearest a point, None beyond the limit; ties go to the smaller det_id."""
-    if not len(cards):
-        return None
-    d = np.hypot(cards["cx"] - x, cards["cy"] - y)
-    at = d.idxmin()
-    return at if d[at] <= limit else None
+def _nearest(cards: list[tuple], place: tuple[float, float], limit: float) -> tuple | None:
+    """The card (det_id, x, y, suit) nearest a place, None beyond the limit; ties go to the smaller det_id, the earlier one."""
+    best = min(cards, key=lambda c: math.hypot(c[1] - place[0], c[2] - place[1]), default=None)
+    return best if best and math.hypot(best[1] - place[0], best[2] - place[1]) <= limit else None
 
 
 def follow_pair(pdf: pd.DataFrame, limit: float = 60.0) -> pd.DataFrame:
@@ -83,19 +77,18 @@ def follow_pair(pdf: pd.DataFrame, limit: float = 60.0) -> pd.DataFrame:
     one, two = (head["s_ax"], head["s_ay"]), (head["s_bx"], head["s_by"])
     suits = (head["s_asuit"], head["s_bsuit"])
     by_suit = suits[0] != suits[1] and "U" not in suits and "" not in suits
+    rows = pdf[pdf["rank_norm"] == head["pair_rank"]]
+    rows = sorted(zip(rows["frame_id"].tolist(), rows["det_id"].tolist(), rows["cx"].tolist(), rows["cy"].tolist(), rows["suit"].tolist(), strict=True))
     seen = []
-    for frame, cards in pdf.sort_values(["frame_id", "det_id"]).groupby("frame_id", sort=True):
-        cards = _same_rank(cards, head["pair_rank"])
+    for frame, own in groupby(rows, key=lambda r: r[0]):
+        cards = [r[1:] for r in own]
         if len(cards) < 2:
             continue
-        a = _nearest(cards[cards["suit"] == suits[0]] if by_suit else cards, *one, limit)
-        if a is None:
-            continue
-        b = _nearest(cards[cards["suit"] == suits[1]] if by_suit else cards.drop(index=a), *two, limit)
-        if b is None:
-            continue
-        one, two = tuple(cards.loc[a, ["cx", "cy"]]), tuple(cards.loc[b, ["cx", "cy"]])
-        seen.append((frame, math.hypot(one[0] - two[0], one[1] - two[1]), int(cards.loc[a, "det_id"]), int(cards.loc[b, "det_id"])))
+        a = _nearest([c for c in cards if c[3] == suits[0]] if by_suit else cards, one, limit)
+        b = a and _nearest([c for c in cards if (c[3] == suits[1] if by_suit else c is not a)], two, limit)
+        if b:
+            one, two = a[1:3], b[1:3]
+            seen.append((frame, math.hypot(one[0] - two[0], one[1] - two[1]), a[0], b[0]))
     keys = {k: [head[k]] for k in ("round_id", "seg_id", "pair_no")}
     if len(seen) < 5:
         return pd.DataFrame(keys | {"n": [len(seen)], "spread": [-1], "end_frame": [None], "end_a": [None], "end_b": [None], "max_distance": [None]})
