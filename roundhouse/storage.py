@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of a file, where the number of rows is known beforehand.
-FILE_ROWS = 500_000
+FILE_ROWS = 50_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
