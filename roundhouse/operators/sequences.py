@@ -362,16 +362,22 @@ def jitter(segs: DataFrame, copies: int = 3, share: float = 0.15, seed: int = 42
 
 
 def nms_1d(df: DataFrame, keys: list[str], iou: float = 0.3, topn: int = 10) -> DataFrame:
-    """Greedy suppression per group: by falling score (ties: start, then seg_id) an interval stays if it overlaps none that stayed by more than `iou`; at most topn stay.
+    """Greedy suppression per group: by falling score (ties: start, then seg_id) an interval stays if it overlaps none that stayed by more than `iou` (0 or more); at most topn stay.
 
-    The fold runs over a group's intervals as one array: a group is one round's windows of one label.
+    Only intervals that overlap affect each other: a group is cut where none is open, the fold runs over each stretch's intervals as one array, and the first topn of
+    all stretches stay.
     """
+    by_start = Window.partitionBy(*keys).orderBy("start_frame", "seg_id")
+    rows = df.withColumn("__open", F.max("end_frame").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("__stretch", F.count_if(F.col("start_frame") >= F.col("__open")).over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     item = F.struct((-F.col("score")).alias("neg"), "start_frame", "seg_id", "end_frame")
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    rows = rows.groupBy(*keys, "__stretch").agg(F.array_sort(F.collect_list(item)).alias("items"))
     empty = F.filter("items", lambda x: F.lit(False))
     clash = lambda x, k: g.interval_iou(x["start_frame"], x["end_frame"], k["start_frame"], k["end_frame"]) > iou
     kept = F.aggregate("items", empty, lambda acc, x: F.when((F.size(acc) >= topn) | F.exists(acc, lambda k: clash(x, k)), acc).otherwise(F.concat(acc, F.array(x))))
-    return rows.select(*keys, F.posexplode(kept).alias("place", "k")).select(*keys, "place", "k.seg_id", "k.start_frame", "k.end_frame", (-F.col("k.neg")).alias("score"))
+    best = Window.partitionBy(*keys).orderBy("k.neg", "k.start_frame", "k.seg_id")
+    rows = rows.select(*keys, F.explode(kept).alias("k")).withColumn("place", F.row_number().over(best) - 1).where(F.col("place") < topn)
+    return rows.select(*keys, "place", "k.seg_id", "k.start_frame", "k.end_frame", (-F.col("k.neg")).alias("score"))
 
 
 def dedup_spatial(dets: DataFrame, px: float = 20.0) -> DataFrame:
