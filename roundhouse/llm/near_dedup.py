@@ -415,7 +415,7 @@ def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf, ag
         leaders = few(stored(least_leaders(members, parts), "near-leaders"), SMALL)
         pairs = leaders.join(members, "key").where("comp <> comp_a").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
         pairs = stored(plausible(pairs, nodes, agree), "near-pairs")
-        found = stored(verified(pairs, packed, idf), "near-links", pairs.count())
+        found = stored(verified(pairs, packed, idf), "near-links")
         forget(members, pairs)
         links = found if links is None else links.unionByName(found)
         if not links.isEmpty():
@@ -424,7 +424,7 @@ def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf, ag
     rest = blocks_of(with_components(buckets, comps), nodes).select("id", "key", "i", "j", "comp", "block", "prints", "bands")
     rest = stored(rest.groupBy("key", "i", "j").applyInArrow(lambda t: open_members(t, agree), kind), "near-open")
     rows = rest.join(packed.withColumnRenamed("doc_id", "id"), "id")
-    found = stored(rows.groupBy("key", "i", "j").applyInArrow(lambda t: block_links(t, idf.value, agree), "a long, b long"), "near-links", rest.count())
+    found = stored(rows.groupBy("key", "i", "j").applyInArrow(lambda t: block_links(t, idf.value, agree), "a long, b long"), "near-links")
     forget(packed, ids, rest)
     if found.isEmpty():
         return comps
