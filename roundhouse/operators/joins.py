@@ -6,6 +6,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -236,6 +237,29 @@ def lookup_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids, key, "left")
 
 
+def best_matches(q: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best score (to four decimals) and its id for each row of q against matrix, whose ids ascend; a tile of scores at a time."""
+    score, best = np.full(len(q), -np.inf), np.zeros(len(q), np.int64)
+    for a in range(0, len(q), TILE):
+        for b in range(0, len(ids), TILE):  # ids ascend: an equal score of a later tile doesn't win
+            tile = np.floor(q[a : a + TILE] @ matrix[b : b + TILE].T * 10000 + 0.5) / 10000
+            at = tile.argmax(1)
+            found = tile[np.arange(len(tile)), at]
+            won = np.flatnonzero((found > score[a : a + TILE]) | (np.isnan(found) & ~np.isnan(score[a : a + TILE])))
+            score[a + won], best[a + won] = found[won], ids[b + at[won]]
+    return score, best
+
+
+def unit_rows(column) -> np.ndarray:
+    """The vectors of an Arrow list column as rows of length one."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    if len(column) and (column.null_count or (lengths != lengths[0]).any()):
+        raise ValueError("vectors differ in length")
+    v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1 if len(column) else 1)
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-8)
+
+
 def top1_similarity(queries: DataFrame, gallery: DataFrame, rows: int = 200_000, floats: int = 50_000_000) -> DataFrame:
     """(q_id, best, g_id): the largest dot product of unit vectors and its gallery row; ties (to four decimals) go to the smaller id.
 
@@ -247,34 +271,15 @@ def top1_similarity(queries: DataFrame, gallery: DataFrame, rows: int = 200_000,
     blocks = max(1, -(-size["n"] // rows), -(-size["f"] // most))
     kind = "q_id long, best double, g_id long"
 
-    def best_of(q: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        score, best = np.full(len(q), -np.inf), np.zeros(len(q), np.int64)
-        for a in range(0, len(q), TILE):
-            for b in range(0, len(ids), TILE):  # ids ascend: an equal score of a later tile doesn't win
-                tile = np.floor(q[a : a + TILE] @ matrix[b : b + TILE].T * 10000 + 0.5) / 10000
-                at = tile.argmax(1)
-                found = tile[np.arange(len(tile)), at]
-                won = np.flatnonzero((found > score[a : a + TILE]) | (np.isnan(found) & ~np.isnan(score[a : a + TILE])))
-                score[a + won], best[a + won] = found[won], ids[b + at[won]]
-        return score, best
-
-    def matrix_of(column) -> np.ndarray:
-        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-        lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
-        if len(column) and (column.null_count or (lengths != lengths[0]).any()):
-            raise ValueError("vectors differ in length")
-        v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1 if len(column) else 1)
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-8)
-
     if blocks == 1:
         found = gallery.orderBy("g_id").toArrow()
-        ids, matrix = found["g_id"].to_numpy(), matrix_of(found["g_vec"])
+        ids, matrix = found["g_id"].to_numpy(), unit_rows(found["g_vec"])
         kept = queries.sparkSession.sparkContext.broadcast((ids, matrix))
 
         def run(batches):
             for batch in batches:
                 if batch.num_rows and len(kept.value[0]):
-                    score, best = best_of(matrix_of(batch.column(1)), *kept.value)
+                    score, best = best_matches(unit_rows(batch.column(1)), *kept.value)
                     yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(best)], names=["q_id", "best", "g_id"])
 
         return queries.select(F.col("q_id").cast("long"), "q_vec").mapInArrow(run, kind)
@@ -286,10 +291,10 @@ def top1_similarity(queries: DataFrame, gallery: DataFrame, rows: int = 200_000,
 
     def meet(table: pa.Table) -> pa.Table:
         ask = table.filter(table["query"])
-        own = table.filter(pa.compute.invert(table["query"])).sort_by("id")
+        own = table.filter(pc.invert(table["query"])).sort_by("id")
         if not ask.num_rows or not own.num_rows:
             return pa.table({"q_id": pa.array([], pa.int64()), "best": pa.array([], pa.float64()), "g_id": pa.array([], pa.int64())})
-        score, best = best_of(matrix_of(ask["vec"]), own["id"].to_numpy(), matrix_of(own["vec"]))
+        score, best = best_matches(unit_rows(ask["vec"]), own["id"].to_numpy(), unit_rows(own["vec"]))
         return pa.table({"q_id": ask["id"], "best": pa.array(score), "g_id": pa.array(best)})
 
     won = q.unionByName(r.select(*q.columns)).groupBy("part", "block").applyInArrow(meet, kind)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections import deque
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -14,8 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roundhouse.functions import geometry as g
-from roundhouse.operators.joins import asof_offset, chunk_slices, interval_overlap_join, point_in_interval_join
+from roundhouse.operators.joins import FRAME_BUCKET, asof_offset, chunk_slices, interval_overlap_join, point_in_interval_join
 from roundhouse.operators.picks import random_key
+from roundhouse.storage import forget, stored
+
+#: Intervals of a stretch that are folded as one array, 100 kB.
+LONG_STRETCH = 4096
 
 
 def merge_chunks(rounds: DataFrame, chunks: DataFrame, gap_preserving: bool = False) -> DataFrame:
@@ -115,43 +121,110 @@ def track_pair(candidates: DataFrame, dets: DataFrame) -> DataFrame:
 OBSERVED = "round_id long, track_id int, frame_id int, det_id long, cx double, cy double, rank string, suit string, conf double"
 
 
-def follow_items(pdf: pd.DataFrame, reach: float = 35.0, recency: int = 75, least_obs: int = 30, least_span: int = 50) -> pd.DataFrame:
-    """Tracks of one round; see track_items."""
-    last: list[tuple[float, float, int]] = []
-    own: list[list[int]] = []
-    rows = pdf.sort_values(["frame_id", "conf", "det_id"], ascending=[True, False, True]).reset_index(drop=True)
-    values = rows[["frame_id", "cx", "cy"]].to_numpy()
-    claimed: set[int] = set()
-    live: list[int] = []
-    now = None
-    for i, (frame, x, y) in enumerate(values):
-        if frame != now:
-            now, claimed = frame, set()
-            live = [k for k in live if frame - last[k][2] <= recency]
-        best, far = -1, math.inf
-        for k in live:
-            if k not in claimed and (d := math.hypot(x - last[k][0], y - last[k][1])) < far:
-                best, far = k, d
-        if best >= 0 and far <= reach:
-            claimed.add(best)
+class Track:
+    """A track of one round. rows: its observations that aren't given out yet; number: its place among the kept ones, once it is known."""
+
+    __slots__ = ("first", "last", "live", "n", "number", "rows", "x", "y")
+
+    def __init__(self, frame: int):
+        self.first, self.live, self.n, self.number, self.rows = frame, True, 0, None, []
+
+
+class Follower:
+    """Tracks of a round whose detections come in order; see track_items.
+
+    An observation goes out as soon as its track is long enough and all earlier tracks are decided. A track that is still too short gathers fewer than `least_obs`
+    observations or fewer frames than `least_span`, and stays alive for `recency` frames after each: so what is held doesn't grow with the round.
+    """
+
+    def __init__(self, reach: float = 35.0, recency: int = 75, least_obs: int = 30, least_span: int = 50):
+        self.reach, self.recency, self.least_obs, self.least_span = reach, recency, least_obs, least_span
+        self.out: list[tuple[int, tuple]] = []
+        self.start()
+
+    def start(self) -> None:
+        self.live: list[Track] = []
+        self.waiting: deque[Track] = deque()
+        self.frame, self.claimed, self.kept = None, set(), 0
+
+    def settle(self) -> None:
+        """Number or drop the waiting tracks in order of birth, up to the first that is undecided."""
+        while self.waiting:
+            t = self.waiting[0]
+            if t.n >= self.least_obs and t.last - t.first >= self.least_span:
+                t.number, self.kept = self.kept, self.kept + 1
+                self.out += [(t.number, row) for row in t.rows]
+            elif t.live:
+                return
+            t.rows = []
+            self.waiting.popleft()
+
+    def add(self, frame: int, x: float, y: float, row: tuple) -> None:
+        if frame != self.frame:
+            self.frame, self.claimed = frame, set()
+            for t in self.live:
+                t.live = frame - t.last <= self.recency
+            self.live = [t for t in self.live if t.live]
+            self.settle()
+        best, far = None, math.inf
+        for t in self.live:
+            if t not in self.claimed and (d := math.hypot(x - t.x, y - t.y)) < far:
+                best, far = t, d
+        if best is not None and far <= self.reach:
+            self.claimed.add(best)
         else:
-            best = len(last)
-            last.append((x, y, int(frame)))
-            own.append([])
-            live.append(best)
-        last[best] = (x, y, int(frame))
-        own[best].append(i)
-    kept = [k for k in own if len(k) >= least_obs and values[k[-1], 0] - values[k[0], 0] >= least_span]
-    out = pd.concat([rows.loc[k].assign(track_id=n) for n, k in enumerate(kept)]) if kept else rows.head(0).assign(track_id=0)
-    return out[[x.split()[0] for x in OBSERVED.split(", ")]]
+            best = Track(frame)
+            self.live.append(best)
+            self.waiting.append(best)
+        best.x, best.y, best.last, best.n = x, y, frame, best.n + 1
+        if best.number is None:
+            best.rows.append(row)
+        else:
+            self.out.append((best.number, row))
+
+    def end(self) -> None:
+        """The round has ended."""
+        for t in self.live:
+            t.live = False
+        self.settle()
+        self.start()
+
+    def take(self) -> list[tuple[int, tuple]]:
+        out, self.out = self.out, []
+        return out
 
 
 def track_items(dets: DataFrame, **how) -> DataFrame:
-    """Observations of tracks per round: in a frame, by falling confidence, a detection takes the nearest live track that is free, else starts one.
+    """Observations of tracks per round: in a frame, by falling confidence (ties: det_id), a detection takes the nearest live track that is free, else starts one.
 
-    One group is one round. A track born in a frame isn't claimed by it, as its own detection is its only observation there.
+    A track born in a frame isn't claimed by it, as its own detection is its only observation there. Rounds are dealt to tasks, where their rows follow each other in
+    order; one fold over the Arrow batches holds the live tracks of the present round.
     """
-    return dets.select("round_id", "frame_id", "det_id", "cx", "cy", "rank", "suit", "conf").groupBy("round_id").applyInPandas(lambda pdf: follow_items(pdf, **how), OBSERVED)
+    names = [x.split()[0] for x in OBSERVED.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.float64()]
+    cast = dict(x.split() for x in OBSERVED.split(", "))
+    rows = dets.select(*[F.col(c).cast(cast[c]) for c in names if c != "track_id"])
+    rows = rows.repartition("round_id").sortWithinPartitions("round_id", "frame_id", F.desc_nulls_last(F.nanvl("conf", F.lit(None))), "det_id")
+
+    def follow(batches):
+        tracks, now = Follower(**how), None
+
+        def batch_of(out):
+            columns = [[row[0] for _, row in out], [n for n, _ in out], *[[row[k] for _, row in out] for k in range(1, 8)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
+
+        for batch in batches:
+            places = [batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in (3, 4)]
+            for x, y, *row in zip(*places, *batch.to_pydict().values(), strict=True):
+                if now is not None and row[0] != now[0]:
+                    tracks.end()
+                now = row
+                tracks.add(row[1], x, y, tuple(row))
+            yield batch_of(tracks.take())
+        tracks.end()
+        yield batch_of(tracks.take())
+
+    return rows.mapInArrow(follow, OBSERVED)
 
 
 def seat_ordinal(obs: DataFrame, seats: DataFrame, obbs: DataFrame) -> DataFrame:
@@ -361,22 +434,71 @@ def jitter(segs: DataFrame, copies: int = 3, share: float = 0.15, seed: int = 42
     return rows.drop("start_frame", "end_frame").withColumnsRenamed({"s": "start_frame", "e": "end_frame"})
 
 
-def nms_1d(df: DataFrame, keys: list[str], iou: float = 0.3, topn: int = 10) -> DataFrame:
-    """Greedy suppression per group: by falling score (ties: start, then seg_id) an interval stays if it overlaps none that stayed by more than `iou` (0 or more); at most topn stay.
-
-    Only intervals that overlap affect each other: a group is cut where none is open, the fold runs over each stretch's intervals as one array, and the first topn of
-    all stretches stay.
-    """
+def stretches(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df with __stretch: a group's intervals are numbered anew where none of the earlier ones is open any more."""
     by_start = Window.partitionBy(*keys).orderBy("start_frame", "seg_id")
     rows = df.withColumn("__open", F.max("end_frame").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
-    rows = rows.withColumn("__stretch", F.count_if(F.col("start_frame") >= F.col("__open")).over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.withColumn("__stretch", F.count_if(F.col("start_frame") >= F.col("__open")).over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__open")
+
+
+def fold_stretches(rows: DataFrame, keys: list[str], iou: float, topn: int) -> DataFrame:
+    """Greedy suppression over each stretch's intervals as one array: keys and k, the interval that stays."""
     item = F.struct((-F.col("score")).alias("neg"), "start_frame", "seg_id", "end_frame")
     rows = rows.groupBy(*keys, "__stretch").agg(F.array_sort(F.collect_list(item)).alias("items"))
     empty = F.filter("items", lambda x: F.lit(False))
     clash = lambda x, k: g.interval_iou(x["start_frame"], x["end_frame"], k["start_frame"], k["end_frame"]) > iou
     kept = F.aggregate("items", empty, lambda acc, x: F.when((F.size(acc) >= topn) | F.exists(acc, lambda k: clash(x, k)), acc).otherwise(F.concat(acc, F.array(x))))
+    return rows.select(*keys, F.explode(kept).alias("k"))
+
+
+def dominance(items: DataFrame, keys: list[str], iou: float, bucket: int = FRAME_BUCKET) -> DataFrame:
+    """(winner, loser), numbers __id of items: the first is better and the two overlap by more than iou."""
+    side = lambda p: items.select(*keys, F.col("__id").alias(f"{p}_id"), F.col("start_frame").alias(f"{p}_s"), F.col("end_frame").alias(f"{p}_e"), F.struct((-F.col("score")).alias("neg"), "start_frame", "seg_id", "__id").alias(p))
+    pairs = interval_overlap_join(side("a"), side("b"), keys, ("a_s", "a_e"), ("b_s", "b_e"), bucket=bucket).where("a < b")
+    return pairs.where(g.interval_iou(F.col("a_s"), F.col("a_e"), F.col("b_s"), F.col("b_e")) > iou).select(F.col("a_id").alias("winner"), F.col("b_id").alias("loser"))
+
+
+def suppress_by_rounds(rows: DataFrame, keys: list[str], iou: float) -> DataFrame:
+    """The intervals that greedy suppression leaves, by rounds of local maxima: one that is better than all it clashes with stays, and those go.
+
+    What neither stays nor goes takes part in the next round; the rounds are few where scores aren't sorted along the frames, and each shrinks the table of clashes.
+    Of equal intervals only the best takes part.
+    """
+    best = Window.partitionBy(*keys, "start_frame", "end_frame").orderBy(F.asc_nulls_first(-F.col("score")), "seg_id")
+    if iou < 1:
+        rows = rows.withColumn("__n", F.row_number().over(best)).where("__n = 1 or start_frame >= end_frame").drop("__n")
+    items = stored(rows.withColumn("__id", F.monotonically_increasing_id()), "nms-items")
+    clashes, gone = stored(dominance(items, keys, iou), "nms-clashes"), []
+    while not clashes.isEmpty():
+        stay = clashes.select("winner").distinct().join(clashes.select(F.col("loser").alias("winner")).distinct(), "winner", "left_anti")
+        lost = stored(clashes.join(stay, "winner", "left_semi").select("loser").distinct(), "nms-lost")
+        left = clashes.join(lost, "loser", "left_anti").join(lost.withColumnRenamed("loser", "winner"), "winner", "left_anti")
+        left = stored(left.select("winner", "loser"), "nms-clashes")
+        forget(clashes)
+        clashes, gone = left, [*gone, lost]
+    lost = reduce(DataFrame.unionByName, gone) if gone else clashes.select("loser")
+    return items.join(lost.withColumnRenamed("loser", "__id"), "__id", "left_anti").drop("__id")
+
+
+def nms_1d(df: DataFrame, keys: list[str], iou: float = 0.3, topn: int = 10, most: int = LONG_STRETCH) -> DataFrame:
+    """Greedy suppression per group: by falling score (ties: start, then seg_id) an interval stays if it overlaps none that stayed by more than `iou` (0 or more); at most topn stay.
+
+    Only intervals that overlap affect each other: a group is cut where none is open. The fold runs over a stretch's intervals as one array if it has `most` at most; longer
+    ones go by rounds of local maxima over bucketed joins (groups with a null key have no such). The first topn of all stretches stay.
+    """
+    rows = stretches(df.select(*keys, "seg_id", "start_frame", "end_frame", "score"), keys)
+    long = rows.groupBy(*keys, "__stretch").agg(F.count("*").alias("__n")).where(F.col("__n") > most).where(" and ".join(f"`{k}` is not null" for k in keys)).select(*keys, "__stretch")
+    long = stored(long, "nms-long")
+    if long.isEmpty():
+        kept = fold_stretches(rows, keys, iou, topn)
+    else:
+        many = rows.join(long, [*keys, "__stretch"], "left_semi")
+        item = F.struct((-F.col("score")).alias("neg"), "start_frame", "seg_id", "end_frame")
+        kept = suppress_by_rounds(many, keys, iou).select(*keys, item.alias("k"))
+        same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(long[c]) for c in [*keys, "__stretch"]])
+        kept = kept.unionByName(fold_stretches(rows.join(long, same, "left_anti"), keys, iou, topn))
     best = Window.partitionBy(*keys).orderBy("k.neg", "k.start_frame", "k.seg_id")
-    rows = rows.select(*keys, F.explode(kept).alias("k")).withColumn("place", F.row_number().over(best) - 1).where(F.col("place") < topn)
+    rows = kept.withColumn("place", F.row_number().over(best) - 1).where(F.col("place") < topn)
     return rows.select(*keys, "place", "k.seg_id", "k.start_frame", "k.end_frame", (-F.col("k.neg")).alias("score"))
 
 

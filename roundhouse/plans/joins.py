@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from roundhouse.functions import geometry as g
 from roundhouse.operators import joins as j
 from roundhouse.operators import scalar as s
+from roundhouse.operators import similarity as sim
 from roundhouse.operators.pipelines import spans
 from roundhouse.plans.registry import query
 from roundhouse.plans.scalars import HAND_POS, INSIDE, NORM_RANK, OBB_DISTANCE, SEATED, hyp, r4
@@ -184,6 +185,22 @@ def _(t):
     return j.top1_similarity(vectors(t, ASKING, "q"), vectors(t, GALLERY, "g"))
 
 
+#: Frames blended with a third of the next frame of their video: each has a near match among the frames.
+BLENDED = "list_transform(range(1, len(a.embedding) + 1), lambda i: 3 * CAST(a.embedding[i] AS DOUBLE) + CAST(b.embedding[i] AS DOUBLE))"
+
+
+@query("top1_similarity_hashed", f"""WITH b AS (SELECT a.video_id, a.frame_idx, {BLENDED} AS embedding FROM {{features}} a JOIN {{features}} b ON a.video_id = b.video_id AND b.frame_idx = a.frame_idx + 1)
+    SELECT q.video_id * 50 + q.frame_idx AS q_id, max({r4(DOT)}) AS best, min_by(g.video_id * 50 + g.frame_idx, struct_pack(a := -({r4(DOT)}), b := g.video_id * 50 + g.frame_idx)) AS g_id
+    FROM b q JOIN {{features}} g ON true GROUP BY 1 HAVING max({r4(DOT)}) >= 0.9""")
+def _(t):
+    """Every blended frame against all frames, by hashed projections; the twin compares all pairs."""
+    f = t.features.select("video_id", "frame_idx", F.col("embedding").cast("array<double>").alias("vec"))
+    after = f.select("video_id", (F.col("frame_idx") - 1).alias("frame_idx"), F.col("vec").alias("after"))
+    blended = f.join(after, ["video_id", "frame_idx"]).withColumn("q_vec", F.zip_with("vec", "after", lambda x, y: 3 * x + y))
+    asked = blended.select((F.col("video_id").cast("long") * 50 + F.col("frame_idx")).alias("q_id"), "q_vec")
+    return sim.top1_similarity_hashed(asked, vectors(t, "true", "g"), least=0.9, miss=1e-6)
+
+
 @query("task_id_lookup", "SELECT s.seg_id, s.round_id, c.c_name FROM {segments} s LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 1000) c ON s.round_id = c.c_custkey")
 def _(t):
     ids = t.customer.where("c_acctbal > 1000").select(F.col("c_custkey").alias("round_id"), "c_name")

@@ -212,6 +212,12 @@ def _(t):
     return q.nms_1d(t.segments, ["round_id", "label"])
 
 
+@query("nms_1d_rounds", NMS)
+def _(t):
+    """The same by rounds of local maxima, whatever the stretches' lengths are."""
+    return q.nms_1d(t.segments, ["round_id", "label"], most=0)
+
+
 DEDUP = f"""WITH RECURSIVE o AS (SELECT round_id, frame_id, rank, suit, conf, struct_pack(i := det_id, x := cx, y := cy) AS v, row_number() OVER (PARTITION BY round_id, frame_id, rank, suit ORDER BY conf DESC, det_id) AS rn FROM {{dets720}}),
     f AS (SELECT round_id, frame_id, rank, suit, CAST(0 AS BIGINT) AS rn, list_filter([v], lambda x: false) AS kept FROM o WHERE rn = 1
           UNION ALL SELECT f.round_id, f.frame_id, f.rank, f.suit, o.rn, CASE WHEN len(list_filter(f.kept, lambda k: {hyp('k.x', 'k.y', 'o.v.x', 'o.v.y')} < 20)) > 0 THEN f.kept ELSE list_append(f.kept, o.v) END

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roundhouse.operators.sequences import dedup_spatial
 from roundhouse.plans.registry import query
 from roundhouse.storage import scratch_dir
-from roundhouse.streaming import incremental, tracker
+from roundhouse.streaming import incremental, timed_tracker, tracker
 
 
 @query("incremental_rounds", "SELECT round_id, label, count(*) AS n FROM {segments} GROUP BY ALL")
@@ -36,3 +36,23 @@ def _(t):
         closed = tracker.track_stream(stream, least_obs=5)
         closed.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.parquet(f"{base}/out").select("round_id", "first_frame", "last_frame", F.col("n_obs").cast("long").alias("n_obs"))
+
+
+#: The lot in which a detection arrives: by thirds of its round's frames, but every fiftieth detection of the first two comes with the last, too late.
+LOT = "CASE WHEN frame_id >= 400 OR det_id % 50 = 0 THEN 2 WHEN frame_id >= 200 THEN 1 ELSE 0 END"
+
+
+@query("stream_tracker_timers")
+def _(t):
+    """Detections arrive in three lots, some late. Nothing says that a round has ended: a row of no round moves the clock, and timers close all. Rows of kind track and late."""
+    base = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    timed_tracker.use_rocksdb(t.spark)
+    rows = dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf").withColumn("lot", F.expr(LOT))
+    rows = rows.withColumn("seen_at", F.timestamp_seconds(F.lit(1_700_000_000) + 10 * F.col("lot")))
+    clock = t.spark.range(1).select(*[(F.timestamp_seconds(F.lit(1_700_001_000)) if c == "seen_at" else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in rows.columns])
+    for lot in (*(rows.where(F.col("lot") == k) for k in range(3)), clock):
+        lot.drop("lot").write.mode("append").parquet(f"{base}/in")
+        stream = t.spark.readStream.schema(rows.drop("lot").schema).parquet(f"{base}/in")
+        out = timed_tracker.track_timed(stream, least_obs=5)
+        out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{base}/out").select("round_id", "kind", "det_id", "first_frame", "last_frame", F.col("n_obs").cast("long").alias("n_obs"))

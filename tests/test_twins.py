@@ -166,3 +166,16 @@ def test_detected_actions(spark, t):
         want += [(v, v if v in tasks else None, k + 1, a, a + 10, round(-s, 4), g) for k, (s, a, g) in enumerate(kept) if -s >= 0.1]
     got = catalog.QUERIES["detect_actions"](spark, SF).withColumn("score", F.round("score", 4))
     assert rows_of(got, "video_id", "task_id", "rank", "start_frame", "end_frame", "score", "g_id") == sorted(want, key=repr)
+
+
+def test_follower_holds_a_bounded_part_of_a_long_round():
+    follower, held, out = sequences.Follower(least_obs=30, least_span=50), [], 0
+    for frame in range(0, 40_000, 10):
+        for k in range(4):  # one card lies there for the whole round, one moves away each hundred frames, one flickers, one is seen once in a while
+            x = [10.0, 200.0 + frame // 100 * 40, 5000.0 + frame % 70 * 50, -500.0][k]
+            if k < 3 or frame % 60 == 0:
+                follower.add(frame, x, 0.0, (1, frame, frame + k))
+        held.append(sum(len(t.rows) for t in follower.waiting) + len(follower.live))
+        out += len(follower.take())
+    follower.end()
+    assert out + len(follower.take()) > 4000 and max(held) < 600 and max(held[2000:]) <= max(held[:2000])
