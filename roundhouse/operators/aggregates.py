@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,10 +131,48 @@ def crowded_frames(dets: DataFrame, least: int = 23) -> DataFrame:
     return dets.groupBy("round_id", "frame_id").agg(F.count("*").alias("n_dets")).where(F.col("n_dets") >= least)
 
 
+#: Bins of a histogram that finds the values at a rank.
+BINS = 1024
+
+
+def matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left joined with right on keys, where null equals null."""
+    other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = [left[k].eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    out = left.join(other, reduce(lambda a, b: a & b, same)) if keys else left.join(F.broadcast(other))  # without keys it is one row
+    return out.drop(*[f"__r_{k}" for k in keys])
+
+
+def exact_percentile(df: DataFrame, keys: list[str], value: str, share: float, name: str, bins: int = BINS) -> DataFrame:
+    """keys and the exact percentile of `value` (finite; nulls don't count) per group, between two values in proportion.
+
+    A first pass counts a histogram of `bins` bins between a group's least and largest value. A second one orders the different values of the bins alone that hold the two
+    ranks, so no task keeps all values of a group. Equal values are added up before they are shuffled.
+    """
+    rows = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
+    ends = rows.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__all"))
+    at = F.floor((F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * (bins - 1))
+    rows = matched(rows, ends, keys).withColumn("__bin", F.when(F.col("__hi") > F.col("__lo"), at).otherwise(0))
+    rank = (F.col("__all") - 1) * share
+    rows = rows.withColumns({"__first": F.floor(rank), "__second": F.ceil(rank), "__part": rank - F.floor(rank)})
+    group = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)  # `bins` rows at most
+    hist = rows.groupBy(*keys, "__bin", "__first", "__second").agg(F.sum("__n").alias("__in"))
+    hist = hist.withColumn("__before", F.coalesce(F.sum("__in").over(group), F.lit(0)))
+    holds = lambda r: (F.col(r) >= F.col("__before")) & (F.col(r) < F.col("__before") + F.col("__in"))
+    found = matched(rows, hist.where(holds("__first") | holds("__second")).select(*keys, "__bin", "__before"), [*keys, "__bin"])
+    inside = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("__before", F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0))).withColumn("__in", F.col("__n"))
+    pick = lambda r: F.max(F.when(holds(r), F.col("__v")))
+    two = found.groupBy(*keys).agg(pick("__first").alias("__a"), pick("__second").alias("__b"), F.first("__part").alias("__part"))
+    return two.select(*keys, F.when(F.col("__a") == F.col("__b"), F.col("__a")).otherwise((1 - F.col("__part")) * F.col("__a") + F.col("__part") * F.col("__b")).alias(name))
+
+
 def summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean, median, least and most of each column, one row per column."""
     rows = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns])).alias("r")).select("r.*")
-    return rows.groupBy("metric").agg(g.r4(F.avg("v")).alias("mean"), g.r4(F.percentile("v", 0.5)).alias("median"), F.min("v").alias("least"), F.max("v").alias("most"), F.count_if(F.col("v") > 0).alias("n_any"))
+    middle = exact_percentile(rows, ["metric"], "v", 0.5, "median")
+    out = rows.groupBy("metric").agg(g.r4(F.avg("v")).alias("mean"), F.min("v").alias("least"), F.max("v").alias("most"), F.count_if(F.col("v") > 0).alias("n_any"))
+    return out.join(middle, "metric", "left").select("metric", "mean", g.r4(F.col("median")).alias("median"), "least", "most", "n_any")
 
 
 def track_export(obs: DataFrame) -> DataFrame:
@@ -146,16 +186,24 @@ def track_export(obs: DataFrame) -> DataFrame:
 
 def auto_window(segs: DataFrame) -> DataFrame:
     """Per label a window (75th percentile of the lengths, truncated, up to a multiple of 5, 10 at least) and its stride."""
-    length = F.col("end_frame") - F.col("start_frame") + 1
-    p = segs.groupBy("label").agg(F.percentile(length, 0.75).alias("p75"))
+    p = exact_percentile(segs.withColumn("__length", F.col("end_frame") - F.col("start_frame") + 1), ["label"], "__length", 0.75, "p75")
     window = F.greatest(F.lit(10), (F.ceil(F.floor("p75") / 5) * 5).cast("int"))
     return p.withColumn("window", window).withColumn("stride", F.greatest(F.lit(2), F.floor(F.col("window") / 4).cast("int"))).select("label", "window", "stride")
 
 
 def pr_at(df: DataFrame, thresholds: list[float]) -> DataFrame:
-    """Accuracy, precision, recall and F1 of score >= threshold against `positive`; 0 where undefined."""
-    rows = df.withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thresholds]))).withColumn("p", F.col("score") >= F.col("threshold"))
-    c = rows.groupBy("threshold").agg(F.count_if(F.col("p") & F.col("positive")).alias("tp"), F.count_if(F.col("p") & ~F.col("positive")).alias("fp"), F.count_if(~F.col("p") & F.col("positive")).alias("fn"), F.count_if(~F.col("p") & ~F.col("positive")).alias("tn"))
+    """Accuracy, precision, recall and F1 of score >= threshold against `positive`; 0 where undefined. Rows without a score or a truth don't count.
+
+    Rows are counted once, by the number of thresholds that they reach; what reaches a threshold is the sum over the counts from there on.
+    """
+    known = sorted({float(x) for x in thresholds})
+    reached = reduce(lambda a, b: a + b, [F.when(F.col("score") >= x, 1).otherwise(0) for x in known])
+    rows = df.where("score is not null and positive is not null").groupBy(reached.alias("k")).agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
+    total = rows.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"), F.map_from_entries(F.collect_list(F.struct("k", F.struct("pos", "neg")))).alias("at")).where("all_pos is not null")  # a row, of one entry per threshold
+    at = F.explode(F.arrays_zip(F.array(*map(F.lit, known)).alias("threshold"), F.sequence(F.lit(1), F.lit(len(known))).alias("k"))).alias("t")
+    c = total.select("all_pos", "all_neg", "at", at).select(F.col("t.threshold").alias("threshold"), "all_pos", "all_neg", F.filter(F.map_entries("at"), lambda e: e["key"] >= F.col("t.k")).alias("own"))
+    add = lambda part: F.aggregate("own", F.lit(0).cast("long"), lambda n, e: n + e["value"][part])
+    c = c.withColumns({"tp": add("pos"), "fp": add("neg")}).withColumns({"fn": F.col("all_pos") - F.col("tp"), "tn": F.col("all_neg") - F.col("fp")})
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     c = c.withColumns({"accuracy": ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")), "precision": ratio(F.col("tp"), F.col("tp") + F.col("fp")), "recall": ratio(F.col("tp"), F.col("tp") + F.col("fn"))})
     f1 = F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0))

@@ -187,12 +187,21 @@ def new_items(segs: DataFrame, dets: DataFrame, limit: float = 120.0) -> DataFra
 
 
 def pair_self_join(dets: DataFrame, max_distance: float = 60.0, min_overlap: int = 200) -> DataFrame:
-    """Pairs a < b of one frame and one normalised rank that are close and overlap."""
-    rows = dets.withColumn("rank_norm", g.norm_rank(F.col("rank"))).where("rank_norm is not null")
+    """Pairs a < b of one frame and one normalised rank that are close and overlap.
+
+    Cards fall into square cells as wide as the distance. One is offered to its own cell and to four of the neighbouring ones, the other stays in its own: so each
+    pair of neighbouring cells meets once, and a crowded frame isn't paired in full.
+    """
     names = ["det_id", "cx", "cy", "x1", "y1", "x2", "y2", "suit", "rank"]
-    a = rows.select("round_id", "frame_id", "rank_norm", *[F.col(n).alias(f"a_{n}") for n in names])
-    b = rows.select("round_id", "frame_id", "rank_norm", *[F.col(n).alias(f"b_{n}") for n in names])
-    pairs = a.join(b, ["round_id", "frame_id", "rank_norm"]).where("a_det_id < b_det_id")
+    cell = lambda c: F.floor(F.col(c) / max_distance)
+    rows = dets.withColumn("rank_norm", g.norm_rank(F.col("rank"))).where("rank_norm is not null and cx is not null and cy is not null")
+    rows = rows.select("round_id", "frame_id", "rank_norm", cell("cx").alias("__x"), cell("cy").alias("__y"), F.struct(*names).alias("__b"))
+    near = F.array(*[F.struct((F.col("__x") + x).alias("__x"), (F.col("__y") + y).alias("__y"), F.lit(x == y == 0).alias("__own")) for x, y in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
+    offered = rows.select("round_id", "frame_id", "rank_norm", F.inline(near), F.col("__b").alias("__a"))
+    pairs = offered.join(rows, ["round_id", "frame_id", "rank_norm", "__x", "__y"]).where("not __own or __a.det_id < __b.det_id")
+    in_order = F.col("__a.det_id") < F.col("__b.det_id")
+    pairs = pairs.withColumns({"a": F.when(in_order, F.col("__a")).otherwise(F.col("__b")), "b": F.when(in_order, F.col("__b")).otherwise(F.col("__a"))})
+    pairs = pairs.select("round_id", "frame_id", "rank_norm", *[F.col(f"{p}.{n}").alias(f"{p}_{n}") for p in "ab" for n in names])
     box = lambda p: [F.col(f"{p}_{n}") for n in ("x1", "y1", "x2", "y2")]
     pairs = pairs.withColumns({"distance": g.distance(F.col("a_cx"), F.col("a_cy"), F.col("b_cx"), F.col("b_cy")), "overlap": g.overlap_area(box("a"), box("b"))})
     return pairs.where((F.col("distance") <= max_distance) & (F.col("overlap") >= min_overlap))

@@ -114,10 +114,12 @@ def _(t):
     return j.new_items(hit_spans(t), t.dets720).select("round_id", "seg_id", F.explode("new.i").alias("det_id"))
 
 
-PAIRS = f"""SELECT a.round_id, a.frame_id, a.det_id AS a_det_id, b.det_id AS b_det_id, a.rank_norm, {hyp('a.cx', 'a.cy', 'b.cx', 'b.cy')} AS distance,
+#: The pairs of a frame's cards of one rank, from lists: no planner can join the table with itself in a bad way.
+_CARDS_OF_RANK = f"SELECT round_id, frame_id, rank_norm, list(struct_pack(det_id := det_id, cx := cx, cy := cy, x1 := x1, y1 := y1, x2 := x2, y2 := y2, suit := suit) ORDER BY det_id) AS c FROM (SELECT *, {NORM_RANK} AS rank_norm FROM {{dets720}}) WHERE rank_norm IS NOT NULL GROUP BY ALL"
+_RANK_PAIRS = f"SELECT round_id, frame_id, rank_norm, c[i] AS a, unnest(c[i + 1:]) AS b FROM (SELECT *, CAST(unnest(range(1, len(c))) AS INTEGER) AS i FROM ({_CARDS_OF_RANK}))"
+PAIRS = f"""SELECT round_id, frame_id, a.det_id AS a_det_id, b.det_id AS b_det_id, rank_norm, {hyp('a.cx', 'a.cy', 'b.cx', 'b.cy')} AS distance,
     greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS overlap, a.cx AS a_cx, b.cx AS b_cx, a.cy AS a_cy, b.cy AS b_cy, a.suit AS a_suit, b.suit AS b_suit
-    FROM (SELECT *, {NORM_RANK} AS rank_norm FROM {{dets720}}) a JOIN (SELECT *, {NORM_RANK} AS rank_norm FROM {{dets720}}) b ON a.round_id = b.round_id AND a.frame_id = b.frame_id AND a.rank_norm = b.rank_norm AND a.det_id < b.det_id
-    WHERE {hyp('a.cx', 'a.cy', 'b.cx', 'b.cy')} <= 60 AND greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) >= 200"""
+    FROM ({_RANK_PAIRS}) WHERE {hyp('a.cx', 'a.cy', 'b.cx', 'b.cy')} <= 60 AND greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) >= 200"""
 
 
 @query("same_rank_pairs", f"SELECT round_id, frame_id, a_det_id, b_det_id, rank_norm, {r4('distance')} AS distance, overlap FROM ({PAIRS})")

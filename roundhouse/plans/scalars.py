@@ -116,14 +116,18 @@ def _(t):
 
 BOX_PAIRS = "SELECT a.round_id, a.frame_id, a.det_id, b.det_id AS b_id, a.x1, a.y1, a.x2, a.y2, b.x1 AS b_x1, b.y1 AS b_y1, b.x2 AS b_x2, b.y2 AS b_y2 FROM {dets720} a JOIN {dets720} b ON a.round_id = b.round_id AND a.frame_id = b.frame_id AND a.det_id < b.det_id"
 
+#: The same from lists of a frame's boxes, for the twins.
+_FRAME_BOXES = "SELECT round_id, frame_id, list(struct_pack(det_id := det_id, x1 := x1, y1 := y1, x2 := x2, y2 := y2) ORDER BY det_id) AS c FROM {dets720} GROUP BY ALL"
+BOX_PAIR_LISTS = f"SELECT round_id, a.det_id AS det_id, b.det_id AS b_id, a.x1 AS x1, a.y1 AS y1, a.x2 AS x2, a.y2 AS y2, b.x1 AS b_x1, b.y1 AS b_y1, b.x2 AS b_x2, b.y2 AS b_y2 FROM (SELECT round_id, c[i] AS a, unnest(c[i + 1:]) AS b FROM (SELECT *, CAST(unnest(range(1, len(c))) AS INTEGER) AS i FROM ({_FRAME_BOXES})))"
 
-@query("box_iou_overlap", f"SELECT round_id, det_id, b_id, greatest(0, least(x2, b_x2) - greatest(x1, b_x1)) * greatest(0, least(y2, b_y2) - greatest(y1, b_y1)) AS overlap FROM ({BOX_PAIRS})")
+
+@query("box_iou_overlap", f"SELECT round_id, det_id, b_id, greatest(0, least(x2, b_x2) - greatest(x1, b_x1)) * greatest(0, least(y2, b_y2) - greatest(y1, b_y1)) AS overlap FROM ({BOX_PAIR_LISTS})")
 def _(t):
     rows = t.sql(BOX_PAIRS)
     return rows.select("round_id", "det_id", "b_id", g.overlap_area(*s.boxes_of(rows)).alias("overlap"))
 
 
-@query("encompassing_box", f"SELECT round_id, det_id, b_id, least(x1, b_x1) AS ux1, least(y1, b_y1) AS uy1, greatest(x2, b_x2) AS ux2, greatest(y2, b_y2) AS uy2 FROM ({BOX_PAIRS})")
+@query("encompassing_box", f"SELECT round_id, det_id, b_id, least(x1, b_x1) AS ux1, least(y1, b_y1) AS uy1, greatest(x2, b_x2) AS ux2, greatest(y2, b_y2) AS uy2 FROM ({BOX_PAIR_LISTS})")
 def _(t):
     rows = t.sql(BOX_PAIRS)
     return rows.select("round_id", "det_id", "b_id", *[v.alias(n) for v, n in zip(g.union_box(*s.boxes_of(rows)), ("ux1", "uy1", "ux2", "uy2"), strict=True)])
