@@ -245,7 +245,11 @@ def class_counts(kps: DataFrame, slot: Column, split: Column) -> DataFrame:
 
 
 def latest_annotation(tasks: DataFrame) -> DataFrame:
-    """Per task the annotation with results that isn't cancelled and was updated last ('' if unknown); ties go to the later one."""
-    rows = tasks.where(~F.col("was_cancelled") & (F.col("n_results") > 0))
-    best = rows.groupBy("task_id").agg(F.max(F.struct(F.coalesce("updated_at", F.lit("")).alias("u"), "ann_seq", "n_results")).alias("b"))
+    """Per task the annotation with results that isn't cancelled and was updated last; ties go to the later one.
+
+    Where updated_at is null or empty, created_at counts (if tasks have it), else ''. The result's updated_at is what counted.
+    """
+    rows = tasks.where(~F.coalesce("was_cancelled", F.lit(False)) & (F.col("n_results") > 0))
+    at = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("updated_at", "created_at") if c in tasks.columns], F.lit(""))
+    best = rows.groupBy("task_id").agg(F.max(F.struct(at.alias("u"), "ann_seq", "n_results")).alias("b"))
     return best.select("task_id", "b.ann_seq", "b.n_results", F.col("b.u").alias("updated_at"))

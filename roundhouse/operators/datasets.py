@@ -87,11 +87,22 @@ def human_boxes(tasks: DataFrame, boxes: DataFrame) -> DataFrame:
     return out.withColumn("status", status)
 
 
+def six_digits(value: Column) -> Column:
+    """A number as text with six significant digits and no trailing zeros, in powers of ten below 0.0001 and from a million on."""
+    parts = F.split(F.format_string("%.5e", value.cast("double")), "e")
+    sign, digits, power = F.when(parts[0].startswith("-"), "-").otherwise(""), F.regexp_replace(parts[0], "[-.]", ""), parts[1].cast("int")
+    trimmed = lambda text: F.regexp_replace(F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    whole = F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.lit(6)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    plain = F.when(power >= 0, whole).otherwise(small)
+    return F.when(power.between(-4, 5), F.concat(sign, trimmed(plain))).otherwise(F.concat(trimmed(parts[0]), F.lit("e"), parts[1]))
+
+
 def obb_label_lines(boxes: DataFrame, w: float, h: float) -> DataFrame:
     """boxes (class_id, c0x to c3y in pixels) with a pixel line and a normalised line."""
     corner = [f"c{k}{a}" for k in range(4) for a in "xy"]
     dota = F.concat_ws(" ", *[F.format_string("%.1f", F.col(c)) for c in corner], F.concat(F.lit("class_"), F.col("class_id")), F.lit("0"))
-    unit = F.concat_ws(" ", F.col("class_id").cast("string"), *[F.format_string("%.6f", F.col(c) / (w if c.endswith("x") else h)) for c in corner])
+    unit = F.concat_ws(" ", F.col("class_id").cast("string"), *[six_digits(F.col(c) / (w if c.endswith("x") else h)) for c in corner])
     return boxes.withColumns({"dota_line": dota, "obb_line": unit})
 
 

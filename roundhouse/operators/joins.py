@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
@@ -124,24 +125,52 @@ def assign_seats_template(dets: DataFrame) -> DataFrame:
     return dets.withColumn("seat", g.nearest_seat(F.col("cx"), F.col("cy")))
 
 
-def assign_seats_obb(points: DataFrame, obbs: DataFrame, reach: float = 30.0) -> DataFrame:
+def wide_boxes(obbs: DataFrame, seats: Sequence[int]) -> DataFrame:
+    """One row per round: for each seat a struct b0, b1 and so on with the corners, edges, squared edge lengths and limits of its box (null: it has none).
+
+    A seat that isn't in `seats` and a second box of a seat are errors.
+    """
+    own = [f"cast(c{k}{a} as double) as c{k}{a}" for k in range(4) for a in "xy"]
+    edges = [f"cast(c{(k + 1) % 4}{a} as double) - c{k}{a} as e{k}{a}" for k in range(4) for a in "xy"]
+    side = lambda k, a: f"(c{(k + 1) % 4}{a} - c{k}{a})"
+    lengths = [f"cast({side(k, 'x')} * {side(k, 'x')} + {side(k, 'y')} * {side(k, 'y')} as double) as l{k}" for k in range(4)]
+    limits = [f"cast({f}({', '.join(f'c{k}{a}' for k in range(4))}) as double) as {n}{a}" for f, n in (("least", "lo"), ("greatest", "hi")) for a in "xy"]
+    strange = f"seat_id is null or seat_id not in ({', '.join(map(str, seats))})"
+    box = f"struct({', '.join(own + edges + lengths + limits)})"
+    single = lambda k: f"case when count_if({strange}) > 0 then raise_error(concat('no such seat: ', coalesce(cast(max(case when {strange} then seat_id end) as string), 'null'))) when count_if(seat_id = {k}) > 1 then raise_error('two boxes of seat {k} in a round') else max(case when seat_id = {k} then __box end) end"
+    return obbs.withColumn("__box", F.expr(box)).groupBy("round_id").agg(*[F.expr(single(k)).alias(f"b{i}") for i, k in enumerate(seats)])
+
+
+def assign_seats_obb(points: DataFrame, obbs: DataFrame, reach: float = 30.0, seats: Sequence[int] = range(len(g.SEATS_PX))) -> DataFrame:
     """points with seat_id and inside: the first box that holds the point, else the nearest within reach, else null; and `holding`, all seats whose box holds it.
 
-    The few boxes of a round come as one array to its points, so a point stays one row.
+    A round's boxes are columns of one wide row that its points are joined with, so a point stays one row and all expressions are compiled. Distances are taken only to
+    boxes whose limits the point is near.
     """
-    corner = [f"c{k}{a}" for k in range(4) for a in "xy"]
-    boxes = obbs.groupBy("round_id").agg(F.sort_array(F.collect_list(F.struct("seat_id", *[F.col(c).cast("double").alias(c) for c in corner]))).alias("__boxes"))
-    p = (F.col("cx"), F.col("cy"))
-
-    def placed(b: Column) -> Column:
-        four = [(b[f"c{k}x"], b[f"c{k}y"]) for k in range(4)]
-        inside = g.point_in_obb(*p, four)
-        return F.struct((~inside).alias("out"), F.when(inside, F.lit(0.0)).otherwise(g.obb_distance(*p, four)).alias("d"), b["seat_id"].alias("seat_id"))
-
-    rows = points.join(boxes, "round_id", "left").withColumn("__placed", F.filter(F.transform("__boxes", placed), lambda x: ~x["out"] | (x["d"] <= reach))).drop("__boxes")
-    rows = rows.withColumn("__best", F.array_min("__placed"))
-    holding = F.coalesce(F.transform(F.filter("__placed", lambda x: ~x["out"]), lambda x: x["seat_id"]), F.array().cast("array<int>"))
-    return rows.withColumns({"seat_id": F.col("__best.seat_id"), "inside": ~F.col("__best.out"), "holding": holding}).drop("__placed", "__best")
+    seats = sorted(seats)
+
+    def inside(b: str) -> str:
+        """Projections on the edges at corner 0; the last edge leads to it."""
+        along, across = f"((cx - {b}.c0x) * {b}.e0x + (cy - {b}.c0y) * {b}.e0y)", f"((cx - {b}.c0x) * -{b}.e3x + (cy - {b}.c0y) * -{b}.e3y)"
+        return f"{along} >= 0 and {along} <= {b}.l0 and {across} >= 0 and {across} <= {b}.l3"
+
+    def squared(b: str, k: int) -> str:
+        """Squared distance to an edge."""
+        along = f"try_divide((cx - {b}.c{k}x) * {b}.e{k}x + (cy - {b}.c{k}y) * {b}.e{k}y, {b}.l{k})"
+        off = [f"({p} - ({b}.c{k}{a} + coalesce(greatest(0D, least(1D, {along})), 0D) * {b}.e{k}{a}))" for p, a in (("cx", "x"), ("cy", "y"))]
+        return f"{off[0]} * {off[0]} + {off[1]} * {off[1]}"
+
+    def far(b: str, i: int) -> str:
+        near = f"cx between {b}.lox - {reach} and {b}.hix + {reach} and cy between {b}.loy - {reach} and {b}.hiy + {reach}"
+        return f"case when __in{i} then 0D when {near} then sqrt(least({', '.join(squared(b, k) for k in range(4))})) end"
+
+    rows = points.join(wide_boxes(obbs, seats), "round_id", "left")
+    rows = rows.withColumns({f"__in{i}": F.expr(inside(f"b{i}")) for i in range(len(seats))})
+    rows = rows.withColumns({f"__d{i}": F.expr(far(f"b{i}", i)) for i in range(len(seats))})
+    places = [f"case when __in{i} or __d{i} <= {reach} then struct(not __in{i} as out, __d{i} as d, {k} as seat_id) end" for i, k in enumerate(seats)]
+    rows = rows.withColumn("__best", F.expr(f"least({', '.join(places)})" if len(places) > 1 else places[0]))
+    holding = f"array_compact(array({', '.join(f'case when __in{i} then {k} end' for i, k in enumerate(seats))}))"
+    return rows.select(*[c for c in points.columns if c not in ("seat_id", "inside", "holding")], F.col("__best.seat_id").alias("seat_id"), (~F.col("__best.out")).alias("inside"), F.expr(holding).alias("holding"))
 
 
 def nearest_detection(points: DataFrame, dets: DataFrame, max_distance: float, keep: Column | None = None) -> DataFrame:

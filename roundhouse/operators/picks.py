@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +34,10 @@ def first_per_cluster(pairs: DataFrame, keys: list[str], px: int) -> DataFrame:
     return rows.withColumn("pair_no", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+#: Rows of a part of the hash, at most for a table of 10**12 rows.
+PART_ROWS = 100_000
+
+
 def random_key(ids: list[str], seed: int) -> Column:
     """A hash of the seed and the ids as hexadecimal text."""
     return F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(c).cast("string") for c in ids]))
@@ -41,11 +47,12 @@ def with_place(df: DataFrame, keys: list[str], ids: list[str], seed: int) -> Dat
     """df with __place, each row's place (from 1) in random order within its group (keys; [] for all rows), and __size, the group's rows.
 
     A place is the count of the rows with smaller leading digits of the hash, from a table of those counts, and the place among the rows with
-    the same digits. So the rows of a group are ordered in 4096 parts, not in one task.
+    the same digits. So the rows of a group are ordered in 4096 parts, or 16 or 256 times as many where df has very many rows, not in one task.
     """
-    rows = df.withColumn("__h", random_key(ids, seed)).withColumn("__bin", F.substring("__h", 1, 3))
+    digits = min(6, max(3, math.ceil(math.log(max(df.count(), 1) / PART_ROWS, 16))))
+    rows = df.withColumn("__h", random_key(ids, seed)).withColumn("__bin", F.substring("__h", 1, digits))
     sizes = rows.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], F.col("__bin").alias("__b")).agg(F.count("*").alias("__n"))
-    group = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]) if keys else Window.partitionBy(F.lit(0))  # 4096 rows a group at most
+    group = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]) if keys else Window.partitionBy(F.lit(0))  # a row per part
     before = F.coalesce(F.sum("__n").over(group.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.withColumns({"__before": before, "__size": F.sum("__n").over(group)}).drop("__n")
     same = F.col("__bin") == F.col("__b")

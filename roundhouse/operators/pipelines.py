@@ -170,7 +170,7 @@ def verify_clean(segs: DataFrame, frames: DataFrame) -> DataFrame:
 
 
 def label_round(dets: DataFrame, obbs: DataFrame, rep: DataFrame | None = None, **tracker) -> DataFrame:
-    """Tracks of every round with identity, seat, ordinal, split pile and double flag.
+    """Tracks of every round with identity, seat, ordinal, split pile and double flag, first and last centre and mean confidence.
 
     dets: 720p. rep: (round_id, rep_frame), the frame whose layout decides; without it the last places and the zigzag rule count.
     Splits come before doubles, since split seats have none.
@@ -194,8 +194,9 @@ def label_round(dets: DataFrame, obbs: DataFrame, rep: DataFrame | None = None,
     rest = cards.join(split, seat, "left_anti")
     seen = rest.where("by_frame and alive").join(obbs, seat).where(g.point_in_obb(F.col("cx"), F.col("cy"), g.corners())).select(*rest.columns)
     double = sequences.fan_double(seen).select(*seat, "double_ordinal").unionByName(sequences.zigzag(rest.where("not by_frame"), obbs))
-    out = seats.join(who, tk).join(life, tk).join(ords.select(*tk, "ordinal"), tk, "left").join(piles, [*seat, "ordinal"], "left").join(double, seat, "left")
-    return out.select(*tk, "rank", "suit", "seat_id", "seat_via", "vote_share", "ordinal", F.coalesce("pile", F.lit(0)).alias("split_pile"), F.coalesce(F.col("ordinal") == F.col("double_ordinal"), F.lit(False)).alias("double"), "first_frame", "last_frame", "n_obs")
+    ends = agg.track_export(obs).select(*tk, "first_x", "first_y", "last_x", "last_y", "mean_conf")
+    out = seats.join(who, tk).join(life, tk).join(ends, tk).join(ords.select(*tk, "ordinal"), tk, "left").join(piles, [*seat, "ordinal"], "left").join(double, seat, "left")
+    return out.select(*tk, "rank", "suit", "seat_id", "seat_via", "vote_share", "ordinal", F.coalesce("pile", F.lit(0)).alias("split_pile"), F.coalesce(F.col("ordinal") == F.col("double_ordinal"), F.lit(False)).alias("double"), "first_frame", "last_frame", "first_x", "first_y", "last_x", "last_y", "n_obs", "mean_conf")
 
 
 def detect_actions(features: DataFrame, gallery: DataFrame | None, exclude: DataFrame, ids: DataFrame, width: int = 10, stride: int = 5, bins: int = 2, threshold: float = 0.5, topn: int = 3, model=None, focus: int | None = None) -> DataFrame:
@@ -207,7 +208,7 @@ def detect_actions(features: DataFrame, gallery: DataFrame | None, exclude: Data
     own = joins.exclude(features, exclude, ["video_id"])
     lengths = own.groupBy("video_id").agg((F.max("frame_idx") + 1).alias("n"))
     w = sequences.sliding_windows(lengths, width, stride).drop("n")
-    vec = sequences.temporal_bins(w, own, bins).withColumn("seg_id", F.col("video_id").cast("long") * 100_000 + F.col("start_frame"))
+    vec = stored(sequences.temporal_bins(w, own, bins).withColumn("seg_id", F.monotonically_increasing_id()), "action-windows")  # numbered as they are written
     if model is None:
         score = joins.top1_similarity(vec.select(F.col("seg_id").alias("q_id"), F.col("vec").alias("q_vec")), gallery)
         rows = vec.join(score.withColumnRenamed("q_id", "seg_id"), "seg_id").withColumn("score", F.col("best"))

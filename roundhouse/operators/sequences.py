@@ -113,8 +113,7 @@ def track_pair(candidates: DataFrame, dets: DataFrame) -> DataFrame:
     candidates: round_id, seg_id, pair_no, pair_rank, start_frame, last_frame, s_ax, s_ay, s_bx, s_by, s_asuit, s_bsuit. A group is one pair's frames in one segment.
     """
     cards = dets.withColumn("rank_norm", g.norm_rank(F.col("rank"))).select("round_id", "frame_id", "det_id", "cx", "cy", "suit", "rank_norm").where("rank_norm is not null")
-    rows = candidates.withColumn("rank_norm", F.col("pair_rank")).join(cards, ["round_id", "rank_norm"])
-    rows = rows.where(F.col("frame_id").between(F.col("start_frame"), F.col("last_frame")))
+    rows = point_in_interval_join(cards, candidates.withColumn("rank_norm", F.col("pair_rank")), ["round_id", "rank_norm"], "frame_id", ("start_frame", "last_frame"))
     return rows.groupBy("round_id", "seg_id", "pair_no").applyInPandas(lambda pdf: follow_pair(pdf), TRACKED)
 
 
@@ -288,7 +287,7 @@ def split_seats(cards: DataFrame, obbs: DataFrame, least_cards: int = 3, least_p
     seat = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(card)).alias("c")).where(F.size("c") >= least_cards)
     one, two = F.get("c", F.lit(0)), F.get("c", F.lit(1))
     seat = seat.where(one["rank_norm"] == two["rank_norm"])
-    spare = F.filter(F.slice("c", 3, 1000), lambda x: x["alive"] & (x["rank_norm"] == F.get("c", F.lit(0))["rank_norm"]))
+    spare = F.filter(F.slice("c", F.lit(3), F.size("c")), lambda x: x["alive"] & (x["rank_norm"] == F.get("c", F.lit(0))["rank_norm"]))
     seat = seat.withColumn("spare", spare)
     a = F.when(one["alive"], one).otherwise(F.coalesce(F.get("spare", F.lit(0)), one))
     b = F.when(two["alive"], two).otherwise(F.coalesce(F.when(one["alive"], F.get("spare", F.lit(0))).otherwise(F.get("spare", F.lit(1))), two))
@@ -413,7 +412,7 @@ def window_labels(windows: DataFrame, segs: DataFrame, focus: str, width: int, f
     """
     need = int(width * fraction)
     w = windows.select("round_id", F.col("start_frame").alias("ws"), F.col("end_frame").alias("we"))
-    hit = interval_overlap_join(w, segs.select("round_id", "seg_id", "label", "start_frame", "end_frame"), ["round_id"], ("ws", "we"), ("start_frame", "end_frame"))
+    hit = interval_overlap_join(w, segs.select("round_id", "seg_id", "label", "start_frame", "end_frame"), ["round_id"], ("ws", "we"), ("start_frame", "end_frame"), bucket=FRAME_BUCKET)
     shared = F.greatest(F.lit(0), F.least("we", "end_frame") - F.greatest("ws", "start_frame"))
     per = hit.withColumn("o", shared).where("o > 0").groupBy("round_id", "ws", "we", "label").agg(F.sum("o").alias("o"), F.min(F.struct("start_frame", "seg_id")).alias("first"))
     best = per.groupBy("round_id", "ws", "we").agg(F.max(F.when(F.col("label") == focus, F.col("o"))).alias("f"), F.min(F.struct((-F.col("o")).alias("o"), "first", "label")).alias("b"))

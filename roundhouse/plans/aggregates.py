@@ -178,7 +178,7 @@ def _(t):
     return a.class_counts(t.keypoints, s.parse_slot(F.col("kp_label")), F.when(F.col("task_id") % 5 == 0, "val").otherwise("train"))
 
 
-LATEST = "SELECT task_id, ann_seq, n_results, coalesce(updated_at, '') AS updated_at FROM (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY coalesce(updated_at, '') DESC, ann_seq DESC) AS rn FROM {tasks} WHERE NOT was_cancelled AND n_results > 0) WHERE rn = 1"
+LATEST = "SELECT task_id, ann_seq, n_results, coalesce(nullif(updated_at, ''), nullif(created_at, ''), '') AS updated_at FROM (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY coalesce(nullif(updated_at, ''), nullif(created_at, ''), '') DESC, ann_seq DESC) AS rn FROM {tasks} WHERE NOT was_cancelled AND n_results > 0) WHERE rn = 1"
 
 
 @query("latest_valid_annotation", LATEST)

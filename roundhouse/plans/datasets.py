@@ -79,7 +79,7 @@ def _(t):
 _CORNERS = [f"c{k}{a}" for k in range(4) for a in "xy"]
 
 
-@query("obb_label_lines", "SELECT round_id, seat_id, printf('" + " ".join(["%.1f"] * 8) + " class_%d 0', " + ", ".join(_CORNERS) + ", seat_id) AS dota_line, printf('%d " + " ".join(["%.6f"] * 8) + "', seat_id, " + ", ".join(f"{c} / CAST({1279 if c.endswith('x') else 719} AS DOUBLE)" for c in _CORNERS) + ") AS obb_line FROM {seat_obbs}")
+@query("obb_label_lines", "SELECT round_id, seat_id, printf('" + " ".join(["%.1f"] * 8) + " class_%d 0', " + ", ".join(_CORNERS) + ", seat_id) AS dota_line, printf('%d " + " ".join(["%.6g"] * 8) + "', seat_id, " + ", ".join(f"{c} / CAST({1279 if c.endswith('x') else 719} AS DOUBLE)" for c in _CORNERS) + ") AS obb_line FROM {seat_obbs}")
 def _(t):
     return d.obb_label_lines(t.seat_obbs.withColumn("class_id", F.col("seat_id")), 1279.0, 719.0).select("round_id", "seat_id", "dota_line", "obb_line")
 

@@ -67,10 +67,11 @@ TABLES: dict[str, str] = {
         SELECT f.video_id, CAST(f.frame_idx AS INT) AS start_frame, CAST(f.frame_idx + 9 AS INT) AS end_frame, f.label_id FROM {features} f WHERE f.frame_idx % 10 = 0""",
     "boxes": """
         SELECT round_id, det_id AS box_id, frame_id AS anchor_frame, CAST(1 + det_id % 3 AS INT) AS n_keyframes, x1, y1, x2, y2
-        FROM {detections} WHERE conf > 0.975""",
+        FROM {detections} WHERE conf > 0.8""",
     "tasks": """
         SELECT conv_id AS task_id, turn AS ann_seq, (conv_id + turn) % 5 = 0 AS was_cancelled, CAST(LENGTH(text) % 4 AS INT) AS n_results,
-               CASE WHEN turn % 3 = 0 THEN NULL ELSE CONCAT('2025-10-0', CAST(1 + (conv_id * 7 + turn * 3) % 9 AS STRING)) END AS updated_at
+               CASE WHEN turn % 3 = 0 THEN NULL ELSE CONCAT('2025-10-0', CAST(1 + (conv_id * 7 + turn * 3) % 9 AS STRING)) END AS updated_at,
+               CASE WHEN turn % 6 = 3 THEN NULL ELSE CONCAT('2025-10-0', CAST(1 + (conv_id * 3 + turn * 5) % 9 AS STRING)) END AS created_at
         FROM {conversations}""",
     "keypoints": """
         SELECT l_orderkey % 500 AS task_id, CAST(l_partkey % 4 AS INT) AS class_id, CONCAT('C', CAST(1 + (l_linenumber + l_suppkey) % 9 AS STRING)) AS kp_label,

@@ -172,7 +172,8 @@ def _(t):
     return q.temporal_bins(t.sql(UNITS), t.features, 9).withColumn("vec", _rounded("vec"))
 
 
-LENGTHS = "SELECT round_id, CAST(100 + round_id % 50 AS INT) AS n FROM (SELECT DISTINCT round_id FROM {segments}) r"
+#: A round lasts to the end of its last segment.
+LENGTHS = "SELECT round_id, CAST(max(end_frame) + 1 AS INT) AS n FROM {segments} GROUP BY round_id"
 WINDOWS = f"SELECT round_id, s AS start_frame, s + 40 AS end_frame FROM (SELECT round_id, unnest(range(0, n - 39, 10)) AS s FROM ({LENGTHS}))"
 
 
