@@ -10,7 +10,7 @@ than four fifths of what tells them apart.
 Every document draws HASHES weighted samples; BANDS bands of ROWS samples make its buckets. Documents whose
 words are all equal are one node. In a bucket every node is verified against a leader by weighted Jaccard
 similarity, then against eight more where components still differ. What is left open is compared in blocks of
-BLOCK_NODES nodes inside tasks: in each bucket the nodes outside of its largest component, with each other and with
+BLOCK_NODES nodes and BLOCK_BYTES of shingles inside tasks: in each bucket the nodes outside of its largest component, with each other and with
 that component's. Pairs that are connected already are skipped, and only links leave a task. So no group of copies is
 expanded into rows of pairs, and a stray node beside a large group costs that group one more row a node.
 
@@ -39,6 +39,8 @@ BANDS, ROWS = 16, 5
 HASHES = BANDS * ROWS
 AGREE = 50
 BLOCK_NODES = 256
+#: Bytes of the packed shingles of a block's nodes, as far as these are dealt evenly; a task holds two blocks and their weights.
+BLOCK_BYTES = 16 << 20
 #: doc_ids of a lookup that may be broadcast, 16 MB; a larger one is joined by a shuffle.
 SMALL = 2_000_000
 DF_BITS, DF_ROWS, BLOCK = 20, 2, 1 << 10
@@ -184,7 +186,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, node (a hash of all its words), bands and prints (a byte of each sample) of each document with words."""
+    """doc_id, node (a hash of all its words), bands, prints (a byte of each sample) and size (bytes of its packed shingles) of each document with words."""
 
     def sign(batches):
         for batch in slices(batches, 1):
@@ -201,11 +203,12 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                         pa.array([x.tobytes() for x in np.ascontiguousarray(whole[:, own].T)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1))),
                         pa.array([x.tobytes() for x in samples.astype(np.uint8)], pa.binary()),
+                        pa.array(8 * np.bincount(doc)[own], pa.int64()),
                     ],
-                    names=["doc_id", "node", "bands", "prints"],
+                    names=["doc_id", "node", "bands", "prints", "size"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node binary, bands array<long>, prints binary")
+    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node binary, bands array<long>, prints binary, size long")
 
 
 def pack(shingle: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -338,10 +341,12 @@ def blocks_of(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
     A bucket's blocks of nodes outside of its largest component come first; they are compared with each other and with those of the component.
     """
-    comps = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    sizes = comps.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all"))
-    count = lambda n: F.ceil(n / BLOCK_NODES).cast("int")
-    sizes = sizes.select("key", F.col("most.comp").alias("main"), count(F.col("all") - F.col("most.n")).alias("n_rest"), count(F.col("most.n")).alias("n_main"))
+    members = stored(members.join(nodes.select("id", "size"), "id"), "near-sized")
+    comps = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("b"))
+    sizes = comps.groupBy("key").agg(F.max(F.struct("n", "comp", "b")).alias("most"), F.sum("n").alias("n"), F.sum("b").alias("b"))
+    count = lambda n, b: F.greatest(F.ceil(n / BLOCK_NODES), F.ceil(b / BLOCK_BYTES)).cast("int")
+    rest = count(F.col("n") - F.col("most.n"), F.col("b") - F.col("most.b"))
+    sizes = sizes.select("key", F.col("most.comp").alias("main"), rest.alias("n_rest"), count(F.col("most.n"), F.col("most.b")).alias("n_main"))
     rows = members.join(few(stored(sizes, "near-sizes"), SMALL), "key").withColumn("rest", F.col("comp") != F.col("main"))
     part = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), F.col(n)).cast("int")
     rows = rows.withColumn("block", F.when(F.col("rest"), part("n_rest")).otherwise(F.col("n_rest") + part("n_main")))
@@ -443,7 +448,7 @@ def classes(df: DataFrame, agree: int = AGREE) -> DataFrame:
     # a text that stands alone is a node by itself; only copies look up who answers for them
     copies = few(stored(named.where("n > 1").select("node", "id"), "near-copies", n), SMALL)
     signed = signed.join(copies, "node", "left").withColumn("id", F.coalesce("id", "doc_id"))
-    nodes = stored(signed.where("id = doc_id").select("id", "bands", "prints").dropDuplicates(["id"]), "near-nodes")
+    nodes = stored(signed.where("id = doc_id").select("id", "bands", "prints", "size").dropDuplicates(["id"]), "near-nodes")
     keys = nodes.select(F.explode("bands").alias("key"), "id")
     shared = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
     buckets = stored(keys.join(few(stored(shared, "near-keys"), SMALL), "key", "left_semi"), "near-buckets")

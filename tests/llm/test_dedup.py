@@ -114,6 +114,18 @@ def test_blocks_split_large_buckets(spark, monkeypatch):
     assert got == brute_classes(docs)
 
 
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    """Nodes of many shingles are dealt into more blocks; the classes stay the same."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
+    docs = corpus(random.Random(4))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(spark.createDataFrame(docs, KIND)).collect()}
+    assert got == brute_classes(docs)
+    members = spark.createDataFrame([(1, i, i) for i in range(40)] + [(2, i, 0) for i in range(40)] + [(2, 77, 77)], "key long, id long, comp long")
+    nodes = spark.createDataFrame([(i, b"", [1], 1000) for i in [*range(40), 77]], "id long, prints binary, bands array<long>, size long")
+    found = near_dedup.blocks_of(members, nodes).groupBy("key", "i", "j").count().collect()
+    assert max(r["count"] for r in found) <= 20 and len([r for r in found if r["key"] == 1]) > 100
+
+
 def exact_cases(spark):
     data = [(3, "a", "x"), (1, "a", "y"), (9, "b", "z"), (2, None, "n"), (4, "", "n"), (5, "c", "r"), (5, "c", "r"), (None, "c", "q"), (None, "d", "q"), (7, "A", "k")]
     return spark.createDataFrame(data, "doc_id long, text string, digest string")
