@@ -7,7 +7,6 @@ turn rows into one gradient each, which are added up in a few tasks; the driver
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roundhouse.operators.picks import balanced_batches
-from roundhouse.storage import scratch_dir
+from roundhouse.storage import scratch_folder
 
 #: Rows of a batch that a task turns into a gradient at a time.
 STEP_ROWS = 8192
@@ -150,7 +149,7 @@ def fit_balanced(items: DataFrame, ids: list[str], focus: int, classes: int, bat
     model = Model(mean, spread, start_layers([len(mean), *([hidden] if hidden else []), classes], seed))
     adam, spark, tasks = Adam(rate), items.sparkSession, 1 + batch // STEP_ROWS
     for epoch in range(epochs):
-        path = f"{scratch_dir(spark)}/batches-{uuid.uuid4().hex}"
+        path = scratch_folder(spark, "batches")
         drawn = balanced_batches(items, ids, F.col("label_id") == focus, batch, fraction, seed + epoch).select("batch", F.col("label_id").cast("int").alias("label"), "vec")
         drawn.repartition("batch", F.pmod(F.xxhash64("vec"), F.lit(tasks))).write.partitionBy("batch").parquet(path)
         known = spark.read.schema("label int, vec array<double>, batch long").parquet(path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from roundhouse.operators.datasets import validate_annotations
@@ -12,7 +10,7 @@ from roundhouse.plans.scans import _BOXED, _records
 from roundhouse.sources import annotations as a
 from roundhouse.sources import exports as e
 from roundhouse.sources import records
-from roundhouse.storage import scratch_dir
+from roundhouse.storage import scratch_folder
 
 WIDE, HIGH = 1919.0, 1079.0
 
@@ -42,7 +40,7 @@ _RAW_SEGMENTS = f"""SELECT s.round_id, s.seg_id, s.label, s.start_frame, s.end_f
 
 
 def _written_export(t):
-    path = f"{scratch_dir(t.spark)}/export-{uuid.uuid4().hex}"
+    path = scratch_folder(t.spark, "export")
     _raw_tasks(t).write.text(path)
     return e.export_records(e.read_export(t.spark, path), skip_cancelled=True)
 
@@ -95,7 +93,7 @@ _RECORD = "struct<timeline_segments:array<struct<start_frame:int,id:bigint,end_f
 def _(t):
     """Records written as one file per video, half of them twice, and read back."""
     records.use_records(t.spark)
-    path = f"{scratch_dir(t.spark)}/records-{uuid.uuid4().hex}"
+    path = scratch_folder(t.spark, "records")
     rows = _records(t).select(F.col("round_id").cast("string").alias("video_name"), F.to_json(F.struct("timeline_segments")).alias("record"))
     for lot in (rows.withColumn("record", F.when(F.xxhash64("video_name") % 2 == 0, F.col("record")).otherwise("{}")), rows.where(F.xxhash64("video_name") % 2 != 0)):
         lot.write.format("annotation_records").mode("append").save(path)

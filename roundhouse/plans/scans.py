@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from roundhouse.operators.joins import pair_self_join, point_in_interval_join
@@ -11,7 +9,7 @@ from roundhouse.plans.joins import PAIRS
 from roundhouse.plans.registry import query
 from roundhouse.sources import annotations as a
 from roundhouse.sources import names
-from roundhouse.storage import scratch_dir
+from roundhouse.storage import scratch_folder
 
 _PARSED = """SELECT asset_id, file_name, substr(file_name, 1, 19) AS base_name, CAST(substr(file_name, 21, 6) AS INTEGER) AS chunk_index,
     CAST(substr(file_name, 28, 6) AS INTEGER) AS chunk_start FROM {asset_names} WHERE file_name NOT LIKE 'bad%'"""
@@ -143,7 +141,7 @@ def _(t):
     """Label files of lines of 5, 9 and 26 tokens, written as text and read back."""
     out = None
     for kind, (sql, values) in _FILE_LINES.items():
-        path = f"{scratch_dir(t.spark)}/labels-{kind}-{uuid.uuid4().hex}"
+        path = scratch_folder(t.spark, f"labels-{kind}")
         a.format_labels(t.sql(sql), values).select("line").write.text(path)
         rows = a.read_labels(t.spark, path, kind).select(F.lit(kind).alias("kind"), "class_id", "numbers")
         out = rows if out is None else out.unionByName(rows)

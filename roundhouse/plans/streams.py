@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from roundhouse.operators.sequences import dedup_spatial
 from roundhouse.plans.registry import query
-from roundhouse.storage import scratch_dir
+from roundhouse.storage import scratch_folder
 from roundhouse.streaming import incremental, timed_tracker, tracker
 
 
 @query("incremental_rounds", "SELECT round_id, label, count(*) AS n FROM {segments} GROUP BY ALL")
 def _(t):
     """Segments arrive in two lots; each run counts what is new, and a third run finds nothing."""
-    base = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    base = scratch_folder(t.spark, "stream")
     segs = t.segments
     for lot in (0, 1):
         segs.where((F.col("start_frame") >= 300) == bool(lot)).write.mode("append").parquet(f"{base}/in")
@@ -27,7 +25,7 @@ def _(t):
 @query("stream_tracker")
 def _(t):
     """Detections arrive in three lots of frames and an end row per round; the rows are the closed tracks. Its batch twin is track_items."""
-    base = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    base = scratch_folder(t.spark, "stream")
     rows = dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf")
     ends = rows.select("round_id").distinct().select("round_id", *[F.lit(None).cast(x.dataType).alias(x.name) for x in rows.schema if x.name != "round_id"])
     for lot in (rows.where("frame_id < 200"), rows.where("frame_id between 200 and 399"), rows.where("frame_id >= 400"), ends):
@@ -45,7 +43,7 @@ LOT = "CASE WHEN frame_id >= 400 OR det_id % 50 = 0 THEN 2 WHEN frame_id >= 200
 @query("stream_tracker_timers")
 def _(t):
     """Detections arrive in three lots, some late. Nothing says that a round has ended: a row of no round moves the clock, and timers close all. Rows of kind track and late."""
-    base = f"{scratch_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    base = scratch_folder(t.spark, "stream")
     timed_tracker.use_rocksdb(t.spark)
     rows = dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf").withColumn("lot", F.expr(LOT))
     rows = rows.withColumn("seen_at", F.timestamp_seconds(F.lit(1_700_000_000) + 10 * F.col("lot")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -22,20 +23,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-#: What stored() has written in this session and forget() hasn't deleted.
+#: What was written in this process and isn't deleted yet.
 _written: list[tuple[SparkSession, str]] = []
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there is deleted when the process ends."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: a cut lineage that survives lost executors.
 
     rows: a number of rows that df won't exceed, if it is known. Then a small table is written as few files, not as one per shuffle partition.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     (df if rows is None else df.coalesce(1 + rows // FILE_ROWS)).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
-    _written.append((df.sparkSession, path))
     return out
 
 
@@ -63,3 +70,12 @@ def forget_since(start: int, keep: DataFrame) -> None:
         if path != keep.stored_at:
             _delete(spark, path)
     _written[start:] = [x for x in _written[start:] if x[1] == keep.stored_at]
+
+
+@atexit.register
+def _forget_all() -> None:
+    """Delete what is left when the process ends, if its session still runs; a session that was stopped leaves its tables."""
+    while _written:
+        spark, path = _written.pop()
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)

@@ -51,6 +51,6 @@ def test_chunks(t):
 
 def test_others(t):
     assert tuple(t.keypoints.agg(F.count("*"), F.count_distinct("kp_label")).first()) == (6000, 9)
-    assert tuple(t.tasks.agg(F.count("*"), F.count("updated_at"), F.count_if("was_cancelled")).first()) == (87, 50, 18)
+    assert tuple(t.tasks.agg(F.count("*"), F.count("updated_at"), F.count("created_at"), F.count_if("was_cancelled")).first()) == (87, 50, 75, 18)
     assert tuple(t.frame_text.agg(F.count("*"), F.count_distinct("round_id"), F.count_if(F.col("text").startswith("GAME PAUS3D"))).first()) == (200, 50, 23)
-    assert tuple(t.boxes.agg(F.count("*"), F.sum("x1"), F.sum("y2")).first()) == (357, 311194, 282024)
+    assert tuple(t.boxes.agg(F.count("*"), F.sum("x1"), F.sum("y2")).first()) == (2425, 2140080, 1917666)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from roundhouse.operators import pipelines, sequences
 from roundhouse.plans import catalog
 from roundhouse.plans import pipelines as plans
+from roundhouse.plans import streams
 from roundhouse.plans.fixtures import Inputs
 
 SF = "/root/testdata/sf0.001"
@@ -179,3 +180,22 @@ def test_follower_holds_a_bounded_part_of_a_long_round():
         out += len(follower.take())
     follower.end()
     assert out + len(follower.take()) > 4000 and max(held) < 600 and max(held[2000:]) <= max(held[:2000])
+
+
+def test_tracker_with_timers(spark, t):
+    """Lots as the query deals them: what comes after its round's last processed frame is late, the rest makes tracks, and timers close all."""
+    rows = sequences.dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf", F.expr(streams.LOT).alias("lot")).collect()
+    last, fresh, late = defaultdict(lambda: -1), [], []
+    for lot in range(3):
+        seen = defaultdict(int)
+        for r in (r for r in rows if r["lot"] == lot):
+            if r["frame_id"] <= last[r["round_id"]]:
+                late.append((r["round_id"], "late", r["det_id"], r["frame_id"], r["frame_id"], 1))
+            else:
+                fresh.append(tuple(r)[:6])
+                seen[r["round_id"]] = max(seen[r["round_id"]], r["frame_id"])
+        last |= seen
+    want = [(r, "track", None, *rest) for r, *rest in plain_tracks(fresh)] + late
+    assert len(late) > 20 and len(want) - len(late) > 100
+    got = catalog.QUERIES["stream_tracker_timers"](spark, SF)
+    assert rows_of(got, "round_id", "kind", "det_id", "first_frame", "last_frame", "n_obs") == sorted(want, key=repr)
