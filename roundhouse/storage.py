@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of a file, where the number of rows is known beforehand.
@@ -74,8 +75,11 @@ def forget_since(start: int, keep: DataFrame) -> None:
 
 @atexit.register
 def _forget_all() -> None:
-    """Delete what is left when the process ends, if its session still runs; a session that was stopped leaves its tables."""
-    while _written:
-        spark, path = _written.pop()
-        if spark.sparkContext._jsc is not None:
-            _delete(spark, path)
+    """Delete what is left when the process ends, if its session still runs; one that was stopped or lost leaves its tables."""
+    try:
+        while _written:
+            spark, path = _written.pop()
+            if spark.sparkContext._jsc is not None:
+                _delete(spark, path)
+    except (Py4JError, OSError):  # the JVM is gone
+        _written.clear()

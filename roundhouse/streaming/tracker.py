@@ -50,7 +50,8 @@ class Tracks:
 def track_stream(dets: DataFrame, reach: float = 35.0, recency: int = 75, least_obs: int = 30, least_span: int = 50) -> DataFrame:
     """Closed tracks of a stream of detections (round_id, frame_id, det_id, cx, cy, conf).
 
-    A row without det_id says that its round has ended: the live tracks are closed too and the state is dropped.
+    A row without det_id says that its round has ended: the live tracks are closed too and the state is dropped. late_rows is the number of the round's late rows when a track
+    closed; a round without such a track says nothing of them (timed_tracker gives each late row, and closes silent rounds by itself).
     """
 
     def good(t: list) -> bool:
