@@ -337,11 +337,10 @@ def with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def blocks_of(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members of open buckets with prints and bands, once for each pair (i, j) of blocks that has to be compared and holds them.
+    """Members of open buckets (key, id, comp, size) with prints and bands, once for each pair (i, j) of blocks that has to be compared and holds them.
 
     A bucket's blocks of nodes outside of its largest component come first; they are compared with each other and with those of the component.
     """
-    members = stored(members.join(nodes.select("id", "size"), "id"), "near-sized")
     comps = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("b"))
     sizes = comps.groupBy("key").agg(F.max(F.struct("n", "comp", "b")).alias("most"), F.sum("n").alias("n"), F.sum("b").alias("b"))
     count = lambda n, b: F.greatest(F.ceil(n / BLOCK_NODES), F.ceil(b / BLOCK_BYTES)).cast("int")
@@ -426,8 +425,12 @@ def components_of(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, idf, ag
         if not links.isEmpty():
             comps = stored(components(links), "near-components", 2 * links.count())
     kind = "id long, key long, i int, j int, comp long, block int, prints binary, bands array<long>"
-    rest = blocks_of(with_components(buckets, comps), nodes).select("id", "key", "i", "j", "comp", "block", "prints", "bands")
+    members = with_components(buckets, comps)
+    sized = stored(members.join(nodes.select("id", "size"), "id"), "near-sized")
+    forget(members)
+    rest = blocks_of(sized, nodes).select("id", "key", "i", "j", "comp", "block", "prints", "bands")
     rest = stored(rest.groupBy("key", "i", "j").applyInArrow(lambda t: open_members(t, agree), kind), "near-open")
+    forget(sized)
     rows = rest.join(packed.withColumnRenamed("doc_id", "id"), "id")
     found = stored(rows.groupBy("key", "i", "j").applyInArrow(lambda t: block_links(t, idf.value, agree), "a long, b long"), "near-links")
     forget(packed, ids, rest)

@@ -122,7 +122,7 @@ def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
     assert got == brute_classes(docs)
     members = spark.createDataFrame([(1, i, i) for i in range(40)] + [(2, i, 0) for i in range(40)] + [(2, 77, 77)], "key long, id long, comp long")
     nodes = spark.createDataFrame([(i, b"", [1], 1000) for i in [*range(40), 77]], "id long, prints binary, bands array<long>, size long")
-    found = near_dedup.blocks_of(members, nodes).groupBy("key", "i", "j").count().collect()
+    found = near_dedup.blocks_of(members.join(nodes.select("id", "size"), "id"), nodes).groupBy("key", "i", "j").count().collect()
     assert max(r["count"] for r in found) <= 20 and len([r for r in found if r["key"] == 1]) > 100
 
 
