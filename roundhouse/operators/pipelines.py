@@ -208,7 +208,7 @@ def detect_actions(features: DataFrame, gallery: DataFrame | None, exclude: Data
     own = joins.exclude(features, exclude, ["video_id"])
     lengths = own.groupBy("video_id").agg((F.max("frame_idx") + 1).alias("n"))
     w = sequences.sliding_windows(lengths, width, stride).drop("n")
-    vec = stored(sequences.temporal_bins(w, own, bins).withColumn("seg_id", F.monotonically_increasing_id()), "action-windows")  # numbered as they are written
+    vec = stored(sequences.temporal_bins(w, own, bins).where(F.size("vec") > 0).withColumn("seg_id", F.monotonically_increasing_id()), "action-windows")  # numbered as they are written
     if model is None:
         score = joins.top1_similarity(vec.select(F.col("seg_id").alias("q_id"), F.col("vec").alias("q_vec")), gallery)
         rows = vec.join(score.withColumnRenamed("q_id", "seg_id"), "seg_id").withColumn("score", F.col("best"))
