@@ -29,8 +29,8 @@ def coverage(rounds: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def active_seats(dets: DataFrame, keys: list[str]) -> DataFrame:
     """Per group the player seats (1 to 7) with a detection, as a string in order; '' if there are none."""
-    seat = F.when(g.nearest_seat(F.col("cx"), F.col("cy")) > 0, g.nearest_seat(F.col("cx"), F.col("cy")))
-    return dets.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_set(seat)), lambda x: x.cast("string")), "").alias("active_seats"))
+    seat = F.when(F.col("seat") > 0, F.col("seat"))
+    return assign_seats_template(dets).groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_set(seat)), lambda x: x.cast("string")), "").alias("active_seats"))
 
 
 def meta_text(segs: DataFrame, dets: DataFrame, frame: Column | None = None) -> DataFrame:
