@@ -109,12 +109,14 @@ class RecordWriter(DataSourceWriter):
 
     def write(self, iterator) -> Staged:
         store, base = opened(self.path)
-        folder, files = f"{base}/{self.run}/{uuid.uuid4().hex}", 0
+        folder, files, made = f"{base}/{self.run}/{uuid.uuid4().hex}", 0, set()
         for row in iterator:
             if row["video_name"] is None or row["record"] is None:
                 continue
             path = f"{folder}/{place_of(row['video_name'])}"
-            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            if (part := path.rsplit("/", 1)[0]) not in made:  # a folder once, not once per record
+                store.create_dir(part, recursive=True)
+                made.add(part)
             with store.open_output_stream(path) as f:
                 f.write(row["record"].encode())
             files += 1
