@@ -1,9 +1,10 @@
 """Nearest vectors by hashed projections, for galleries that are too large to be compared in full.
 
 A table of hashes has some random planes; the signs of a vector's projections on them are its code. Vectors at a small
-angle differ in few signs, so a query meets the gallery rows with its own code and with each code that differs in one sign
-(its probes). Codes are join keys. The code's length follows the gallery's size, so a bucket holds about BUCKET_ROWS
-whatever that is, and the number of tables follows from the chance that a neighbour at the least similarity is missed.
+angle differ in few signs, so a query meets the gallery rows with its own code and, if that sends fewer vectors, with each
+code that differs in one sign (its probes). Codes are join keys. The code's length follows the gallery's size, so a bucket
+holds about BUCKET_ROWS whatever that is (without probes up to some times as many: a query meets fewer buckets then), and
+the number of tables follows from the chance that a neighbour at the least similarity is missed.
 What meets is compared exactly. Buckets that hold more than BLOCK_ROWS gallery rows or queries (many equal vectors) are
 dealt into blocks and parts that all meet, so no group is large; nothing is left out.
 """
@@ -38,6 +39,24 @@ def plan_hashes(rows: int, least: float, miss: float, bucket_rows: int = BUCKET_
     return tables, bits
 
 
+def plan_search(rows: int, asked: int, least: float, miss: float, bucket_rows: int = BUCKET_ROWS) -> tuple[int, int, bool]:
+    """(tables, bits, probe) that send the fewest vectors: a gallery row goes to each table, a query to each table and, with probe, to the codes that differ in one sign too.
+
+    plan_hashes gives the longest code. Shorter ones and searches without probes are taken only if the buckets that a query meets hold no more rows in all than with that plan;
+    the chance of a miss is the same.
+    """
+    tables, bits = plan_hashes(rows, least, miss, bucket_rows)
+    same = 1 - math.acos(min(least, 1.0)) / math.pi
+    plans = [(tables, bits, True)]
+    for b in range(1, bits + 1):
+        for probe in (True, False):
+            met = same**b + (b * (1 - same) * same ** (b - 1) if probe else 0)
+            plans.append((1 if met >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - met))), b, probe))
+    reach = lambda p: p[0] * (1 + p[1] * p[2]) / 2 ** p[1]
+    sent = lambda p: p[0] * (rows + asked * (1 + p[1] * p[2]))
+    return min((p for p in plans if p[0] <= MOST_TABLES and reach(p) <= reach(plans[0])), key=lambda p: (sent(p), reach(p)))
+
+
 def codes(vectors: np.ndarray, tables: int, bits: int, seed: int) -> np.ndarray:
     """The code of each row in each table."""
     planes = np.random.default_rng(seed).standard_normal((tables * bits, vectors.shape[1]))
@@ -79,24 +98,24 @@ def top1_similarity_hashed(queries: DataFrame, gallery: DataFrame, least: float
     A query's best match is missed with a chance of `miss` at most, and less the nearer it is. Null vectors match nothing; an empty side gives no rows.
     """
     rows = gallery.where("g_vec is not null").count()
-    tables, bits = plan_hashes(rows, least, miss, bucket_rows)
+    tables, bits, near = plan_search(rows, queries.where("q_vec is not null").count(), least, miss, bucket_rows)
     g = gallery.where("g_vec is not null").select(F.col("g_id").cast("long").alias("id"), F.col("g_vec").alias("vec"))
     q = queries.where("q_vec is not null").select(F.col("q_id").cast("long").alias("id"), F.col("q_vec").alias("vec"))
     hashed = lambda df, probe, whole: keyed(df, tables, bits, seed, probe, whole)
-    met = buckets(hashed(g, False, False), hashed(q, True, False), block_rows).select("slot", "code", "blocks", "parts")
+    met = buckets(hashed(g, False, False), hashed(q, near, False), block_rows).select("slot", "code", "blocks", "parts")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     place = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
     columns = ["slot", "code", "part", "block", "query", "id", "vec"]
     own = hashed(g, False, True).join(met, ["slot", "code"]).withColumns({"query": F.lit(False), "block": place("blocks")}).withColumn("part", every("parts")).select(*columns)
-    ask = hashed(q, True, True).join(met, ["slot", "code"]).withColumns({"query": F.lit(True), "part": place("parts")}).withColumn("block", every("blocks")).select(*columns)
+    ask = hashed(q, near, True).join(met, ["slot", "code"]).withColumns({"query": F.lit(True), "part": place("parts")}).withColumn("block", every("blocks")).select(*columns)
 
     def meet(table: pa.Table) -> pa.Table:
         theirs, asked = table.filter(pc.invert(table["query"])).sort_by("id"), table.filter(table["query"])
         if not theirs.num_rows or not asked.num_rows:
             return pa.table({"q_id": pa.array([], pa.int64()), "best": pa.array([], pa.float64()), "g_id": pa.array([], pa.int64())})
         score, best = best_matches(unit_rows(asked["vec"]), theirs["id"].to_numpy(), unit_rows(theirs["vec"]))
-        near = pa.array(score >= least)
-        return pa.table({"q_id": asked["id"].filter(near), "best": pa.array(score).filter(near), "g_id": pa.array(best).filter(near)})
+        enough = pa.array(score >= least)
+        return pa.table({"q_id": asked["id"].filter(enough), "best": pa.array(score).filter(enough), "g_id": pa.array(best).filter(enough)})
 
     won = own.unionByName(ask.withColumn("vec", F.col("vec").cast(own.schema["vec"].dataType))).groupBy("slot", "code", "part", "block").applyInArrow(meet, "q_id long, best double, g_id long")
     top = F.max(F.struct("best", (-F.col("g_id")).alias("g")))
