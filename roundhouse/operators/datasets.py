@@ -58,9 +58,14 @@ def validate_annotations(segs: DataFrame, need_meta: tuple[str, ...] = META_LABE
         ("needs_one_box_two_keyframes", label.isin(*two_keyframes) & ~((F.col("n_boxes") == 1) & (F.coalesce("n_keyframes", F.lit(0)) == 2))),
         ("needs_one_box", label.isin(*one_box) & (F.col("n_boxes") != 1)),
     ]
-    broken = segs.withColumn("rule", F.explode(F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules]), lambda x: x.isNotNull()))).select("round_id", "seg_id", "label", "rule")
-    fine = segs.select("round_id").distinct().join(broken, "round_id", "left_anti")
-    return broken.unionByName(fine.select("round_id", F.lit(None).cast("bigint").alias("seg_id"), F.lit(None).cast("string").alias("label"), F.lit("OK").alias("rule")))
+    broken = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())
+    own = Window.partitionBy("round_id").orderBy("seg_id")
+    rows = segs.select("round_id", "seg_id", "label", broken.alias("__rules"))  # read once: the rows may come from parsed exports
+    rows = rows.withColumns({"__place": F.row_number().over(own), "__n": F.sum(F.size("__rules")).over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    fine = (F.col("__n") == 0) & (F.col("__place") == 1)
+    rows = rows.withColumn("rule", F.explode(F.when(fine, F.array(F.lit("OK"))).otherwise(F.col("__rules"))))
+    own_row = F.col("rule") != "OK"
+    return rows.select("round_id", F.when(own_row, F.col("seg_id")).alias("seg_id"), F.when(own_row, F.col("label")).alias("label"), "rule")
 
 
 EXPORT = "array<struct<type:string,id:bigint,start:int,end:int,label:string,frame:int,x1:int,y1:int,x2:int,y2:int>>"

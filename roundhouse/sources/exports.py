@@ -34,7 +34,8 @@ def read_export(spark: SparkSession, path: str, lines: bool = True) -> DataFrame
     read = F.try_parse_json("value")
     rows = spark.read.text(path, wholetext=not lines).where("trim(value) <> ''").select(F.col("_metadata.file_name").alias("file_name"), read.alias("v"))
     tasks = F.coalesce(F.try_variant_get("v", "$", ITEMS), F.array("v"))
-    return rows.select("file_name", F.posexplode(tasks).alias("place", "task"))
+    # outer: else Spark filters by the list's size first, and parses each text again for that
+    return rows.select("file_name", F.posexplode_outer(tasks).alias("place", "task")).where("place is not null")
 
 
 def video_name(task: Column, place: Column) -> Column:
@@ -97,7 +98,7 @@ def export_records(tasks: DataFrame, skip_cancelled: bool = False) -> DataFrame:
 
 def record_segments(records: DataFrame) -> DataFrame:
     """One row per segment of records, with its number of boxes, and the keyframes of the first."""
-    rows = records.select("video_name", "video_id", F.explode("timeline_segments").alias("s"))
+    rows = records.select("video_name", "video_id", F.explode_outer("timeline_segments").alias("s")).where("s is not null")  # outer: as in read_export
     first = F.get("s.bounding_boxes", F.lit(0))
     return rows.select("video_name", "video_id", "s.*", F.size("s.bounding_boxes").alias("n_boxes"), F.when(first.isNotNull(), F.size(first["keyframes"])).alias("n_keyframes"), first["keyframes"].alias("keyframes"))
 
