@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roundhouse.operators.sequences import dedup_spatial
 from roundhouse.plans.registry import query
-from roundhouse.storage import scratch_folder
+from roundhouse.storage import scratch_folder, stored
 from roundhouse.streaming import incremental, timed_tracker, tracker
 
 
@@ -26,7 +26,7 @@ def _(t):
 def _(t):
     """Detections arrive in three lots of frames and an end row per round; the rows are the closed tracks. Its batch twin is track_items."""
     base = scratch_folder(t.spark, "stream")
-    rows = dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf")
+    rows = stored(dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf"), "stream-source")  # read by each lot
     ends = rows.select("round_id").distinct().select("round_id", *[F.lit(None).cast(x.dataType).alias(x.name) for x in rows.schema if x.name != "round_id"])
     for lot in (rows.where("frame_id < 200"), rows.where("frame_id between 200 and 399"), rows.where("frame_id >= 400"), ends):
         lot.write.mode("append").parquet(f"{base}/in")
@@ -45,7 +45,7 @@ def _(t):
     """Detections arrive in three lots, some late. Nothing says that a round has ended: a row of no round moves the clock, and timers close all. Rows of kind track and late."""
     base = scratch_folder(t.spark, "stream")
     timed_tracker.use_rocksdb(t.spark)
-    rows = dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf").withColumn("lot", F.expr(LOT))
+    rows = stored(dedup_spatial(t.dets720).select("round_id", "frame_id", "det_id", "cx", "cy", "conf"), "stream-source").withColumn("lot", F.expr(LOT))  # read by each lot
     rows = rows.withColumn("seen_at", F.timestamp_seconds(F.lit(1_700_000_000) + 10 * F.col("lot")))
     clock = t.spark.range(1).select(*[(F.timestamp_seconds(F.lit(1_700_001_000)) if c == "seen_at" else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in rows.columns])
     for lot in (*(rows.where(F.col("lot") == k) for k in range(3)), clock):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -47,6 +48,22 @@ class Tracks:
         return closed
 
 
+def known(x) -> bool:
+    """Neither None nor NaN, as which pandas gives a null."""
+    return x is not None and x == x
+
+
+def detections(frames: list[pd.DataFrame]) -> list[tuple]:
+    """(frame_id, det_id, conf, cx, cy) of the rows with a det_id, in any order. Plain rows: a round's share of a batch is small, and pandas takes longer for a call than for its rows."""
+    columns = ("frame_id", "det_id", "conf", "cx", "cy")
+    return [row for pdf in frames for row in zip(*(pdf[c].tolist() for c in columns), strict=True) if known(row[1])]
+
+
+def in_order(rows: list[tuple]) -> list[tuple]:
+    """Rows of detections() that have a frame, by frame, falling confidence (null: last) and det_id."""
+    return sorted((r for r in rows if known(r[0])), key=lambda r: (r[0], (0, -r[2]) if known(r[2]) else (1, 0), r[1]))
+
+
 def track_stream(dets: DataFrame, reach: float = 35.0, recency: int = 75, least_obs: int = 30, least_span: int = 50) -> DataFrame:
     """Closed tracks of a stream of detections (round_id, frame_id, det_id, cx, cy, conf).
 
@@ -60,13 +77,12 @@ def track_stream(dets: DataFrame, reach: float = 35.0, recency: int = 75, least_
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracks = Tracks(state.get if state.exists else None)
         closed: list[list] = []
-        rows = pd.concat(list(frames)).sort_values(["frame_id", "conf", "det_id"], ascending=[True, False, True])
-        ended = bool(rows["det_id"].isna().any())
-        rows = rows[rows["det_id"].notna()]
-        fresh = rows[rows["frame_id"] > tracks.frame]
+        batches = list(frames)
+        ended, rows = any(pdf["det_id"].isna().any() for pdf in batches), detections(batches)
+        fresh = [r for r in in_order(rows) if r[0] > tracks.frame]
         tracks.late += len(rows) - len(fresh)
-        for frame, own in fresh.groupby("frame_id", sort=True):
-            closed += tracks.add_frame(int(frame), list(zip(own["cx"], own["cy"], strict=True)), reach, recency)
+        for frame, own in groupby(fresh, key=lambda r: r[0]):
+            closed += tracks.add_frame(int(frame), [r[3:] for r in own], reach, recency)
         if ended:
             closed += tracks.live
             if state.exists:
