@@ -12,13 +12,14 @@ Rows without det_id move the clock of their round but are no detections; a null
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from roundhouse.streaming.tracker import Tracks
+from roundhouse.streaming.tracker import Tracks, detections, in_order
 
 OUT = "round_id long, kind string, track_key int, det_id long, first_frame long, last_frame long, n_obs int"
 _NAMES = [x.split()[0] for x in OUT.split(", ")]
@@ -50,12 +51,12 @@ class RoundTracker(StatefulProcessor):
         tracks.frame, tracks.next_id = last, next_id
         tracks.live = sorted([k[0], *t] for k, t in self.live.iterator())
         before = {t[0]: tuple(t[1:]) for t in tracks.live}
-        own = pd.concat(list(rows)).sort_values(["frame_id", "conf", "det_id"], ascending=[True, False, True])
-        seen = max(seen, int(own["seen_ms"].max()))
-        own = own[own["det_id"].notna()]
-        late, fresh, closed = own[own["frame_id"] <= last], own[own["frame_id"] > last], []
-        for frame, dets in fresh.groupby("frame_id", sort=True):
-            closed += tracks.add_frame(int(frame), list(zip(dets["cx"], dets["cy"], strict=True)), self.reach, self.recency)
+        batches = list(rows)
+        seen = max(seen, *(int(pdf["seen_ms"].max()) for pdf in batches))
+        own = in_order(detections(batches))
+        late, closed = [r for r in own if r[0] <= last], []
+        for frame, dets in groupby((r for r in own if r[0] > last), key=lambda r: r[0]):
+            closed += tracks.add_frame(int(frame), [r[3:] for r in dets], self.reach, self.recency)
         after = {t[0]: tuple(t[1:]) for t in tracks.live}
         for track in before.keys() - after.keys():
             self.live.removeKey((track,))
@@ -64,7 +65,7 @@ class RoundTracker(StatefulProcessor):
                 self.live.updateValue((track,), values)
         self.round.update((tracks.frame, tracks.next_id, seen, False))
         self._wake(seen + self.silence_ms)
-        yield self._out(key, closed, list(zip(late["frame_id"].astype(int), late["det_id"].astype(int), strict=True)))
+        yield self._out(key, closed, [(int(r[0]), int(r[1])) for r in late])
 
     def _wake(self, at: int) -> None:
         """One timer a round: the latest."""
