@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from roundhouse.operators import joins, sequences
 from roundhouse.operators.datasets import score_windows
 from roundhouse.operators.picks import first_per_cluster
 from roundhouse.operators.scalar import in_zone, stage_duration
-from roundhouse.storage import stored
+from roundhouse.storage import forget, stored
 
 KEYS = ["round_id", "seg_id"]
 
@@ -113,11 +115,11 @@ def split_candidates(segs: DataFrame, dets: DataFrame, top: int = 10) -> DataFra
     return found.select(*KEYS, "pair_no", F.col("rank_norm").alias("pair_rank"), F.col("frame_id").alias("start_frame"), F.col("end_frame").alias("last_frame"), F.col("a_det_id").alias("start_a"), F.col("b_det_id").alias("start_b"), *places)
 
 
-def widest_pair(moved: DataFrame) -> DataFrame:
-    """Per segment the tracked pair of largest spread (ties: smaller pair_no) and how many there are."""
-    best = F.min(F.struct((-F.col("spread")).alias("s"), "pair_no", "end_frame", "end_a", "end_b")).alias("b")
+def widest_pair(moved: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Per segment the tracked pair of largest spread (ties: smaller pair_no) and how many there are; also: more columns of the pair."""
+    best = F.min(F.struct((-F.col("spread")).alias("s"), "pair_no", "end_frame", "end_a", "end_b", *also)).alias("b")
     out = moved.groupBy(*KEYS).agg(F.count("*").alias("n_pairs"), best)
-    return out.select(*KEYS, "n_pairs", (-F.col("b.s")).alias("spread"), "b.pair_no", F.col("b.end_frame").alias("pair_end_frame"), "b.end_a", "b.end_b")
+    return out.select(*KEYS, "n_pairs", (-F.col("b.s")).alias("spread"), "b.pair_no", F.col("b.end_frame").alias("pair_end_frame"), "b.end_a", "b.end_b", *[f"b.{c}" for c in also])
 
 
 def verify_split(segs: DataFrame, dets: DataFrame, cards: DataFrame, hands: DataFrame | None = None, least: int = 25, spread: int = 5, top: int = 10) -> DataFrame:
@@ -127,11 +129,13 @@ def verify_split(segs: DataFrame, dets: DataFrame, cards: DataFrame, hands: Data
     resolved by suits, hands or (via: fallback) the order of the match.
     """
     rows = joins.require_asset(stage_duration(segs, ["split"], least).drop("passed", "stage", "reason"), cards, ["round_id"], "none")
-    zone = dets.where(in_zone("split"))
-    good = spans(rows, dets)
+    zone = stored(sequences.paired_cards(dets.where(in_zone("split"))), "split-cards")  # pairs are found and followed in it
+    good = stored(spans(rows, dets), "split-spans")
     live = good.where((F.col("duration") >= least) & (F.col("status") == "ok"))
-    candidates = stored(split_candidates(live, zone, top), "split-candidates")  # read twice below
-    best = widest_pair(sequences.track_pair(candidates.drop("start_a", "start_b"), zone))
+    candidates = stored(split_candidates(live, zone, top), "split-candidates")
+    ends = [x.split()[0] for x in sequences.END_CARDS.split(", ")]
+    best = stored(widest_pair(sequences.track_pair(candidates.drop("start_a", "start_b"), zone, ends=True), ends), "split-pairs")
+    forget(zone)
     rows = good.join(best, KEYS, "left")
     stages = [
         ("stage1_duration", F.col("duration") < least, F.concat(F.lit("duration="), F.col("duration"), F.lit(f" < {least}"))),
@@ -140,17 +144,14 @@ def verify_split(segs: DataFrame, dets: DataFrame, cards: DataFrame, hands: Data
         ("stage2_no_same_rank_pair", F.col("n_pairs").isNull(), F.lit("no same-rank pair found")),
         ("stage3_no_spread", F.col("spread") < spread, F.when(F.col("spread") < 0, "no match").otherwise(F.concat(F.lit("best_move="), F.col("spread"), F.lit("px")))),
     ]
-    out = verdict(rows, stages, [*KEYS, "pair_no", "spread", "pair_end_frame", "end_a", "end_b"])
-    return out.drop("end_a", "end_b").join(split_cards(out.where("passed"), candidates, dets, hands), KEYS, "left")
+    out = verdict(rows, stages, [*KEYS, "pair_no", "spread", "pair_end_frame", "end_a", "end_b", *ends])
+    return out.drop("end_a", "end_b", *ends).join(split_cards(out.where("passed"), candidates, hands), KEYS, "left")
 
 
-def split_cards(passed: DataFrame, candidates: DataFrame, dets: DataFrame, hands: DataFrame | None) -> DataFrame:
+def split_cards(passed: DataFrame, candidates: DataFrame, hands: DataFrame | None) -> DataFrame:
     """The cards of passing pairs: KEYS, start_a, start_b, end_of_a, end_of_b and via."""
-    rows = passed.select(*KEYS, "pair_no", "pair_end_frame", "end_a", "end_b").join(candidates.withColumnRenamed("start_frame", "pair_start_frame"), [*KEYS, "pair_no"])
+    rows = passed.drop("spread", "passed", "stage", "reason").join(candidates.withColumnRenamed("start_frame", "pair_start_frame"), [*KEYS, "pair_no"])
     rows = rows.withColumnsRenamed({f"s_{p}{m}": f"s{k}{n}" for k, p in enumerate("ab") for m, n in (("x", "x"), ("y", "y"), ("suit", "_suit"))})
-    card = dets.select("round_id", F.col("frame_id").alias("pair_end_frame"), "det_id", "cx", "cy", "suit")
-    for p in "ab":
-        rows = rows.join(card.withColumnsRenamed({"det_id": f"end_{p}", "cx": f"e{p}x", "cy": f"e{p}y", "suit": f"e{p}_suit"}), ["round_id", "pair_end_frame", f"end_{p}"])
     for side, frame in (("s", "pair_start_frame"), ("e", "pair_end_frame")):
         names = [f"h{k}{c}" for k in (0, 1) for c in "xy"]
         if hands is None:
