@@ -71,18 +71,22 @@ def majority(df: DataFrame, keys: list[str], values: list[str], seq: list[str])
     return counts.groupBy(*keys).agg(best).select(*keys, *[F.col(f"b.{v}").alias(v) for v in values], F.col("b.votes").alias("votes"))
 
 
-def seat_vote(obs: DataFrame, obbs: DataFrame) -> DataFrame:
-    """Per track the seat with most observations (none counts too; ties: seen first), its share, and whether most of its votes lie inside."""
+def seat_vote(obs: DataFrame, obbs: DataFrame, entry: bool = False) -> DataFrame:
+    """Per track the seat with most observations (none counts too; ties: seen first), its share, and whether most of its votes lie inside.
+
+    entry: with entry_frame, the first frame inside the seat's box, else the track's first frame.
+    """
     rows = assign_seats_obb(obs.select("round_id", "track_id", "frame_id", "det_id", "cx", "cy"), obbs)
     # a vote for the seat that an observation got, and a mark for each seat that holds it
     vote = F.array(F.struct("seat_id", F.lit(1).alias("vote"), F.lit(0).alias("held")))
     held = F.transform("holding", lambda x: F.struct(x.alias("seat_id"), F.lit(0).alias("vote"), F.lit(1).alias("held")))
     rows = rows.select("round_id", "track_id", "frame_id", "det_id", F.explode(F.concat(vote, held)).alias("v")).select("round_id", "track_id", "frame_id", "det_id", "v.*")
-    seats = rows.groupBy("round_id", "track_id", "seat_id").agg(F.sum("vote").alias("votes"), F.sum("held").alias("n_in"), F.min(F.when(F.col("vote") == 1, F.struct("frame_id", "det_id"))).alias("first"))
-    best = F.min(F.when(F.col("votes") > 0, F.struct((-F.col("votes")).alias("neg"), "first", "seat_id", "votes", "n_in"))).alias("b")
-    out = seats.groupBy("round_id", "track_id").agg(best, F.sum("votes").alias("n_obs"))
+    seats = rows.groupBy("round_id", "track_id", "seat_id").agg(F.sum("vote").alias("votes"), F.sum("held").alias("n_in"), F.min(F.when(F.col("vote") == 1, F.struct("frame_id", "det_id"))).alias("first"), F.min(F.when(F.col("held") == 1, F.col("frame_id"))).alias("first_in"), F.min("frame_id").alias("first_frame"))
+    best = F.min(F.when(F.col("votes") > 0, F.struct((-F.col("votes")).alias("neg"), "first", "seat_id", "votes", "n_in", "first_in"))).alias("b")
+    out = seats.groupBy("round_id", "track_id").agg(best, F.sum("votes").alias("n_obs"), F.min("first_frame").alias("first_frame"))
     via = F.when(F.col("b.seat_id").isNotNull(), F.when(F.col("b.n_in") > F.col("b.votes") / 2, "inside").otherwise("nearest"))
-    return out.select("round_id", "track_id", F.col("b.seat_id").alias("seat_id"), via.alias("seat_via"), g.r4(F.col("b.votes") / F.col("n_obs")).alias("vote_share"), "n_obs")
+    entered = [F.coalesce("b.first_in", "first_frame").alias("entry_frame")] if entry else []
+    return out.select("round_id", "track_id", F.col("b.seat_id").alias("seat_id"), via.alias("seat_via"), g.r4(F.col("b.votes") / F.col("n_obs")).alias("vote_share"), "n_obs", *entered)
 
 
 def vote_select(samples: DataFrame) -> DataFrame:
