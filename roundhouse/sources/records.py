@@ -10,10 +10,14 @@ places, a rename each, so a failed or stopped run changes nothing and a reader s
 one. mode("overwrite") also deletes the videos that weren't written. Of several records of one video in a run, one stays.
 Paths are those of all machines: local or shared folders, or addresses that pyarrow.fs knows. Rows without a name, or with
 a null record, aren't written.
+
+option("compression", "gzip") compresses the records of a run that get shorter by it. Names stay the same, so a rename still
+replaces a record that was written in the other way, and a reader tells both by their first bytes.
 """
 
 from __future__ import annotations
 
+import gzip
 import urllib.parse
 import uuid
 import zlib
@@ -32,6 +36,17 @@ _SCHEMA = "video_name string, record string"
 _STAGED = "_writing-"
 #: Records that a reader hands over at a time.
 BATCH = 256
+#: How a compressed record begins; no JSON text does.
+_GZIP = b"\x1f\x8b"
+
+
+def packed(record: str, compression: str) -> bytes:
+    text = record.encode()
+    return min(text, gzip.compress(text, mtime=0), key=len) if compression == "gzip" else text
+
+
+def unpacked(data: bytes) -> str:
+    return (gzip.decompress(data) if data.startswith(_GZIP) else data).decode()
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -98,14 +113,16 @@ class RecordReader(DataSourceReader):
             names, texts = [], []
             for path in paths[at : at + BATCH]:
                 with store.open_input_stream(path) as f:
-                    texts.append(f.read().decode())
+                    texts.append(unpacked(f.read()))
                 names.append(urllib.parse.unquote(path.rsplit("/", 1)[1][: -len(ENDING)]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["video_name", "record"])
 
 
 class RecordWriter(DataSourceWriter):
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite, self.run = path, overwrite, f"{_STAGED}{uuid.uuid4().hex}"
+    def __init__(self, path: str, overwrite: bool, compression: str = "none"):
+        if compression not in ("none", "gzip"):
+            raise ValueError(f"compression is none or gzip, not {compression}")
+        self.path, self.overwrite, self.compression, self.run = path, overwrite, compression, f"{_STAGED}{uuid.uuid4().hex}"
 
     def write(self, iterator) -> Staged:
         store, base = opened(self.path)
@@ -118,7 +135,7 @@ class RecordWriter(DataSourceWriter):
                 store.create_dir(part, recursive=True)
                 made.add(part)
             with store.open_output_stream(path) as f:
-                f.write(row["record"].encode())
+                f.write(packed(row["record"], self.compression))
             files += 1
         return Staged(folder, files)
 
@@ -160,7 +177,7 @@ class AnnotationRecords(DataSource):
         return RecordReader(self.options["path"])
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return RecordWriter(self.options["path"], overwrite)
+        return RecordWriter(self.options["path"], overwrite, self.options.get("compression", "none").lower())
 
 
 def use_records(spark: SparkSession) -> None:
